@@ -138,3 +138,188 @@ ORACLE["top_zones_by_distance_tip"] = (
     f"{W},{ZONES} SELECT * FROM zones ORDER BY distancia_media_km DESC NULLS LAST, "
     'gorjeta_media DESC NULLS LAST, "PULocationID" ASC NULLS FIRST LIMIT 5'
 )
+
+# ---- typed contract, parts, flags, time range ----------------------------------------------
+
+_BAD_VENDOR = "payment_type = 7"
+_BAD_DIST = "store_and_fwd_flag = 'n' AND payment_type = 1"
+ORACLE["apply_schema"] = f"""WITH {TRIPS}
+SELECT CASE WHEN {_BAD_VENDOR} THEN NULL ELSE "VendorID" END AS "VendorID",
+       tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count,
+       CASE WHEN {_BAD_DIST} THEN NULL ELSE trip_distance END AS trip_distance,
+       "RatecodeID", store_and_fwd_flag, "PULocationID", "DOLocationID", payment_type, fare_amount,
+       extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount,
+       congestion_surcharge, airport_fee
+FROM trips"""
+ORACLE["schema_rejects"] = f"""WITH {TRIPS},
+raw AS (
+  SELECT CAST("DOLocationID" AS VARCHAR) AS "DOLocationID",
+         CAST(payment_type AS VARCHAR) AS payment_type,
+         CASE WHEN {_BAD_VENDOR} THEN 'V' || CAST("VendorID" AS VARCHAR) ELSE CAST("VendorID" AS VARCHAR) END AS "VendorID",
+         CASE WHEN {_BAD_DIST} THEN CAST(trip_distance AS VARCHAR) || ' mi' ELSE CAST(trip_distance AS VARCHAR) END AS trip_distance,
+         concat_ws(',', CASE WHEN {_BAD_VENDOR} THEN 'VendorID' END,
+                        CASE WHEN {_BAD_DIST} THEN 'trip_distance' END) AS rejected_columns
+  FROM trips)
+SELECT * FROM raw WHERE rejected_columns <> ''"""
+_REJECT_RULES = {"VendorID": _BAD_VENDOR, "trip_distance": _BAD_DIST}
+ORACLE["reject_counts"] = f"WITH {TRIPS} " + " UNION ALL ".join(
+    f"SELECT '{c.strip(chr(34))}' AS \"column\", "
+    + (f"count(*) FILTER (WHERE {_REJECT_RULES[c.strip(chr(34))]})" if c.strip(chr(34)) in _REJECT_RULES else "CAST(0 AS BIGINT)")
+    + " AS rejects"
+    + (" FROM trips" if c.strip(chr(34)) in _REJECT_RULES else "")
+    for c in TRIP_COLS.replace(" ", "").split(",")
+)
+ORACLE["pickup_parts"] = f"""WITH {TRIPS}
+SELECT *, CAST(year(tpep_pickup_datetime) AS INTEGER) AS pickup_year,
+          CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month,
+          CAST(day(tpep_pickup_datetime) AS INTEGER) AS pickup_day
+FROM trips"""
+ORACLE["normalize_flag"] = f"""WITH {TRIPS}
+SELECT * REPLACE (upper(store_and_fwd_flag) AS store_and_fwd_flag) FROM trips"""
+ORACLE["filter_time_range"] = (
+    "SELECT * FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-21 23:59:59'"
+)
+
+# ---- sales fact, keys, calendar ------------------------------------------------------------
+
+RUN_TS = "TIMESTAMP '2024-01-01 00:00:00'"
+GOLD_RUN_TS = "TIMESTAMP '2024-01-02 00:00:00'"
+SILVER = f"""
+silver AS (
+  SELECT CAST(l_partkey AS BIGINT) AS codigo_produto, CAST(l_suppkey AS BIGINT) AS codigo_regiao,
+         CAST(l_shipdate AS DATE) AS data_venda, CAST(l_quantity AS BIGINT) AS qtde_venda,
+         CAST(l_extendedprice AS FLOAT) AS valor_venda, {RUN_TS} AS data_atualizacao
+  FROM lineitem)"""
+GOLD = f"""
+gold AS (
+  SELECT codigo_produto, codigo_regiao, CAST(sum(qtde_venda) AS BIGINT) AS qtde_venda,
+         CAST(sum(CAST(valor_venda AS DOUBLE)) AS DOUBLE) AS valor_venda, {GOLD_RUN_TS} AS data_atualizacao,
+         CAST(strftime(data_venda, '%Y%m%d') AS BIGINT) AS id_data_venda,
+         TRY_CAST(CAST(codigo_produto AS VARCHAR) || CAST(codigo_regiao AS VARCHAR)
+                  || strftime(data_venda, '%Y%m%d') AS BIGINT) AS id_fa_venda
+  FROM silver GROUP BY codigo_produto, codigo_regiao, data_venda)"""
+ORACLE["fact_rollup"] = f"""WITH {SILVER}
+SELECT codigo_produto, codigo_regiao, data_venda, CAST(sum(qtde_venda) AS BIGINT) AS qtde_venda,
+       CAST(sum(CAST(valor_venda AS DOUBLE)) AS DOUBLE) AS valor_venda
+FROM silver GROUP BY codigo_produto, codigo_regiao, data_venda"""
+ORACLE["fact_gold"] = f"WITH {SILVER},{GOLD} SELECT * FROM gold"
+ORACLE["fact_key_collisions"] = f"""WITH {SILVER},{GOLD},
+per AS (SELECT id_fa_venda, codigo_produto, codigo_regiao, id_data_venda, count(*) AS n
+        FROM gold GROUP BY id_fa_venda, codigo_produto, codigo_regiao, id_data_venda)
+SELECT id_fa_venda, count(*) AS natural_keys, CAST(sum(n) AS BIGINT) AS rows
+FROM per GROUP BY id_fa_venda HAVING count(*) > 1"""
+ORACLE["fact_padded_key"] = f"""WITH {SILVER},{GOLD}
+SELECT codigo_produto, codigo_regiao, id_data_venda,
+       lpad(CAST(codigo_produto AS VARCHAR), 10, '0') || lpad(CAST(codigo_regiao AS VARCHAR), 10, '0')
+       || lpad(CAST(id_data_venda AS VARCHAR), 8, '0') AS fact_key
+FROM gold"""
+ORACLE["calendar_days"] = f"""
+WITH b AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem),
+d AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day FROM b)
+SELECT CAST(day AS TIMESTAMP) AS data, CAST(strftime(day, '%Y%m%d') AS BIGINT) AS id_data,
+       CAST(strftime(day, '%d') AS BIGINT) AS dia, CAST(strftime(day, '%m') AS BIGINT) AS mes,
+       CAST(strftime(day, '%Y') AS BIGINT) AS ano, CAST(strftime(day, '%m%Y') AS BIGINT) AS mesano,
+       {GOLD_RUN_TS} AS dt_data_update
+FROM d"""
+ORACLE["generate_series"] = """
+WITH b AS (SELECT date_trunc('hour', min(ts)) AS lo, max(ts) AS hi FROM events)
+SELECT unnest(range(lo, hi, INTERVAL 1 HOUR)) AS data FROM b"""
+
+# ---- table maintenance ---------------------------------------------------------------------
+
+
+def _versions(null_keys: bool = False) -> str:
+    key = "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey END" if null_keys else "o_orderkey"
+    return f"""
+o AS (SELECT {key} AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders),
+t AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + CAST(1.0 AS DOUBLE) AS o_totalprice,
+             o_orderdate, o_orderpriority FROM o WHERE o_orderdate >= TIMESTAMP '1997-01-01')"""
+
+
+_UPSERT = """
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM s"""
+ORACLE["upsert_update_insert"] = f"WITH {_versions()} {_UPSERT}"
+ORACLE["upsert_null_key"] = f"WITH {_versions(True)} {_UPSERT}"
+ORACLE["upsert_insert_only"] = f"""WITH {_versions()}
+SELECT * FROM t
+UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)"""
+ORACLE["refresh_full"] = f"WITH {_versions()} SELECT * FROM s"
+ORACLE["delete_all"] = "SELECT * FROM orders WHERE false"
+
+# ---- file sources and sinks ----------------------------------------------------------------
+
+LINES = """
+lines AS (
+  SELECT lpad(CAST(p_partkey AS VARCHAR), 10, '0') || repeat(' ', 5)
+         || rpad(substr(concat_ws(' ', upper(p_name), p_brand, p_type), 1, 101), 101, ' ')
+         || strftime(DATE '2020-12-01' + p_size, '%d%m%Y')
+         || (CASE WHEN p_type = 'PROMO' THEN 'L' ELSE '0' END)
+         || lpad(CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS VARCHAR), 9, '0')
+         || repeat(' ', 2) AS value
+  FROM part)"""
+
+
+def _price(ds: str, price_start: int) -> str:
+    return f"""WITH {LINES},
+f AS (
+  SELECT substr(value, 1, 10) AS cd_produto, {ds} AS ds_produto,
+         substr(value, 117, 2) || '-' || substr(value, 119, 2) || '-' || substr(value, 121, 4) AS atualizacao,
+         substr(value, {price_start}, 10) AS preco_produto
+  FROM lines),
+p AS (
+  SELECT *, TRY_CAST(trim(substr(preco_produto, 1, 8) || '.' || substr(preco_produto, 9, 2)) AS DECIMAL(15,2)) AS vl_preco_produto,
+         CAST(try_strptime(atualizacao, '%d-%m-%Y') AS DATE) AS dt_atualizacao
+  FROM f)"""
+
+
+AS_READ = _price("substr(value, 16, 45)", 126)
+TEN_DIGIT = _price("rtrim(substr(value, 16, 101))", 125)
+ORACLE["fixed_width_as_read"] = f"{AS_READ} SELECT *, {RUN_TS} AS dt_inclusao FROM p"
+ORACLE["price_bronze"] = ORACLE["fixed_width_as_read"]
+ORACLE["fixed_width_ten_digit"] = f"{TEN_DIGIT} SELECT *, {RUN_TS} AS dt_inclusao FROM p"
+ORACLE["fixed_width_rejects"] = f"""{TEN_DIGIT},
+r AS (
+  SELECT cd_produto, ds_produto, atualizacao, preco_produto,
+         concat_ws(',', CASE WHEN trim(preco_produto) <> '' AND vl_preco_produto IS NULL THEN 'vl_preco_produto' END,
+                        CASE WHEN dt_atualizacao IS NULL THEN 'dt_atualizacao' END) AS rejected_columns
+  FROM p)
+SELECT * FROM r WHERE rejected_columns <> ''"""
+
+REGION_ROWS = """
+region_rows AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS "CODIGO_REGIAO", s_name AS "DESCRICAO_REGIAO", n_name AS "NOME_PAIS"
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)"""
+ORACLE["scan_csv"] = f"WITH {REGION_ROWS} SELECT * FROM region_rows"
+
+
+def _dim_product(ts: str) -> str:
+    return (
+        "SELECT CAST(p_partkey AS BIGINT) AS codigo_produto, p_name AS descricao_produto, "
+        f"p_brand AS sigla_produto, {ts} AS data_atualizacao FROM part"
+    )
+
+
+def _dim_region(ts: str) -> str:
+    return (
+        "SELECT CAST(s_suppkey AS BIGINT) AS codigo_regiao, s_name AS descricao_regiao, "
+        f"n_name AS nome_pais, {ts} AS data_atualizacao FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey"
+    )
+
+
+ORACLE["dim_product_silver"] = _dim_product(RUN_TS)
+ORACLE["dim_product_gold"] = _dim_product(GOLD_RUN_TS)
+ORACLE["dim_region_silver"] = _dim_region(RUN_TS)
+ORACLE["dim_region_gold"] = _dim_region(GOLD_RUN_TS)
+ORACLE["fact_silver"] = f"WITH {SILVER} SELECT * FROM silver"
+
+EVENTS_TYPED = (
+    "SELECT event_id, ts, user_id, event_type, value, "
+    "CASE WHEN event_type = 'error' THEN NULL ELSE props END AS props FROM events"
+)
+ORACLE["scan_json_pages"] = EVENTS_TYPED
+ORACLE["union_pages"] = EVENTS_TYPED
+ORACLE["landing_ingest"] = EVENTS_TYPED
+ORACLE["overwrite_table"] = "SELECT * FROM orders"
+ORACLE["lower_columns"] = "SELECT * FROM customer"

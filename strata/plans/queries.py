@@ -90,3 +90,272 @@ def top_zones_by_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def top_zones_by_distance_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxi.top_zones_by_distance_tip(metrics_by_zone(spark, sf_dir))
+
+
+# ---- typed contract, parts, flags, time range --------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from strata.operators import keys as _keys  # noqa: E402
+from strata.operators import merge as _merge  # noqa: E402
+from strata.operators import schema as _schema  # noqa: E402
+from strata.plans import prices as _prices  # noqa: E402
+from strata.plans import sales as _sales  # noqa: E402
+from strata.sinks import tables as _sinks  # noqa: E402
+from strata.sources import files as _files  # noqa: E402
+from strata.sources import series as _series  # noqa: E402
+from strata.streaming import landing as _landing  # noqa: E402
+from strata.workspace import scratch_path  # noqa: E402
+
+RUN_TS = "2024-01-01 00:00:00"
+GOLD_RUN_TS = "2024-01-02 00:00:00"
+TRIP_CONTRACT_NTZ = taxi.trip_contract(T.TimestampNTZType())
+
+
+@register
+def apply_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _schema.apply_schema(views.raw_trips(spark, sf_dir), TRIP_CONTRACT_NTZ)
+
+
+@register
+def schema_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rej = _schema.schema_rejects(views.raw_trips(spark, sf_dir), TRIP_CONTRACT_NTZ)
+    return rej.select("DOLocationID", "payment_type", "VendorID", "trip_distance", "rejected_columns")
+
+
+@register
+def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _schema.reject_counts(views.raw_trips(spark, sf_dir), TRIP_CONTRACT_NTZ)
+
+
+@register
+def pickup_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taxi.pickup_parts(views.trips(spark, sf_dir))
+
+
+@register
+def normalize_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taxi.normalize_flag(views.trips(spark, sf_dir))
+
+
+@register
+def filter_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = views.table(spark, sf_dir, "events")
+    return _files.filter_time_range(events, "ts", "2024-01-08T00:00:00", "2024-01-21T23:59:59")
+
+
+# ---- sales fact, keys, calendar ------------------------------------------------------------
+
+
+def _fact_silver_mem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = views.sales_bronze_rows(views.table(spark, sf_dir, "lineitem"))
+    return _sales.silver_fact(bronze, RUN_TS, ntz=True)
+
+
+@register
+def fact_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.operators.marts import rollup_fact
+
+    return rollup_fact(_fact_silver_mem(spark, sf_dir), _sales.FACT_GRAIN, ["qtde_venda", "valor_venda"])
+
+
+@register
+def fact_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sales.gold_fact(_fact_silver_mem(spark, sf_dir), GOLD_RUN_TS, ntz=True)
+
+
+@register
+def fact_key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = fact_gold(spark, sf_dir)
+    return _keys.key_collisions(gold, _sales.FACT_KEY, ["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY])
+
+
+@register
+def fact_padded_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = fact_gold(spark, sf_dir)
+    return gold.select(
+        "codigo_produto",
+        "codigo_regiao",
+        _sales.FACT_DATE_KEY,
+        _keys.padded_key(["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY], [10, 10, 8]).alias("fact_key"),
+    )
+
+
+@register
+def calendar_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _series.calendar_over(views.table(spark, sf_dir, "lineitem"), "l_shipdate")
+    return _sales.calendar_table(days, "day", GOLD_RUN_TS, ntz=True)
+
+
+@register
+def generate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _series.series_over(views.table(spark, sf_dir, "events"), "ts", 3600, "hour")
+
+
+# ---- table maintenance ---------------------------------------------------------------------
+
+
+def _orders_versions(spark: SparkSession, sf_dir: str, null_keys: bool = False):
+    """Yesterday's table (orders up to 1997) and today's extract (orders from 1997 on, with a
+    new total); they overlap in 1997. With ``null_keys`` the low-priority orders carry no key."""
+    o = views.table(spark, sf_dir, "orders")
+    if null_keys:
+        o = o.withColumn(
+            "o_orderkey", F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderkey"))
+        )
+    target = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    source = o.filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz")).withColumn(
+        "o_totalprice", F.col("o_totalprice") + F.lit(1.0)
+    )
+    return target, source
+
+
+@register
+def upsert_update_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, s = _orders_versions(spark, sf_dir)
+    return _merge.upsert(t, s, ["o_orderkey"])
+
+
+@register
+def upsert_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, s = _orders_versions(spark, sf_dir)
+    return _merge.insert_new(t, s, ["o_orderkey"])
+
+
+@register
+def upsert_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, s = _orders_versions(spark, sf_dir, null_keys=True)
+    return _merge.upsert(t, s, ["o_orderkey"])
+
+
+@register
+def refresh_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, s = _orders_versions(spark, sf_dir)
+    return _merge.refresh(t, s)
+
+
+@register
+def delete_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t, _ = _orders_versions(spark, sf_dir)
+    return _merge.delete_all(t)
+
+
+# ---- file sources and sinks ----------------------------------------------------------------
+
+
+def _price_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "price-list")
+    views.price_lines_from_part(views.table(spark, sf_dir, "part")).write.text(path)
+    return _files.scan_text(spark, path)
+
+
+@register
+def fixed_width_as_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prices.price_bronze(_price_lines(spark, sf_dir), _prices.AS_READ, RUN_TS, ntz=True)
+
+
+@register
+def fixed_width_ten_digit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prices.price_bronze(_price_lines(spark, sf_dir), _prices.TEN_DIGIT, RUN_TS, ntz=True)
+
+
+@register
+def fixed_width_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prices.price_rejects(_price_lines(spark, sf_dir), _prices.TEN_DIGIT)
+
+
+def _csv_round_trip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.option("header", True).option("sep", ";").csv(path)
+    return _files.scan_csv(spark, path, sep=";")
+
+
+def _region_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.region_bronze_rows(views.table(spark, sf_dir, "supplier"), views.table(spark, sf_dir, "nation"))
+    return _csv_round_trip(spark, rows, "region-csv")
+
+
+def _product_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv_round_trip(spark, views.product_bronze_rows(views.table(spark, sf_dir, "part")), "product-csv")
+
+
+@register
+def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _region_bronze(spark, sf_dir)
+
+
+@register
+def dim_product_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sales.silver_dimension(_product_bronze(spark, sf_dir), _sales.PRODUCT_COLUMNS, _sales.PRODUCT_KEY, RUN_TS, ntz=True)
+
+
+@register
+def dim_region_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sales.silver_dimension(_region_bronze(spark, sf_dir), _sales.REGION_COLUMNS, _sales.REGION_KEY, RUN_TS, ntz=True)
+
+
+@register
+def dim_product_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = dim_product_silver(spark, sf_dir)
+    return _sales.gold_dimension(silver, _sales.PRODUCT_COLUMNS, _sales.PRODUCT_KEY, GOLD_RUN_TS, ntz=True)
+
+
+@register
+def dim_region_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = dim_region_silver(spark, sf_dir)
+    return _sales.gold_dimension(silver, _sales.REGION_COLUMNS, _sales.REGION_KEY, GOLD_RUN_TS, ntz=True)
+
+
+@register
+def fact_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = _csv_round_trip(spark, views.sales_bronze_rows(views.table(spark, sf_dir, "lineitem")), "sales-csv")
+    return _sales.silver_fact(bronze, RUN_TS, ntz=True)
+
+
+@register
+def scan_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = views.land_event_pages(spark, sf_dir, scratch_path(spark, "event-pages"))
+    text = _files.scan_json_pages(spark, folder, views.EVENT_TEXT)
+    return _schema.apply_schema(text, views.EVENT_CONTRACT)
+
+
+@register
+def union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.event_pages_rows(views.table(spark, sf_dir, "events"))
+    base = scratch_path(spark, "event-pages-split")
+    rows.filter(F.col("event_type") != "error").write.json(base + "/a")
+    rows.filter(F.col("event_type") == "error").drop("props").write.json(base + "/b")
+    pages = [spark.read.json(base + "/a"), spark.read.json(base + "/b")]
+    return _schema.apply_schema(_files.union_pages(pages), views.EVENT_CONTRACT)
+
+
+@register
+def landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = views.land_event_pages(spark, sf_dir, scratch_path(spark, "event-landing"))
+    bronze = _landing.ingest_pages(spark, folder, views.EVENT_TEXT, scratch_path(spark, "event-bronze"))
+    return _schema.apply_schema(bronze, views.EVENT_CONTRACT)
+
+
+@register
+def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "orders-table")
+    name = "strata_orders_" + base.rsplit("-", 1)[-1]
+    _sinks.write_version(spark, views.table(spark, sf_dir, "orders"), name, base)
+    return spark.table(name)
+
+
+@register
+def lower_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = views.table(spark, sf_dir, "customer")
+    return _schema.lower_columns(c.toDF(*[x.upper() for x in c.columns]))
+
+
+@register
+def price_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price-list job end to end in its default (as-read) layout, keyed insert-only
+    into an empty table: the refresh leaves exactly the parsed rows."""
+    parsed = fixed_width_as_read(spark, sf_dir)
+    return _merge.insert_new(_merge.delete_all(parsed), parsed, [_prices.KEY])

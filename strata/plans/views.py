@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Scale (decimal places) of the trip view's measures; total_amount is a product of two
 # two-place numbers, so it carries four.
@@ -46,3 +47,113 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_lineitem(table(spark, sf_dir, "lineitem"))
+
+
+def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Trips as an API delivers them: every value text, ISO times with a ``T``. Some values
+    are malformed on purpose so that casts have something to reject: a unit suffix on the
+    distance of first lines of returned items (flag ``n``, payment type 1) and a letter
+    prefix on the vendor of seventh lines."""
+    t = trips_from_lineitem(lineitem)
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+    out = []
+    for c in t.columns:
+        v = F.col(c)
+        if c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
+            s = F.date_format(v, iso)
+        elif c == "trip_distance":
+            bad = (F.col("store_and_fwd_flag") == "n") & (F.col("payment_type") == 1)
+            s = F.when(bad, F.concat(v.cast("string"), F.lit(" mi"))).otherwise(v.cast("string"))
+        elif c == "VendorID":
+            bad = F.col("payment_type") == 7
+            s = F.when(bad, F.concat(F.lit("V"), v.cast("string"))).otherwise(v.cast("string"))
+        else:
+            s = v.cast("string")
+        out.append(s.alias(c))
+    return t.select(*out)
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_trips_from_lineitem(table(spark, sf_dir, "lineitem"))
+
+
+def sales_bronze_rows(lineitem: DataFrame) -> DataFrame:
+    """Sales extract role: text columns with upper-case header names; date as dd/MM/yyyy."""
+    return lineitem.select(
+        F.col("l_partkey").cast("string").alias("CODIGO_PRODUTO"),
+        F.col("l_suppkey").cast("string").alias("CODIGO_REGIAO"),
+        F.date_format(F.col("l_shipdate"), "dd/MM/yyyy").alias("DATA_VENDA"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("QTDE_VENDA"),
+        F.col("l_extendedprice").cast("string").alias("VALOR_VENDA"),
+    )
+
+
+def product_bronze_rows(part: DataFrame) -> DataFrame:
+    """Product extract role: code, description, short code (brand)."""
+    return part.select(
+        F.col("p_partkey").cast("string").alias("CODIGO_PRODUTO"),
+        F.col("p_name").alias("DESCRICAO_PRODUTO"),
+        F.col("p_brand").alias("SIGLA_PRODUTO"),
+    )
+
+
+def region_bronze_rows(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """Region extract role: supplier code and name, with its nation's name as country."""
+    n = nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    return supplier.join(n, "s_nationkey", "left").select(
+        F.col("s_suppkey").cast("string").alias("CODIGO_REGIAO"),
+        F.col("s_name").alias("DESCRICAO_REGIAO"),
+        F.col("n_name").alias("NOME_PAIS"),
+    )
+
+
+def price_lines_from_part(part: DataFrame) -> DataFrame:
+    """Price-list role: one 136-character record per part.
+
+    Code (10, zero-padded), 5 blanks, description (101, blank-padded), update date as
+    DDMMYYYY (2020-12-01 plus ``p_size`` days), price as 10 characters of cents (promo parts
+    carry the letter ``L`` in place of the first digit), 2 blanks.
+    """
+    cents = F.round(F.col("p_retailprice") * 100).cast("bigint").cast("string")
+    lead = F.when(F.col("p_type") == "PROMO", F.lit("L")).otherwise(F.lit("0"))
+    desc = F.concat_ws(" ", F.upper(F.col("p_name")), F.col("p_brand"), F.col("p_type"))
+    day = F.date_add(F.lit("2020-12-01").cast("date"), F.col("p_size"))
+    return part.select(
+        F.concat(
+            F.lpad(F.col("p_partkey").cast("string"), 10, "0"),
+            F.lit(" " * 5),
+            F.rpad(F.substring(desc, 1, 101), 101, " "),
+            F.date_format(day, "ddMMyyyy"),
+            lead,
+            F.lpad(cents, 9, "0"),
+            F.lit(" " * 2),
+        ).alias("value")
+    )
+
+
+def event_pages_rows(events: DataFrame) -> DataFrame:
+    """Events as text, the way a paged JSON API delivers them."""
+    return events.select(*[F.col(c).cast("string").alias(c) for c in events.columns])
+
+
+# Contract of the events role (zone-free times, as stored in the test table).
+EVENT_CONTRACT = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+EVENT_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in EVENT_CONTRACT.fields])
+
+
+def land_event_pages(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Land the events as JSON pages in ``folder``: one write of all non-error events, and
+    one of the error events without the ``props`` key (a page whose rows all lack a field)."""
+    rows = event_pages_rows(table(spark, sf_dir, "events"))
+    rows.filter(F.col("event_type") != "error").write.mode("append").json(folder)
+    rows.filter(F.col("event_type") == "error").drop("props").write.mode("append").json(folder)
+    return folder
