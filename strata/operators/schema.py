@@ -56,9 +56,15 @@ def schema_rejects(
 ) -> DataFrame:
     """Input rows with at least one present value that does not cast, plus the failing
     column names (comma-separated, schema order)."""
-    flags = [F.when(_failed(df, f), F.lit(f.name)) for f in schema.fields]
-    reason = F.concat_ws(",", *flags)
-    return df.withColumn(reason_col, reason).filter(F.col(reason_col) != "")
+    checks = [(f.name, _failed(df, f)) for f in schema.fields if df.schema[_resolve(df, f.name)].dataType != f.dataType]
+    if not checks:
+        return df.withColumn(reason_col, F.lit("")).where(F.lit(False))
+    any_failed = checks[0][1]
+    for _, c in checks[1:]:
+        any_failed = any_failed | c
+    # filter first (cheap boolean per row); the names are built only for rejected rows
+    reason = F.concat_ws(",", *[F.when(c, F.lit(n)) for n, c in checks])
+    return df.filter(any_failed).withColumn(reason_col, reason)
 
 
 def reject_counts(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -151,8 +151,7 @@ def filter_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact_silver_mem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = views.sales_bronze_rows(views.table(spark, sf_dir, "lineitem"))
-    return _sales.silver_fact(bronze, RUN_TS, ntz=True)
+    return views.sales_silver_from_lineitem(views.table(spark, sf_dir, "lineitem"), RUN_TS)
 
 
 @register

@@ -16,8 +16,24 @@ from pyspark.sql import types as T
 TRIP_SCALES = {"total_amount": 4}
 
 
+# Tables that play large fact roles; their scans are spread over the cluster's cores when
+# the files give fewer splits than cores (a file written as one row group is one task).
+FACT_TABLES = frozenset({"lineitem", "orders", "events"})
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin over ``defaultParallelism`` partitions if the scan has fewer splits.
+
+    Large inputs already have more splits than cores, so this adds no shuffle at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
@@ -157,3 +173,16 @@ def land_event_pages(spark: SparkSession, sf_dir: str, folder: str) -> str:
     rows.filter(F.col("event_type") != "error").write.mode("append").json(folder)
     rows.filter(F.col("event_type") == "error").drop("props").write.mode("append").json(folder)
     return folder
+
+
+def sales_silver_from_lineitem(lineitem: DataFrame, run_ts: str, ntz: bool = True) -> DataFrame:
+    """Typed sales rows (the silver table's role) straight from the line items."""
+    kind = "timestamp_ntz" if ntz else "timestamp"
+    return lineitem.select(
+        F.col("l_partkey").cast("bigint").alias("codigo_produto"),
+        F.col("l_suppkey").cast("bigint").alias("codigo_regiao"),
+        F.to_date(F.col("l_shipdate")).alias("data_venda"),
+        F.col("l_quantity").cast("bigint").alias("qtde_venda"),
+        F.col("l_extendedprice").cast("float").alias("valor_venda"),
+        F.lit(run_ts).cast(kind).alias("data_atualizacao"),
+    )
