@@ -10,6 +10,8 @@ if ROOT not in sys.path:
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from pyspark.sql import SparkSession
 
     s = (
@@ -19,6 +21,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-warehouse-"))
+        .config("spark.sql.icu.caseMappings.enabled", "false")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
