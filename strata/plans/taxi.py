@@ -106,12 +106,22 @@ def clean_columns(trips: DataFrame) -> list[str]:
     return [*trips.columns, *PARTS, CHECK]
 
 
+def clean_trips(trips: DataFrame) -> DataFrame:
+    """Kept trips with the flag normalised, the pickup parts and the rule column."""
+    kept = quality.quality_filter(trips, keep_rules())
+    return pickup_parts(normalize_flag(kept)).withColumn(CHECK, total_covers_parts())
+
+
 def trips_of_class(trips: DataFrame, cls: str) -> DataFrame:
-    """One class. valid / invalid / unclassified carry the derived columns; removed keeps the
-    input columns only (as it is cut before derivation)."""
-    classified = classify_trips(trips)
-    cols = trips.columns if cls == quality.REMOVED else clean_columns(trips)
-    return quality.select_class(classified, cls, cols, CLASS_COL)
+    """One class, as a direct predicate so that the keep rules reach the Parquet scan.
+    valid / invalid / unclassified carry the derived columns; removed keeps the input
+    columns only (it is cut before derivation). ``classify_trips`` gives all classes at once."""
+    if cls == quality.REMOVED:
+        return quality.removed_all(trips, keep_rules())
+    clean = clean_trips(trips)
+    check = F.col(CHECK)
+    pred = {quality.VALID: check, quality.INVALID: ~check, quality.UNCLASSIFIED: check.isNull()}[cls]
+    return clean.filter(pred)
 
 
 def valid_trips(trips: DataFrame) -> DataFrame:
