@@ -48,7 +48,9 @@ def duplicate_matches(target: DataFrame, source: DataFrame, keys: Sequence[str])
         .agg(F.count(F.lit(1)).alias("source_rows"))
         .filter(F.col("source_rows") > 1)
     )
-    return dup.join(target.filter(present).select(*keys), list(keys), "left_semi")
+    # the (usually tiny) duplicate set is the build side, so the target keys are not shuffled
+    # to meet it when it can be broadcast
+    return target.filter(present).select(*keys).join(dup, list(keys), "left_semi")
 
 
 def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:

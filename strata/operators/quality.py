@@ -122,25 +122,25 @@ def quality_report(
     input_columns: Sequence[str],
     class_col: str = "quality_class",
 ) -> DataFrame:
-    """Reconciliation as rows ``(measure, rows)``.
+    """Reconciliation as rows ``(measure, rows)``, from one scan and one shuffle.
 
     Measures: ``total``, the four classes, ``removed_distinct`` (what the set difference keeps)
     and ``reference_sum`` = valid + invalid + removed_distinct (which need not equal total).
+
+    Rows are grouped by class and by their input columns, with the input columns masked to
+    NULL outside the removed class: every other class collapses into one group (combined
+    map-side), while removed rows group by their full value, which yields the distinct count.
     """
-    per_class = classified.groupBy(class_col).agg(F.count(F.lit(1)).alias("rows"))
-    dist = (
-        classified.filter(F.col(class_col) == REMOVED)
-        .select(*input_columns)
-        .distinct()
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit("removed_distinct").alias(class_col), "rows")
-    )
-    base = per_class.unionByName(dist)
-    counts = base.agg(
+    is_removed = F.col(class_col) == REMOVED
+    masked = [F.when(is_removed, F.col(c)).alias(f"_m{i}") for i, c in enumerate(input_columns)]
+    groups = classified.select(F.col(class_col), *masked).groupBy(class_col, *[f"_m{i}" for i in range(len(input_columns))])
+    per_group = groups.agg(F.count(F.lit(1)).alias("rows"))
+    counts = per_group.agg(
         *[
-            F.coalesce(F.sum(F.when(F.col(class_col) == m, F.col("rows"))), F.lit(0)).alias(m)
-            for m in (*CLASSES, "removed_distinct")
-        ]
+            F.coalesce(F.sum(F.when(F.col(class_col) == c, F.col("rows"))), F.lit(0)).alias(c)
+            for c in CLASSES
+        ],
+        F.count(F.when(F.col(class_col) == REMOVED, F.lit(1))).alias("removed_distinct"),
     )
     total = sum((F.col(c) for c in CLASSES), F.lit(0))
     counts = counts.withColumn("total", total).withColumn(

@@ -323,3 +323,5 @@ ORACLE["union_pages"] = EVENTS_TYPED
 ORACLE["landing_ingest"] = EVENTS_TYPED
 ORACLE["overwrite_table"] = "SELECT * FROM orders"
 ORACLE["lower_columns"] = "SELECT * FROM customer"
+ORACLE["quality_split_valid"] = ORACLE["valid_trips"]
+ORACLE["quality_split_removed"] = ORACLE["removed_all"]

@@ -358,3 +358,24 @@ def price_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     into an empty table: the refresh leaves exactly the parsed rows."""
     parsed = fixed_width_as_read(spark, sf_dir)
     return _merge.insert_new(_merge.delete_all(parsed), parsed, [_prices.KEY])
+
+
+def _written_split(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    trips = views.trips(spark, sf_dir)
+    path = scratch_path(spark, "trip-split")
+    _sinks.write_quality_split(taxi.classify_trips(trips), path)
+    return path, trips
+
+
+@register
+def quality_split_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid class read back from the one-write split (partition-pruned)."""
+    path, trips = _written_split(spark, sf_dir)
+    return _sinks.read_quality_class(spark, path, quality.VALID, taxi.clean_columns(trips))
+
+
+@register
+def quality_split_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed class (all copies, input columns) read back from the one-write split."""
+    path, trips = _written_split(spark, sf_dir)
+    return _sinks.read_quality_class(spark, path, quality.REMOVED, trips.columns)
