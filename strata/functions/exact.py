@@ -1,15 +1,17 @@
 """Order-independent rounded sums and means.
 
 ``round(sum(double), 2)`` depends on the order in which partial sums are merged, so two
-runs (or two engines) can disagree on a tie. Here each value is first read as a decimal with
-``scale`` places (the precision the data is recorded in), summed exactly, and rounded half
-away from zero. The mean is rounded with integer arithmetic,
-``sign(S) * ((2|S| + k n) div (2 k n))`` with ``S`` the sum in units of ``10**-scale`` and
-``k = 10**(scale - digits)``, so no intermediate quotient is ever rounded. Results are doubles,
-like the plain form. ``float_sum`` / ``float_avg`` give the plain ``round(agg(double), d)``.
-
-The expressions are built as SQL text over a column name so that the integer ``div``
-operator is available; they run JVM-side inside the aggregate.
+runs (or two engines) can disagree on a tie. Here each value is read as a whole number of
+``10**-scale`` units (``scale`` = the places the data is recorded in, so the reading is exact),
+the units are summed as bigint, and the result is rounded half away from zero with integer
+arithmetic: ``sign(U) * ((2|U| + k n) div (2 k n))`` with ``k = 10**(scale - digits)``
+(``n = 1`` for the sum). No intermediate value is ever rounded, and the sum is a plain long
+sum, so the aggregate stays on the fast fixed-width path. ANSI mode turns an overflow
+(beyond 9.2e18 units in one group) into an error instead of a wrong number. Results are
+doubles, like the plain form; ``float_sum`` / ``float_avg`` give ``round(agg(double), d)``.
+
+The expressions are SQL text over a column name so that the integer ``div`` operator is
+available; they run JVM-side inside the aggregate.
 """
 
 from __future__ import annotations
@@ -22,33 +24,32 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _units_sum(name: str, scale: int) -> str:
-    # exact sum of the values, as an integer number of 10**-scale units
-    return f"cast(sum(cast({_q(name)} as decimal(18,{scale}))) * {10 ** scale} as decimal(38,0))"
+def units(name: str, scale: int) -> str:
+    """SQL: the value as a whole number of ``10**-scale`` units (bigint)."""
+    return f"cast(rint({_q(name)} * {10 ** scale}D) as bigint)"
+
+
+def _rounded(total: str, k_n: str, digits: int) -> str:
+    q = f"((2 * abs({total}) + {k_n}) div (2 * {k_n}))"
+    return f"(case when {total} < 0 then -{q} else {q} end) / {10 ** digits}D"
 
 
 def exact_sum(name: str, scale: int = 2, digits: int = 2) -> Column:
     """Sum of a column, exact, rounded half away from zero to ``digits`` places, as double."""
     if scale < digits:
         raise ValueError("scale must be >= digits")
-    return F.expr(
-        f"cast(round(sum(cast({_q(name)} as decimal(18,{scale}))), {digits}) as double)"
-    )
+    total = f"sum({units(name, scale)})"
+    return F.expr(_rounded(total, str(10 ** (scale - digits)), digits))
 
 
 def exact_avg(name: str, scale: int = 2, digits: int = 2) -> Column:
     """Mean of the non-NULL values, exact, rounded half away from zero, as double."""
     if scale < digits:
         raise ValueError("scale must be >= digits")
-    k = 10 ** (scale - digits)
-    units = _units_sum(name, scale)
+    total = f"sum({units(name, scale)})"
     n = f"count({_q(name)})"
-    q = f"((2 * abs({units}) + {k} * {n}) div (2 * {k} * {n}))"
-    return F.expr(
-        f"case when {n} = 0 then cast(null as double) "
-        f"when {units} < 0 then cast(-{q} as double) / {10 ** digits} "
-        f"else cast({q} as double) / {10 ** digits} end"
-    )
+    k_n = f"{10 ** (scale - digits)} * {n}"
+    return F.expr(f"case when {n} = 0 then cast(null as double) else {_rounded(total, k_n, digits)} end")
 
 
 def float_sum(name: str, digits: int = 2) -> Column:

@@ -12,19 +12,26 @@ def q(name: str) -> str:
     return '"' + name + '"'
 
 
+def _units(col: str, scale: int) -> str:
+    return f"CAST(round({col} * CAST({10 ** scale} AS DOUBLE)) AS BIGINT)"
+
+
+def _half_up(total: str, k_n: str, digits: int) -> str:
+    return (
+        f"CAST((CASE WHEN {total} < 0 THEN -1 ELSE 1 END) * ((2 * abs({total}) + {k_n}) // (2 * ({k_n}))) AS DOUBLE)"
+        f" / CAST({10 ** digits} AS DOUBLE)"
+    )
+
+
 def xsum(col: str, scale: int = 2, digits: int = 2) -> str:
-    return f"CAST(round(sum(CAST({col} AS DECIMAL(18,{scale}))), {digits}) AS DOUBLE)"
+    total = f"sum({_units(col, scale)})"
+    return f"CASE WHEN {total} IS NULL THEN NULL ELSE {_half_up(total, str(10 ** (scale - digits)), digits)} END"
 
 
 def xavg(col: str, scale: int = 2, digits: int = 2) -> str:
-    k = 10 ** (scale - digits)
-    u = f"CAST(sum(CAST({col} AS DECIMAL(18,{scale}))) * {10 ** scale} AS HUGEINT)"
+    total = f"sum({_units(col, scale)})"
     n = f"count({col})"
-    return (
-        f"CASE WHEN {n} = 0 THEN NULL ELSE "
-        f"CAST((CASE WHEN {u} < 0 THEN -1 ELSE 1 END) * ((2 * abs({u}) + {k} * {n}) // (2 * {k} * {n})) AS DOUBLE)"
-        f" / CAST({10 ** digits} AS DOUBLE) END"
-    )
+    return f"CASE WHEN {n} = 0 THEN NULL ELSE {_half_up(total, f'{10 ** (scale - digits)} * {n}', digits)} END"
 
 
 TRIPS = """
