@@ -55,12 +55,12 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     distance of first lines of returned items (flag ``n``, payment type 1) and a letter
     prefix on the vendor of seventh lines."""
     t = trips_from_lineitem(lineitem)
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSS"
     out = []
     for c in t.columns:
         v = F.col(c)
         if c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
-            s = F.date_format(v, iso)
+            # zone-free text of the wall-clock time, ISO form with a T
+            s = F.translate(v.cast("string"), " ", "T")
         elif c == "trip_distance":
             bad = (F.col("store_and_fwd_flag") == "n") & (F.col("payment_type") == 1)
             s = F.when(bad, F.concat(v.cast("string"), F.lit(" mi"))).otherwise(v.cast("string"))
@@ -82,7 +82,7 @@ def sales_bronze_rows(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.col("l_partkey").cast("string").alias("CODIGO_PRODUTO"),
         F.col("l_suppkey").cast("string").alias("CODIGO_REGIAO"),
-        F.date_format(F.col("l_shipdate"), "dd/MM/yyyy").alias("DATA_VENDA"),
+        F.date_format(F.to_date(F.col("l_shipdate")), "dd/MM/yyyy").alias("DATA_VENDA"),
         F.col("l_quantity").cast("bigint").cast("string").alias("QTDE_VENDA"),
         F.col("l_extendedprice").cast("string").alias("VALOR_VENDA"),
     )
