@@ -4,8 +4,9 @@ Semantics of a key-matched MERGE:
 
 * a key matches only if every key column is non-NULL and equal, so NULL-key rows never match:
   NULL-key source rows are always inserted and NULL-key target rows always stay;
-* upsert (update-all + insert-all): matched target rows are replaced by their source rows,
-  unmatched source rows are inserted, unmatched target rows stay (nothing is deleted);
+* upsert (update-all + insert-all): matched target rows are replaced by their source rows
+  (every copy, if the target holds a key more than once), unmatched source rows are inserted,
+  unmatched target rows stay (nothing is deleted);
 * two source rows matching the same target row is an error for upsert (``DuplicateMatchError``);
   duplicate source keys without a match are all inserted;
 * insert-only: unmatched source rows are inserted, matched target rows are left alone.
@@ -68,8 +69,18 @@ def upsert(
     if check:
         check_single_match(target, src, keys)
     present = _all_present(keys)
-    kept = target.filter(present).join(src.filter(present).select(*keys), keys, "left_anti")
-    return kept.unionByName(target.filter(~present)).unionByName(src)
+    src_keys = src.filter(present).select(*keys)
+    kept = target.filter(present).join(src_keys, keys, "left_anti")
+    # Every target copy of a matched key is updated, so a source row is emitted once per
+    # matching target row (once if it matches none). Target keys are first cut to the matched
+    # ones by a semi-join on the (usually small, broadcastable) source keys.
+    matched = target.filter(present).select(*keys).join(src_keys, keys, "left_semi")
+    replaced = src.filter(present).join(matched, keys, "left").select(*target.columns)
+    return (
+        kept.unionByName(target.filter(~present))
+        .unionByName(replaced)
+        .unionByName(src.filter(~present))
+    )
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -71,3 +71,10 @@ def test_composite_key_with_partial_null(spark):
     s = spark.createDataFrame([(1, None, "A"), (1, 2, "B")], "k1 long, k2 long, v string")
     got = sorted(tuple(r) for r in merge.upsert(t, s, ["k1", "k2"]).fillna(-1).collect())
     assert got == [(1, -1, "A"), (1, -1, "a"), (1, 2, "B")]
+
+
+def test_duplicate_target_keys_all_updated(spark):
+    t = _df(spark, [(2, "b1"), (2, "b2"), (5, "e")])
+    s = _df(spark, [(2, "B"), (7, "g")])
+    assert _rows(merge.upsert(t, s, ["k"])) == [(2, "B"), (2, "B"), (5, "e"), (7, "g")]
+    assert _rows(merge.insert_new(t, s, ["k"])) == [(2, "b1"), (2, "b2"), (5, "e"), (7, "g")]
