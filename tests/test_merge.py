@@ -78,3 +78,23 @@ def test_duplicate_target_keys_all_updated(spark):
     s = _df(spark, [(2, "B"), (7, "g")])
     assert _rows(merge.upsert(t, s, ["k"])) == [(2, "B"), (2, "B"), (5, "e"), (7, "g")]
     assert _rows(merge.insert_new(t, s, ["k"])) == [(2, "b1"), (2, "b2"), (5, "e"), (7, "g")]
+
+
+def test_null_key_rows_bypass_the_join(spark, tmp_dir):
+    t = spark.createDataFrame([(None, "n")] * 5 + [(1, "a")], SCHEMA)
+    t.write.parquet(tmp_dir + "/t")
+    s = _df(spark, [(1, "A")])
+    out = merge.upsert(spark.read.parquet(tmp_dir + "/t"), s, ["k"])
+    assert _rows(out) == [(None, "n")] * 5 + [(1, "A")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the branch with NULL keys is a filtered scan feeding the union directly
+    assert "isnull(k" in plan
+
+
+def test_scan_path_and_table(spark, tmp_dir):
+    from strata.sources.tables import scan_path, scan_table
+
+    _df(spark, [(1, "a")]).write.parquet(tmp_dir + "/p")
+    assert _rows(scan_path(spark, tmp_dir + "/p")) == [(1, "a")]
+    scan_path(spark, tmp_dir + "/p").createOrReplaceTempView("strata_scan_v")
+    assert scan_table(spark, "strata_scan_v", ["K"]).columns == ["K"]

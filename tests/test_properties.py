@@ -1,0 +1,79 @@
+"""Property tests: merges against a brute-force model, exact rounding against Decimal."""
+
+from collections import Counter
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from strata.functions.exact import exact_avg, exact_sum
+from strata.operators import merge
+
+KEYS = st.one_of(st.none(), st.integers(min_value=0, max_value=6))
+ROWS = st.lists(st.tuples(KEYS, st.sampled_from(["a", "b", "c"])), max_size=8)
+SETTINGS = settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _model_upsert(t, s):
+    skeys = Counter(k for k, _ in s if k is not None)
+    tkeys = Counter(k for k, _ in t if k is not None)
+    if any(skeys[k] > 1 and tkeys[k] > 0 for k in skeys):
+        return "error"
+    out = [r for r in t if r[0] is None or r[0] not in skeys]
+    for r in s:
+        out += [r] * (tkeys[r[0]] if r[0] is not None and tkeys[r[0]] else 1)
+    return Counter(out)
+
+
+def _model_insert(t, s):
+    tkeys = {k for k, _ in t if k is not None}
+    return Counter(t + [r for r in s if r[0] is None or r[0] not in tkeys])
+
+
+def _bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+@SETTINGS
+@given(t=ROWS, s=ROWS)
+def test_upsert_matches_model(spark, t, s):
+    td = spark.createDataFrame(t, "k long, v string")
+    sd = spark.createDataFrame(s, "k long, v string")
+    want = _model_upsert(t, s)
+    if want == "error":
+        with pytest.raises(merge.DuplicateMatchError):
+            merge.upsert(td, sd, ["k"])
+    else:
+        assert _bag(merge.upsert(td, sd, ["k"])) == want
+
+
+@SETTINGS
+@given(t=ROWS, s=ROWS)
+def test_insert_new_matches_model(spark, t, s):
+    td = spark.createDataFrame(t, "k long, v string")
+    sd = spark.createDataFrame(s, "k long, v string")
+    assert _bag(merge.insert_new(td, sd, ["k"])) == _model_insert(t, s)
+
+
+CENTS = st.lists(st.one_of(st.none(), st.integers(min_value=-10**9, max_value=10**9)), min_size=1, max_size=12)
+
+
+@SETTINGS
+@given(values=CENTS)
+def test_exact_rounding_matches_decimal(spark, values):
+    """Values with 3 places; sum and mean rounded half away from zero to 2 places."""
+    xs = [None if v is None else v / 1000 for v in values]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = df.agg(exact_sum("x", 3).alias("s"), exact_avg("x", 3).alias("m")).first()
+    present = [Decimal(v) / 1000 for v in values if v is not None]
+
+    def half_away(d):
+        q = abs(d).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        return float(-q if d < 0 else q)
+
+    if not present:
+        assert got["s"] is None and got["m"] is None
+    else:
+        assert got["s"] == half_away(sum(present))
+        assert got["m"] == half_away(sum(present) / len(present))

@@ -89,3 +89,19 @@ def test_filter_pushed_to_parquet(spark, tmp_dir, trips):
     for f in ("IsNotNull(tpep_pickup_datetime)", "IsNotNull(VendorID)", "GreaterThan(trip_distance,0.0)",
               "GreaterThan(passenger_count,0.0)", "GreaterThanOrEqual(fare_amount,0.0)"):
         assert f in pushed, pushed
+
+
+def test_removed_all_and_clean_partition_input(trips):
+    from collections import Counter
+
+    clean = quality.quality_filter(trips, taxi.keep_rules())
+    both = Counter(map(tuple, clean.collect())) + Counter(map(tuple, taxi.removed_trips_all(trips).collect()))
+    assert both == Counter(map(tuple, trips.collect()))
+
+
+def test_quality_report_is_one_scan_one_shuffle(trips, spark, tmp_dir):
+    trips.write.parquet(tmp_dir + "/t2")
+    rep = taxi.trip_quality_report(spark.read.parquet(tmp_dir + "/t2"))
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
