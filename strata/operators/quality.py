@@ -64,10 +64,11 @@ def classify(
     their original values there (new columns are NULL for them), so the removed class can be
     projected back to the input schema.
     """
-    keep = kept(keep_rules)
-    out = df
+    keep_flag = "__strata_keep"
+    marked = df.withColumn(keep_flag, kept(keep_rules))  # rules see the input values
+    keep = F.col(keep_flag)
     extra = dict(on_kept or {})
-    cols = []
+    cols = [keep]
     for c in df.columns:
         if c in extra:
             cols.append(F.when(keep, extra.pop(c)).otherwise(F.col(c)).alias(c))
@@ -75,16 +76,14 @@ def classify(
             cols.append(F.col(c))
     for name, expr in extra.items():
         cols.append(F.when(keep, expr).alias(name))
-    out = df.select(*cols)
-    check_col = F.when(keep, check)
-    out = out.withColumn(check_name, check_col)
+    out = marked.select(*cols).withColumn(check_name, F.when(keep, check))
     cls = (
         F.when(~keep, F.lit(REMOVED))
         .when(F.col(check_name).isNull(), F.lit(UNCLASSIFIED))
         .when(F.col(check_name), F.lit(VALID))
         .otherwise(F.lit(INVALID))
     )
-    return out.withColumn(class_col, cls)
+    return out.withColumn(class_col, cls).drop(keep_flag)
 
 
 def select_class(
