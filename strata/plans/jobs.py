@@ -93,12 +93,21 @@ def fact_silver_job(lake: Lake, bronze: str, silver: str, run_ts=None) -> DataFr
 
 
 def fact_gold_job(
-    lake: Lake, silver: str, gold: str, run_ts=None, keys: Sequence[str] = ("codigo_produto", "codigo_regiao", "id_data_venda")
+    lake: Lake,
+    silver: str,
+    gold: str,
+    run_ts=None,
+    keys: Sequence[str] = ("codigo_produto", "codigo_regiao", "id_data_venda"),
+    partition_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rolled-up fact, create-or-upsert. The merge matches on the natural key by default,
-    because the concatenated ``id_fa_venda`` can collide."""
+    because the concatenated ``id_fa_venda`` can collide. With ``partition_by`` (e.g. the
+    date key) the table is partitioned and a run rewrites only the partitions it touches."""
     df = sales.gold_fact(scan_table(lake.spark, silver), run_ts)
-    sinks.upsert_table(lake.spark, df, gold, list(keys), lake.path(gold))
+    if partition_by:
+        sinks.upsert_partitioned_table(lake.spark, df, gold, list(keys), list(partition_by), lake.path(gold))
+    else:
+        sinks.upsert_table(lake.spark, df, gold, list(keys), lake.path(gold))
     return lake.spark.table(gold)
 
 

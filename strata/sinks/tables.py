@@ -27,10 +27,6 @@ def overwrite_table(
     writer.saveAsTable(table)
 
 
-def _location(spark: SparkSession, table: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location")
-    row = rows.first()
-    return row["data_type"] if row else None
 
 
 def write_version(
@@ -104,3 +100,68 @@ def read_quality_class(
 ) -> DataFrame:
     """One class of a split written by ``write_quality_split`` (partition-pruned)."""
     return spark.read.parquet(path).filter(F.col(class_col) == cls).select(*columns)
+
+
+# Characters Spark percent-encodes in partition folder names (fixed rule of its path layout).
+_PATH_ESCAPE = set('"#%\'*/:=?\\{[]^') | {chr(c) for c in range(0x20)} | {"\x7f"}
+
+
+def _escape(value: str) -> str:
+    return "".join(f"%{ord(ch):02X}" if ch in _PATH_ESCAPE else ch for ch in value)
+
+
+def _sql_text(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def upsert_partitioned_table(
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    base_path: str,
+    check: bool = True,
+) -> list[dict]:
+    """Create-or-upsert a table partitioned by ``partition_by``, rewriting only the
+    partitions the source touches (copy-on-write per partition).
+
+    The partition columns must be part of the merge key, so that a key's rows live in one
+    partition and no match crosses partitions. Each run writes the touched partitions once
+    (``partitionBy``) into a new version folder and repoints those partitions in the catalog;
+    all other partitions keep their files. Only the touched partition values (metadata, not
+    rows) come to the driver. Returns those values.
+    """
+    parts = list(partition_by)
+    if not set(parts) <= set(keys):
+        raise ValueError("partition columns must be part of the merge key")
+    version = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
+    if not spark.catalog.tableExists(table):
+        source.write.mode("errorifexists").partitionBy(*parts).parquet(version)
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
+        spark.sql(
+            f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY ({', '.join(parts)}) "
+            f"LOCATION '{version}'"
+        )
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        return [r.asDict() for r in source.select(*parts).distinct().collect()]
+    target = spark.table(table)
+    src = source.select(*target.columns)
+    touched_df = src.select(*parts).distinct()
+    touched = [r.asDict() for r in touched_df.collect()]
+    if any(v is None for r in touched for v in r.values()):
+        raise ValueError("NULL partition values are not supported")
+    # the semi-join on partition columns lets dynamic partition pruning skip other partitions
+    current = target.join(touched_df, parts, "left_semi")
+    merged = merge.upsert(current, src, keys, check=check)
+    merged.write.mode("errorifexists").partitionBy(*parts).parquet(version)
+    existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for spec in touched:
+        folder = "/".join(f"{c}={_escape(str(spec[c]))}" for c in parts)
+        clause = ", ".join(f"{c} = {_sql_text(spec[c])}" for c in parts)
+        if folder in existing:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({clause}) SET LOCATION '{version}/{folder}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({clause}) LOCATION '{version}/{folder}'")
+    spark.catalog.refreshTable(table)
+    return touched

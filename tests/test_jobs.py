@@ -38,6 +38,13 @@ def test_sales_star(spark, tmp_dir):
     g2 = jobs.fact_gold_job(lake, "j_silver.fa_venda", "j_gold.fa_venda", run_ts="2024-01-02 00:00:00")
     assert g2.count() == 14
     assert g2.agg(F.max("data_atualizacao")).first()[0] == dt.datetime(2024, 1, 2)
+    gp = jobs.fact_gold_job(lake, "j_silver.fa_venda", "j_gold.fa_venda_p", partition_by=["id_data_venda"])
+    gp2 = jobs.fact_gold_job(lake, "j_silver.fa_venda", "j_gold.fa_venda_p", partition_by=["id_data_venda"])
+    assert gp.count() == gp2.count() == 14
+    plan = spark.table("j_gold.fa_venda_p").join(
+        spark.createDataFrame([(20210101,)], "id_data_venda long"), "id_data_venda", "left_semi"
+    )._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() or "PartitionFilters: [isnotnull(id_data_venda" in plan
     cal = jobs.calendar_job(lake, "j_gold.di_tempo", "2021-01-01", "2022-01-01")
     assert cal.count() == 365
     assert jobs.calendar_job(lake, "j_gold.di_tempo", "2021-01-01", "2022-01-01").count() == 365

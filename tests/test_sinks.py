@@ -48,3 +48,25 @@ def test_quality_split_one_write(spark, tmp_dir):
     assert removed.count() == 1
     plan = removed._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(quality_class" in plan
+
+
+def test_partitioned_upsert_rewrites_only_touched(spark, tmp_dir):
+    name = "strata_part_fact"
+    first = spark.createDataFrame(
+        [(1, 20210101, 5.0), (2, 20210101, 6.0), (1, 20210102, 7.0)], "p long, d long, v double"
+    )
+    tables.upsert_partitioned_table(spark, first, name, ["p", "d"], ["d"], tmp_dir + "/fact")
+    locs = {r[0]: r for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    assert set(locs) == {"d=20210101", "d=20210102"}
+
+    def location(part):
+        return spark.sql(f"DESCRIBE FORMATTED {name} PARTITION ({part})").filter("col_name = 'Location'").first()[1]
+
+    before = location("d = 20210102")
+    src = spark.createDataFrame([(2, 20210101, 60.0), (3, 20210103, 8.0)], "p long, d long, v double")
+    touched = tables.upsert_partitioned_table(spark, src, name, ["p", "d"], ["d"], tmp_dir + "/fact")
+    assert sorted(t["d"] for t in touched) == [20210101, 20210103]
+    assert location("d = 20210102") == before  # untouched partition keeps its files
+    assert _rows(spark.table(name).select("p", "d", "v")) == [
+        (1, 20210101, 5.0), (1, 20210102, 7.0), (2, 20210101, 60.0), (3, 20210103, 8.0)
+    ]
