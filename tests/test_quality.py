@@ -105,3 +105,9 @@ def test_quality_report_is_one_scan_one_shuffle(trips, spark, tmp_dir):
     plan = rep._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_add_rule_is_null_propagating(spark):
+    df = spark.createDataFrame([(5.0, 1.0), (1.0, 5.0), (None, 1.0)], "total double, part double")
+    out = quality.add_rule(df, "ok", F.col("total") >= F.col("part"))
+    assert [r["ok"] for r in out.collect()] == [True, False, None]

@@ -71,3 +71,10 @@ def test_calendar_is_zone_free(spark):
 def test_generate_series_bounds(spark):
     s = series.generate_series(spark, "2023-01-01 00:00:00", "2023-01-01 03:00:00", 3600)
     assert [r["data"] for r in s.orderBy("data").collect()] == [dt.datetime(2023, 1, 1, h) for h in range(3)]
+
+
+def test_hash_key_is_deterministic(spark):
+    df = spark.createDataFrame([(1, 12, 20210101), (11, 2, 20210101)], "p long, r long, d long")
+    a = [r[0] for r in df.select(keys.hash_key(["p", "r", "d"])).collect()]
+    b = [r[0] for r in df.select(keys.hash_key(["p", "r", "d"])).collect()]
+    assert a == b and a[0] != a[1]

@@ -62,3 +62,10 @@ def test_lower_and_stamp(spark):
     assert st.first()["dt_inclusao"] == dt.datetime(2024, 1, 1)
     live = schema.stamp(out, "dt_inclusao")
     assert isinstance(live.schema["dt_inclusao"].dataType, T.TimestampType)
+
+
+def test_cast_columns_in_place(spark):
+    df = spark.createDataFrame([("101", "3", "x")], "codigo string, qtde string, nome string")
+    out = schema.cast_columns(df, {"CODIGO": "bigint", "qtde": T.LongType()})
+    assert out.columns == ["codigo", "qtde", "nome"]
+    assert tuple(out.first()) == (101, 3, "x")
