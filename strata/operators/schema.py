@@ -78,7 +78,8 @@ def reject_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def cast_columns(df: DataFrame, types: dict[str, T.DataType | str]) -> DataFrame:
     """In-place ``try_cast`` of named columns (order kept)."""
-    return df.withColumns({c: F.col(_resolve(df, c)).try_cast(t) for c, t in types.items()})
+    resolved = {_resolve(df, c): t for c, t in types.items()}  # keep the table's own names
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in resolved.items()})
 
 
 def lower_columns(df: DataFrame) -> DataFrame:
