@@ -88,7 +88,12 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     keys = list(keys)
     src = _align(source, target)
     present = _all_present(keys)
-    new = src.filter(present).join(target.filter(present).select(*keys), keys, "left_anti")
+    src_keys = src.filter(present).select(*keys)
+    # target keys are cut to the ones the source has (semi-join; the source keys are the build
+    # side and are broadcast when small, so the target is not shuffled), then the source rows
+    # with those keys are dropped
+    matched = target.filter(present).select(*keys).join(src_keys, keys, "left_semi")
+    new = src.filter(present).join(matched, keys, "left_anti")
     return target.unionByName(new).unionByName(src.filter(~present))
 
 
