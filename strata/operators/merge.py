@@ -69,16 +69,27 @@ def upsert(
     if check:
         check_single_match(target, src, keys)
     present = _all_present(keys)
-    src_keys = src.filter(present).select(*keys)
-    kept = target.filter(present).join(src_keys, keys, "left_anti")
-    # Every target copy of a matched key is updated, so a source row is emitted once per
-    # matching target row (once if it matches none). Target keys are first cut to the matched
-    # ones by a semi-join on the (usually small, broadcastable) source keys.
-    matched = target.filter(present).select(*keys).join(src_keys, keys, "left_semi")
-    replaced = src.filter(present).join(matched, keys, "left").select(*target.columns)
+    t_in, s_in = target.filter(present), src.filter(present)
+    values = [c for c in target.columns if c not in keys]
+    # Every target row meets its source row (if any) where the target row lives: a left outer
+    # join streamed over the target, with the source as build side (broadcast when small).
+    # Matched rows take the source values, so all copies of a duplicated key are updated in
+    # their own partitions; unmatched rows stay as they are.
+    hit = "__strata_hit"
+    s_side = s_in.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in values], F.lit(True).alias(hit))
+    joined = t_in.join(s_side, keys, "left_outer")
+    updated = joined.select(
+        *[
+            F.col(c) if c in keys else F.when(F.col(hit), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
+            for c in target.columns
+        ]
+    )
+    # source rows whose key the target does not have are inserted
+    matched = t_in.select(*keys).join(s_in.select(*keys), keys, "left_semi").distinct()
+    new = s_in.join(matched, keys, "left_anti")
     return (
-        kept.unionByName(target.filter(~present))
-        .unionByName(replaced)
+        updated.unionByName(target.filter(~present))
+        .unionByName(new)
         .unionByName(src.filter(~present))
     )
 
@@ -92,7 +103,7 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     # target keys are cut to the ones the source has (semi-join; the source keys are the build
     # side and are broadcast when small, so the target is not shuffled), then the source rows
     # with those keys are dropped
-    matched = target.filter(present).select(*keys).join(src_keys, keys, "left_semi")
+    matched = target.filter(present).select(*keys).join(src_keys, keys, "left_semi").distinct()
     new = src.filter(present).join(matched, keys, "left_anti")
     return target.unionByName(new).unionByName(src.filter(~present))
 
