@@ -124,7 +124,7 @@ def quality_report(
     """Reconciliation as rows ``(measure, rows)``, from one scan and one shuffle.
 
     Measures: ``total``, the four classes, ``removed_distinct`` (what the set difference keeps)
-    and ``reference_sum`` = valid + invalid + removed_distinct (which need not equal total).
+    and ``three_table_sum`` = valid + invalid + removed_distinct (which need not equal total).
 
     Rows are grouped by class and by their input columns, with the input columns masked to
     NULL outside the removed class: every other class collapses into one group (combined
@@ -143,8 +143,8 @@ def quality_report(
     )
     total = sum((F.col(c) for c in CLASSES), F.lit(0))
     counts = counts.withColumn("total", total).withColumn(
-        "reference_sum", F.col(VALID) + F.col(INVALID) + F.col("removed_distinct")
+        "three_table_sum", F.col(VALID) + F.col(INVALID) + F.col("removed_distinct")
     )
-    measures = ["total", *CLASSES, "removed_distinct", "reference_sum"]
+    measures = ["total", *CLASSES, "removed_distinct", "three_table_sum"]
     stack = ", ".join(f"'{m}', cast(`{m}` as bigint)" for m in measures)
     return counts.selectExpr(f"stack({len(measures)}, {stack}) as (measure, rows)")

@@ -132,7 +132,7 @@ UNION ALL SELECT 'invalid', invalid FROM n
 UNION ALL SELECT 'unclassified', unclassified FROM n
 UNION ALL SELECT 'removed', removed_n FROM n
 UNION ALL SELECT 'removed_distinct', removed_distinct FROM n
-UNION ALL SELECT 'reference_sum', valid + invalid + removed_distinct FROM n"""
+UNION ALL SELECT 'three_table_sum', valid + invalid + removed_distinct FROM n"""
 ORACLE["metrics_by_day"] = f"{W},{DAILY} SELECT * FROM daily"
 ORACLE["metrics_by_zone"] = f"{W},{ZONES} SELECT * FROM zones"
 ORACLE["top_days_by_revenue"] = (

@@ -53,7 +53,7 @@ def test_report_reconciles(trips):
     rep = {r["measure"]: r["rows"] for r in taxi.trip_quality_report(trips).collect()}
     assert rep == {
         "total": 11, "valid": 3, "invalid": 1, "unclassified": 1, "removed": 6,
-        "removed_distinct": 5, "reference_sum": 9,
+        "removed_distinct": 5, "three_table_sum": 9,
     }
     # the four classes partition the input
     assert rep["valid"] + rep["invalid"] + rep["unclassified"] + rep["removed"] == rep["total"]
