@@ -60,7 +60,7 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         v = F.col(c)
         if c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
             # zone-free text of the wall-clock time, ISO form with a T
-            s = F.translate(v.cast("string"), " ", "T")
+            s = F.replace(v.cast("string"), F.lit(" "), F.lit("T"))
         elif c == "trip_distance":
             bad = (F.col("store_and_fwd_flag") == "n") & (F.col("payment_type") == 1)
             s = F.when(bad, F.concat(v.cast("string"), F.lit(" mi"))).otherwise(v.cast("string"))
