@@ -134,7 +134,8 @@ def taxi_bronze_job(
     folder = lake.path(table) + "/data"
     ingest_pages(s, landing, TRIP_TEXT, folder, lake.path(table) + "/_checkpoint", multiline)
     if not s.catalog.tableExists(table):
-        s.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'")
+        cols = ", ".join(f"`{f.name}` string" for f in TRIP_TEXT.fields)
+        s.sql(f"CREATE TABLE {table} ({cols}) USING parquet LOCATION '{folder}'")
     s.catalog.refreshTable(table)
     df = s.table(table)
     if lo is not None and hi is not None:

@@ -94,3 +94,12 @@ def test_taxi_jobs(spark, tmp_dir):
     rep = jobs.taxi_reports(lake, "tx.daily", "tx.zones")
     top = rep["top_days_by_revenue"].collect()
     assert [(r["dia"], r["faturamento_total"]) for r in top] == [("2023-01-01", 12.0)]
+
+
+def test_taxi_bronze_with_nothing_landed(spark, tmp_dir):
+    lake = jobs.Lake(spark, tmp_dir + "/lake")
+    jobs.create_layers(lake, ["tx_empty"])
+    land = tmp_dir + "/landing-empty"
+    os.makedirs(land)
+    bronze = jobs.taxi_bronze_job(lake, land, "tx_empty.bronze_trips")
+    assert bronze.count() == 0 and bronze.columns == [f.name for f in jobs.TRIP_TEXT.fields]

@@ -22,3 +22,10 @@ def test_ingest_only_new_pages(spark, tmp_dir):
     assert sorted(tuple(r) for r in out.collect()) == [("1", "a"), ("2", None), ("3", "c")]
     # a run with nothing new changes nothing
     assert ingest_pages(spark, land, SCHEMA, bronze, ckpt).count() == 3
+
+
+def test_empty_landing_gives_empty_table(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "empty-landing")
+    os.makedirs(land)
+    out = ingest_pages(spark, land, SCHEMA, os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "c"))
+    assert out.count() == 0 and out.schema == SCHEMA
