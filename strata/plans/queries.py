@@ -9,9 +9,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata.operators import keys as _keys
+from strata.operators import merge as _merge
 from strata.operators import quality
+from strata.operators import schema as _schema
+from strata.operators.marts import rollup_fact
+from strata.plans import prices as _prices
+from strata.plans import sales as _sales
 from strata.plans import taxi, views
+from strata.sinks import tables as _sinks
+from strata.sources import files as _files
+from strata.sources import series as _series
+from strata.streaming import landing as _landing
+from strata.workspace import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -94,22 +107,6 @@ def top_zones_by_distance_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- typed contract, parts, flags, time range --------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
-from strata.operators import keys as _keys  # noqa: E402
-from strata.operators import merge as _merge  # noqa: E402
-from strata.operators import schema as _schema  # noqa: E402
-from strata.plans import prices as _prices  # noqa: E402
-from strata.plans import sales as _sales  # noqa: E402
-from strata.sinks import tables as _sinks  # noqa: E402
-from strata.sources import files as _files  # noqa: E402
-from strata.sources import series as _series  # noqa: E402
-from strata.streaming import landing as _landing  # noqa: E402
-from strata.workspace import scratch_path  # noqa: E402
-
 RUN_TS = "2024-01-01 00:00:00"
 GOLD_RUN_TS = "2024-01-02 00:00:00"
 TRIP_CONTRACT_NTZ = taxi.trip_contract(T.TimestampNTZType())
@@ -156,8 +153,6 @@ def _fact_silver_mem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fact_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strata.operators.marts import rollup_fact
-
     return rollup_fact(_fact_silver_mem(spark, sf_dir), _sales.FACT_GRAIN, ["qtde_venda", "valor_venda"])
 
 
