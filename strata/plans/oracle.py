@@ -332,3 +332,17 @@ ORACLE["overwrite_table"] = "SELECT * FROM orders"
 ORACLE["lower_columns"] = "SELECT * FROM customer"
 ORACLE["quality_split_valid"] = ORACLE["valid_trips"]
 ORACLE["quality_split_removed"] = ORACLE["removed_all"]
+ORACLE["fact_gold_partitioned_upsert"] = f"""
+WITH silver AS (
+  SELECT CAST(l_partkey AS BIGINT) AS codigo_produto, CAST(l_suppkey AS BIGINT) AS codigo_regiao,
+         CAST(l_shipdate AS DATE) AS data_venda, CAST(l_quantity AS BIGINT) AS qtde_venda,
+         CAST(l_extendedprice AS FLOAT) AS valor_venda
+  FROM lineitem)
+SELECT codigo_produto, codigo_regiao, CAST(sum(qtde_venda) AS BIGINT) AS qtde_venda,
+       CAST(sum(CAST(valor_venda AS DOUBLE)) AS DOUBLE) AS valor_venda,
+       CASE WHEN data_venda >= DATE '1998-07-01' THEN {GOLD_RUN_TS} ELSE {RUN_TS} END AS data_atualizacao,
+       CAST(strftime(data_venda, '%Y%m%d') AS BIGINT) AS id_data_venda,
+       TRY_CAST(CAST(codigo_produto AS VARCHAR) || CAST(codigo_regiao AS VARCHAR)
+                || strftime(data_venda, '%Y%m%d') AS BIGINT) AS id_fa_venda,
+       CAST(strftime(data_venda, '%Y%m') AS BIGINT) AS mes_venda
+FROM silver GROUP BY codigo_produto, codigo_regiao, data_venda"""
