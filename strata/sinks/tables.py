@@ -46,6 +46,16 @@ def write_version(
     return location
 
 
+def stage(spark: SparkSession, df: DataFrame, base_path: str) -> DataFrame:
+    """Write ``df`` once into a staging folder next to the table's versions and read it back.
+
+    A merge source is read several times (key checks, the merge, partition lists); staging
+    computes it once and cuts its lineage, so a retried stage never recomputes the source."""
+    path = f"{base_path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def upsert_table(
     spark: SparkSession,
     source: DataFrame,
@@ -57,6 +67,7 @@ def upsert_table(
     """Create on first run, otherwise update-all / insert-all on ``keys``."""
     if not spark.catalog.tableExists(table):
         return write_version(spark, source, table, base_path)
+    source = stage(spark, source, base_path)
     result = merge.upsert(spark.table(table), source, keys, check=check)
     return write_version(spark, result, table, base_path)
 
@@ -67,6 +78,7 @@ def insert_new_table(
     """Create on first run, otherwise insert the source rows whose key is new."""
     if not spark.catalog.tableExists(table):
         return write_version(spark, source, table, base_path)
+    source = stage(spark, source, base_path)
     result = merge.insert_new(spark.table(table), source, keys)
     return write_version(spark, result, table, base_path)
 
@@ -146,7 +158,7 @@ def upsert_partitioned_table(
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         return [r.asDict() for r in source.select(*parts).distinct().collect()]
     target = spark.table(table)
-    src = source.select(*target.columns)
+    src = stage(spark, source.select(*target.columns), base_path)
     touched_df = src.select(*parts).distinct()
     touched = [r.asDict() for r in touched_df.collect()]
     if any(v is None for r in touched for v in r.values()):
