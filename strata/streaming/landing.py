@@ -41,3 +41,40 @@ def ingest_pages(
     except AnalysisException:
         # nothing landed yet: an empty source is an empty table with the declared schema
         return spark.createDataFrame([], schema)
+
+
+def stream_quality_split(
+    spark: SparkSession,
+    bronze_path: str,
+    text_schema: T.StructType,
+    classify,
+    out_path: str,
+    checkpoint: str | None = None,
+    contract: T.StructType | None = None,
+    class_col: str = "quality_class",
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Incremental silver step: new bronze files -> typed contract -> one-pass classes,
+    appended to ``out_path`` partitioned by class, exactly once, then stop (``availableNow``).
+
+    The split is per row (no state), so each micro-batch is classified on its own; counts that
+    need all rows (the distinct removed rows) are computed on the output as a batch job.
+    ``classify`` maps a typed DataFrame to one with ``class_col`` (e.g. ``taxi.classify_trips``).
+    """
+    from strata.operators.schema import apply_schema
+
+    ckpt = checkpoint or scratch_path(spark, "quality-checkpoint")
+    rows = spark.readStream.schema(text_schema).format(fmt).load(bronze_path)
+    typed = apply_schema(rows, contract) if contract is not None else rows
+    query = (
+        classify(typed)
+        .writeStream.format(fmt)
+        .option("checkpointLocation", ckpt)
+        .option("path", out_path)
+        .partitionBy(class_col)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.format(fmt).load(out_path)

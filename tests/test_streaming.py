@@ -29,3 +29,28 @@ def test_empty_landing_gives_empty_table(spark, tmp_dir):
     os.makedirs(land)
     out = ingest_pages(spark, land, SCHEMA, os.path.join(tmp_dir, "b"), os.path.join(tmp_dir, "c"))
     assert out.count() == 0 and out.schema == SCHEMA
+
+
+def test_stream_quality_split_appends_new_bronze_only(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from strata.plans import jobs, taxi
+    from strata.streaming.landing import stream_quality_split
+
+    def trip(vendor, total):
+        return {f.name: None for f in jobs.TRIP_TEXT.fields} | {
+            "VendorID": vendor, "tpep_pickup_datetime": "2023-01-01T08:00:00", "passenger_count": "1",
+            "trip_distance": "2", "fare_amount": "10", "tip_amount": "1", "tolls_amount": "0",
+            "extra": "0", "total_amount": total, "store_and_fwd_flag": "n",
+        }
+
+    bronze = os.path.join(tmp_dir, "bronze")
+    spark.createDataFrame([trip("1", "12"), trip("1", "5")], jobs.TRIP_TEXT).write.parquet(bronze)
+    out, ckpt = os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "ckpt-q")
+    res = stream_quality_split(spark, bronze, jobs.TRIP_TEXT, taxi.classify_trips, out, ckpt, taxi.TRIP_CONTRACT)
+    assert {r["quality_class"]: r["n"] for r in res.groupBy("quality_class").agg(F.count("*").alias("n")).collect()} == {"valid": 1, "invalid": 1}
+    spark.createDataFrame([trip(None, "12")], jobs.TRIP_TEXT).write.mode("append").parquet(bronze)
+    res = stream_quality_split(spark, bronze, jobs.TRIP_TEXT, taxi.classify_trips, out, ckpt, taxi.TRIP_CONTRACT)
+    got = {r["quality_class"]: r["n"] for r in res.groupBy("quality_class").agg(F.count("*").alias("n")).collect()}
+    assert got == {"valid": 1, "invalid": 1, "removed": 1}
+    assert res.filter("quality_class = 'valid'").first()["store_and_fwd_flag"] == "N"
