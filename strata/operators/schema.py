@@ -48,7 +48,8 @@ def _failed(df: DataFrame, field: T.StructField) -> Column:
     raw = F.col(src)
     if df.schema[src].dataType == field.dataType:
         return F.lit(False)
-    return raw.isNotNull() & raw.try_cast(field.dataType).isNull()
+    # the raw value is evaluated a second time only for rows whose cast gave NULL
+    return F.when(raw.try_cast(field.dataType).isNull(), raw.isNotNull()).otherwise(F.lit(False))
 
 
 def schema_rejects(
