@@ -126,6 +126,13 @@ def _sql_text(value) -> str:
     return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _by_partition(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Group rows of a partition into few tasks before a partitioned write (few files per
+    partition instead of one per task and partition); AQE splits a skewed partition and
+    merges small ones (``REBALANCE``)."""
+    return df.hint("rebalance", *parts)
+
+
 def upsert_partitioned_table(
     spark: SparkSession,
     source: DataFrame,
@@ -149,7 +156,7 @@ def upsert_partitioned_table(
         raise ValueError("partition columns must be part of the merge key")
     version = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
     if not spark.catalog.tableExists(table):
-        source.write.mode("errorifexists").partitionBy(*parts).parquet(version)
+        _by_partition(source, parts).write.mode("errorifexists").partitionBy(*parts).parquet(version)
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
         spark.sql(
             f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY ({', '.join(parts)}) "
@@ -166,7 +173,7 @@ def upsert_partitioned_table(
     # the semi-join on partition columns lets dynamic partition pruning skip other partitions
     current = target.join(touched_df, parts, "left_semi")
     merged = merge.upsert(current, src, keys, check=check)
-    merged.write.mode("errorifexists").partitionBy(*parts).parquet(version)
+    _by_partition(merged, parts).write.mode("errorifexists").partitionBy(*parts).parquet(version)
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     for spec in touched:
         folder = "/".join(f"{c}={_escape(str(spec[c]))}" for c in parts)
