@@ -70,3 +70,20 @@ def test_partitioned_upsert_rewrites_only_touched(spark, tmp_dir):
     assert _rows(spark.table(name).select("p", "d", "v")) == [
         (1, 20210101, 5.0), (1, 20210102, 7.0), (2, 20210101, 60.0), (3, 20210103, 8.0)
     ]
+
+
+def test_partitioned_upsert_with_text_and_date_partitions(spark, tmp_dir):
+    import datetime as dt
+
+    name = "strata_part_text"
+    first = spark.createDataFrame(
+        [("a:b", dt.date(2021, 1, 1), 1, "x"), ("c d", dt.date(2021, 1, 2), 2, "y")],
+        "region string, day date, k long, v string",
+    )
+    keys = ["region", "day", "k"]
+    tables.upsert_partitioned_table(spark, first, name, keys, ["region", "day"], tmp_dir + "/pt")
+    src = spark.createDataFrame([("a:b", dt.date(2021, 1, 1), 1, "X"), ("e=f", dt.date(2021, 1, 3), 3, "z")], first.schema)
+    tables.upsert_partitioned_table(spark, src, name, keys, ["region", "day"], tmp_dir + "/pt")
+    got = sorted((r["region"], r["k"], r["v"]) for r in spark.table(name).collect())
+    assert got == [("a:b", 1, "X"), ("c d", 2, "y"), ("e=f", 3, "z")]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 3
