@@ -1,8 +1,9 @@
 """Views that give the test tables the roles of the rebuilt jobs' inputs.
 
 The jobs' own inputs (an API of taxi trips, CSV extracts, a fixed-width price list) are not
-available, so each role is played by a projection of a given table. Each view is a pure
-projection (no filter, no join), so every query built on it reads the whole table.
+available, so each role is played by a projection of a given table. No view filters rows (the
+region view adds each supplier's nation name by key), so every query built on them reads the
+whole table.
 """
 
 from __future__ import annotations
