@@ -1,7 +1,8 @@
 """Shared scratch location for lineage cuts and file round trips.
 
-On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file system).
-Only when the session has none (local tests) a private temporary folder is created.
+On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file system); without it
+the library refuses to run there. Only a local-mode session without the setting (tests) gets a
+private temporary folder.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not visible to other executors
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     key = id(sc)
     if key not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="strata-ckpt-")
