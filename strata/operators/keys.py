@@ -27,12 +27,22 @@ def hash_key(cols: Sequence[str | Column]) -> Column:
     return F.xxhash64(*parts)
 
 
-def key_collisions(df: DataFrame, key: str, natural: Sequence[str]) -> DataFrame:
+def key_collisions(
+    df: DataFrame, key: str, natural: Sequence[str], natural_unique: bool = False
+) -> DataFrame:
     """Surrogate key values shared by more than one distinct natural key.
 
     Output: ``key``, ``natural_keys`` (distinct natural keys behind it), ``rows``.
-    Planned as two aggregations (by key + natural, then by key), each partially aggregated.
+    Planned as two aggregations (by key + natural, then by key), each partially aggregated;
+    with ``natural_unique=True`` (each natural key occurs once, e.g. in a rolled-up fact) the
+    first one is skipped.
     """
+    if natural_unique:
+        return (
+            df.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("natural_keys"), F.count(F.lit(1)).alias("rows"))
+            .filter(F.col("natural_keys") > 1)
+        )
     per_natural = df.groupBy(key, *natural).agg(F.count(F.lit(1)).alias("_n"))
     return (
         per_natural.groupBy(key)

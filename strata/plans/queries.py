@@ -164,7 +164,10 @@ def fact_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def fact_key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = fact_gold(spark, sf_dir)
-    return _keys.key_collisions(gold, _sales.FACT_KEY, ["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY])
+    # the rolled-up fact holds each (product, region, date) once
+    return _keys.key_collisions(
+        gold, _sales.FACT_KEY, ["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY], natural_unique=True
+    )
 
 
 @register

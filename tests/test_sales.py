@@ -43,6 +43,8 @@ def test_key_collision_detected(spark):
     df = df.withColumn("k", keys.concat_key(["p", "r", "d"]))
     col = keys.key_collisions(df, "k", ["p", "r", "d"]).collect()
     assert [(c["k"], c["natural_keys"], c["rows"]) for c in col] == [(11220210101, 2, 2)]
+    fast = keys.key_collisions(df, "k", ["p", "r", "d"], natural_unique=True).collect()
+    assert [(c["k"], c["natural_keys"], c["rows"]) for c in fast] == [(11220210101, 2, 2)]
     padded = df.select(keys.padded_key(["p", "r", "d"], [10, 10, 8]).alias("k")).distinct().count()
     assert padded == 3
 
