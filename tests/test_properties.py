@@ -77,3 +77,37 @@ def test_exact_rounding_matches_decimal(spark, values):
     else:
         assert got["s"] == half_away(sum(present))
         assert got["m"] == half_away(sum(present) / len(present))
+
+
+NUM = st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 1.0, 2.5, 10.0]))
+TRIPS = st.lists(st.tuples(st.one_of(st.none(), st.just(1)), NUM, NUM, NUM, NUM, NUM), max_size=10)
+
+
+def _model_class(vendor, dist, pax, fare, tip, total):
+    """Filter-then-check semantics in plain Python: a NULL rule fails the filter; the check
+    is NULL if any operand is NULL."""
+    keep = vendor is not None and dist is not None and dist > 0 and pax is not None and pax > 0 and fare is not None and fare >= 0
+    if not keep:
+        return "removed"
+    if total is None or tip is None:
+        return "unclassified"
+    return "valid" if total >= fare + tip + 0.0 + 0.0 else "invalid"
+
+
+@SETTINGS
+@given(rows=TRIPS)
+def test_quality_classes_match_model(spark, rows):
+    import datetime as dt
+
+    from strata.plans import taxi
+
+    t = dt.datetime(2023, 1, 1)
+    data = [
+        (v, t, t, pax, dist, 1.0, "n", 1, 2, 1, fare, 0.0, 0.5, tip, 0.0, 0.3, total, 2.5, 0.0)
+        for v, dist, pax, fare, tip, total in rows
+    ]
+    df = spark.createDataFrame(data, taxi.TRIP_CONTRACT)
+    got = Counter(r["quality_class"] for r in taxi.classify_trips(df).select("quality_class").collect())
+    assert got == Counter(_model_class(*r) for r in rows)
+    removed = [d for d, r in zip(data, rows) if _model_class(*r) == "removed"]
+    assert taxi.removed_trips_distinct(df).count() == len(set(removed))
