@@ -1,5 +1,7 @@
 """Upsert / insert-only / refresh semantics (FIXTURES §7)."""
 
+from collections import Counter
+
 import pytest
 
 from strata.operators import merge
@@ -98,3 +100,15 @@ def test_scan_path_and_table(spark, tmp_dir):
     assert _rows(scan_path(spark, tmp_dir + "/p")) == [(1, "a")]
     scan_path(spark, tmp_dir + "/p").createOrReplaceTempView("strata_scan_v")
     assert scan_table(spark, "strata_scan_v", ["K"]).columns == ["K"]
+
+
+def test_hot_key_copies_updated_where_they_live(spark, tmp_dir):
+    rows = [(1, "old")] * 30 + [(k, "x") for k in range(2, 62)]
+    _df(spark, rows).repartition(6).write.parquet(tmp_dir + "/hot")
+    t = spark.read.parquet(tmp_dir + "/hot")
+    s = _df(spark, [(1, "new"), (99, "ins")])
+    out = merge.upsert(t, s, ["k"])
+    got = Counter(tuple(r) for r in out.collect())
+    assert got[(1, "new")] == 30 and got[(99, "ins")] == 1 and (1, "old") not in got
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter" in plan  # every target row meets its source row in its own partition
