@@ -1,7 +1,8 @@
 """Differential check: a registered Spark query against its DuckDB oracle SQL.
 
 Compares column names (sorted), row count and the multiset of rows (exact values).
-Usable from tests and as a script: ``python tests/oracle_harness.py /root/testdata/sf0.01 [names]``.
+Usable from tests and as a script: ``python tests/oracle_harness.py /root/testdata/sf0.01 [names]``;
+``HARNESS_TZ=America/Sao_Paulo`` runs the Spark side under another session time zone.
 """
 
 from __future__ import annotations
