@@ -8,6 +8,7 @@ versions are stored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -155,10 +156,7 @@ def taxi_quality_job(lake: Lake, silver: str, prefix: str) -> dict[str, int]:
     (``<prefix>_valid`` ...), plus ``<prefix>_removed_distinct``. Returns the class counts."""
     s = lake.spark
     trips = scan_table(s, silver)
-    base = lake.path(prefix) + "/split"
-    import uuid
-
-    base = f"{base}/v-{uuid.uuid4().hex}"
+    base = f"{lake.path(prefix)}/split/v-{uuid.uuid4().hex}"
     counts = sinks.write_quality_split(taxi.classify_trips(trips), base)
     for cls in quality.CLASSES:
         lake.register(f"{prefix}_{cls}", f"{base}/quality_class={cls}")
