@@ -1,0 +1,34 @@
+"""Scratch and checkpoint folders come from the session's shared checkpoint folder."""
+
+from strata import workspace
+
+
+def test_shared_dir_follows_session_setting(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    d = workspace.shared_dir(spark)
+    if configured:
+        assert d == configured.rstrip("/")
+    a, b = workspace.scratch_path(spark, "x"), workspace.scratch_path(spark, "x")
+    assert a != b and a.startswith(d + "/strata/x-")
+
+
+def test_no_local_fallback_on_a_cluster(monkeypatch, spark):
+    class FakeContext:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class FakeConf:
+        def get(self, key, default=None):
+            return default
+
+    class FakeSession:
+        conf = FakeConf()
+        sparkContext = FakeContext()
+
+    try:
+        workspace.shared_dir(FakeSession())
+        raise AssertionError("expected an error without a shared folder")
+    except RuntimeError as e:
+        assert "spark.checkpoint.dir" in str(e)
