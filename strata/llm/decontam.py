@@ -54,7 +54,7 @@ def _fingerprint(span: int, k: int) -> Column:
     """Minimum k-gram hash of the span at ``i``; its low bits hold the offset of that k-gram."""
     bits = max(1, (span - k).bit_length())
     mask = ~((1 << bits) - 1)
-    grams = [_kgram(F.col("i") + o, k).bitwiseAND(F.lit(mask)).bitwiseOR(F.lit(o)) for o in range(span - k + 1)]
+    grams = [F.get("g", F.col("i") + o).bitwiseAND(F.lit(mask)).bitwiseOR(F.lit(o)) for o in range(span - k + 1)]
     return F.least(*grams) if len(grams) > 1 else grams[0]
 
 
@@ -68,7 +68,10 @@ def _spans(rows: DataFrame, keep: list[str], span: int, k: int, mark: bool = Fal
     at = F.explode(F.sequence(F.lit(first), F.greatest(top, F.lit(-1)))) if mark else F.explode(F.when(top >= 0, F.sequence(F.lit(0), top)))
     bits = max(1, (span - k).bit_length())
     low = (1 << bits) - 1
-    spread = rows.select(*keep, "ws", "h", "n", at.alias("i"))
+    # the k-gram hashes are an array of their own: computed in the loop over positions they would
+    # make its generated method too long to be compiled
+    grams = F.when(F.col("n") >= span, F.transform(F.sequence(F.lit(0), F.col("n") - k), lambda i: _kgram(i, k)))
+    spread = rows.select(*keep, "ws", "n", grams.alias("g")).select(*keep, "ws", "g", "n", at.alias("i"))
     value = F.when(F.col("i") >= 0, _fingerprint(span, k)) if mark else _fingerprint(span, k)
     valued = spread.select(*keep, "ws", "n", "i", value.alias("v"))
     return valued.select(
