@@ -3,8 +3,8 @@
 A pair of bytes that never occurs side by side inside any vocabulary token marks a certain cut:
 no merge can cross it. Texts are first split at special tokens and by the public pre-token
 pattern (also certain cuts), then at those byte pairs; the fragments are encoded independently and
-the ids concatenated. A fragment is merged lowest rank first, leftmost on ties, with a heap over a
-linked list, so a very long fragment costs n log n. Frequent pre-tokens are remembered in a table
+the ids concatenated. A fragment is merged lowest rank first, leftmost on ties, long ones with a heap
+over a linked list, so a very long fragment costs n log n. Frequent pre-tokens are remembered in a table
 of bounded size per Python worker; texts never leave their task and nothing is shuffled.
 
 Decoding joins the bytes of the ids and reads them as UTF-8 (replacement character for bytes that
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,10 @@ from strata.llm.common import use_package
 #: The byte-level pre-token pattern (public). Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Remembered pre-tokens per worker, and the longest that is remembered (bytes).
-REMEMBERED, REMEMBERED_BYTES = 200_000, 64
+REMEMBERED, REMEMBERED_BYTES = 400_000, 64
+#: Fragments up to this many bytes are merged by plain scans, which are faster than a heap there.
+SHORT = 48
+_NEVER = (1 << 62, -1)
 
 
 def byte_letters() -> dict[str, int]:
@@ -69,14 +73,16 @@ class Encoder:
         for t in self.vocab:
             for a, b in zip(t, t[1:]):
                 self.joined[a, b] = True
+        self.joined_bytes = self.joined.tobytes()
         self.pattern = regex.compile(PATTERN)
         self.splits = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.known: dict[str, tuple[bytes, str, int, bytes]] = {}
 
     def fragments(self, data: bytes) -> list[bytes]:
         """``data`` cut at every byte pair that no token holds."""
-        if len(data) < 16:
-            cuts = [i for i in range(1, len(data)) if not self.joined[data[i - 1], data[i]]]
+        if len(data) < 64:
+            joined = self.joined_bytes
+            cuts = [i for i in range(1, len(data)) if not joined[data[i - 1] << 8 | data[i]]]
         else:
             a = np.frombuffer(data, np.uint8)
             cuts = (np.flatnonzero(~self.joined[a[:-1], a[1:]]) + 1).tolist()
@@ -86,7 +92,16 @@ class Encoder:
         """Ids of one fragment."""
         ids = [self.byte_id[b] for b in data]
         n, merges = len(ids), self.merges
-        if n < 2:
+        if n <= SHORT:
+            ranks = [merges.get(p, _NEVER)[0] for p in zip(ids, ids[1:])]
+            while ranks and (rank := min(ranks)) < _NEVER[0]:
+                i = ranks.index(rank)
+                ids[i : i + 2] = [merges[ids[i], ids[i + 1]][1]]
+                del ranks[i]
+                if i:
+                    ranks[i - 1] = merges.get((ids[i - 1], ids[i]), _NEVER)[0]
+                if i < len(ranks):
+                    ranks[i] = merges.get((ids[i], ids[i + 1]), _NEVER)[0]
             return ids
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
         heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
@@ -112,21 +127,21 @@ class Encoder:
         """Of one pre-token: ids as int32 bytes, ids as decimals, their number, their decoded bytes."""
         data = text.encode()
         ids = [i for part in self.fragments(data) for i in self.merge(part)]
-        out = np.array(ids, np.int32).tobytes(), ",".join(map(str, ids)), len(ids), b"".join(map(self.tokens.__getitem__, ids))
+        out = array("i", ids).tobytes(), ",".join(map(str, ids)), len(ids), b"".join(map(self.tokens.__getitem__, ids))
         if len(data) <= REMEMBERED_BYTES:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[text] = out
         return out
 
-    def pieces(self, text: str) -> Iterator[tuple[bytes, str, int, bytes]]:
-        known = self.known
+    def pieces(self, text: str) -> list[tuple[bytes, str, int, bytes]]:
+        known, out = self.known, []
         for part in self.splits.split(text) if self.splits and any(s in text for s in self.special) else [text]:
             if (i := self.special.get(part)) is not None:
-                yield np.int32(i).tobytes(), str(i), 1, self.tokens[i]
+                out.append((np.int32(i).tobytes(), str(i), 1, self.tokens[i]))
             else:
-                for token in self.pattern.findall(part):
-                    yield known.get(token) or self.piece(token)
+                out += [known.get(token) or self.piece(token) for token in self.pattern.findall(part)]
+        return out
 
 
 def decode(encoder: Encoder, ids) -> str:
@@ -149,7 +164,7 @@ def encode_docs(docs: DataFrame, path: str, text_col: str = "text", with_ids: bo
         for batch in batches:
             numbers, id_hashes, text_hashes, ids = [], [], [], []
             for text in batch.column(1):
-                found = [*encoder.pieces(text.as_py() or "")]
+                found = encoder.pieces(text.as_py() or "")
                 numbers.append(sum(p[2] for p in found))
                 id_hashes.append(hashlib.sha256(",".join([p[1] for p in found]).encode()).hexdigest())
                 decoded = b"".join([p[3] for p in found]).decode("utf-8", "replace")
