@@ -89,14 +89,18 @@ def scan_licenses(
     lines = F.split("txt", "\n")
     units = F.concat(F.array(F.lit(None).cast("string"), F.col("txt")), F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>")))
     rows = docs.select(F.col(id_col).alias("id"), text_id(F.col(text_col)).alias("tid"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
+    # a text has at least as many bigrams as different words but one, also counted over its start
+    some = F.array_distinct(F.slice("ws", 1, 4 * int(most) + 8))
+    # conditions are part of the columns: as filters they would be pushed below and compute the words again
     sized = (
         rows.select("id", "tid", F.posexplode(units).alias("u", "unit"))
         .select("id", "tid", "u", _words(F.col("unit")).alias("ws"))
+        .select("id", "tid", "u", F.when(F.size(some) - 1 <= most, F.col("ws")).alias("ws"))
         .select("id", "tid", "u", _bigrams(F.col("ws")).alias("bs"))
         .select("id", "tid", "u", "bs", F.size("bs").alias("a"))
     )
     fits = (F.col("u") > 0) & F.col("a").between(least, most)
-    pairs = sized.filter(fits | (F.col("u") == 0)).select("id", "tid", "u", "a", F.explode_outer(F.when(fits, F.col("bs"))).alias("bigram"))
+    pairs = sized.select("id", "tid", "u", "a", F.explode_outer(F.when(fits, F.col("bs"))).alias("bigram"))
     met = (
         pairs.join(F.broadcast(known), F.col("bigram") == F.col("t_bigram"), "left")
         .filter((F.col("u") == 0) | F.col("ts").isNotNull())
