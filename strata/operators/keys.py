@@ -8,17 +8,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def concat_key(cols: Sequence[str | Column]) -> Column:
-    """Digits of each part run together, read as bigint (NULL if any part is NULL or the
-    number overflows). Unpadded parts can collide: (1, 12) and (11, 2) both give 112."""
+def concat_key(cols: Sequence[str | Column], kind: str = "bigint") -> Column:
+    """Digits of each part run together, read as ``kind`` (NULL if any part is NULL or no number).
+
+    ``bigint`` holds up to 18 digits; a longer key fails with an error that names the wider
+    kinds (``decimal(38,0)`` or ``string``) and is never NULL. Unpadded parts can collide:
+    (1, 12) and (11, 2) both give 112."""
     parts = [F.col(c) if isinstance(c, str) else c for c in cols]
-    return F.concat(*[p.cast("string") for p in parts]).try_cast("bigint")
+    text = F.concat(*[p.cast("string") for p in parts])
+    number = text.try_cast(kind)
+    too_long = number.isNull() & text.rlike("^[0-9]+$")
+    return F.when(too_long, F.raise_error(F.concat(F.lit(f"key does not fit {kind}, use decimal(38,0) or string: "), text))).otherwise(number)
 
 
 def padded_key(cols: Sequence[str | Column], widths: Sequence[int]) -> Column:
-    """Collision-free text key: each part left-padded with zeros to a fixed width."""
-    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
-    return F.concat(*[F.lpad(p.cast("string"), w, "0") for p, w in zip(parts, widths)])
+    """Collision-free text key: each part left-padded with zeros to a fixed width.
+
+    Every part needs a width; a value longer than its width is an error (padding would cut it)."""
+    if len(cols) != len(widths):
+        raise ValueError(f"{len(cols)} key columns, {len(widths)} widths")
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    fits = [
+        F.when(F.length(p) > w, F.raise_error(F.concat(F.lit(f"key part is longer than {w}: "), p))).otherwise(F.lpad(p, w, "0"))
+        for p, w in zip(parts, widths)
+    ]
+    return F.concat(*fits)
 
 
 def hash_key(cols: Sequence[str | Column]) -> Column:
