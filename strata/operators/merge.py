@@ -40,23 +40,23 @@ def _align(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[F.col(lower[c.lower()]).alias(c) for c in target.columns])
 
 
+def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source keys (without NULL) that occur more than once."""
+    counted = source.filter(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("source_rows"))
+    return counted.filter(F.col("source_rows") > 1)
+
+
 def duplicate_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source keys that occur more than once and also exist in the target."""
-    present = _all_present(keys)
-    dup = (
-        source.filter(present)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("source_rows"))
-        .filter(F.col("source_rows") > 1)
-    )
     # the (usually tiny) duplicate set is the build side, so the target keys are not shuffled
     # to meet it when it can be broadcast
-    return target.filter(present).select(*keys).join(dup, list(keys), "left_semi")
+    return target.filter(_all_present(keys)).select(*keys).join(duplicate_keys(source, keys), list(keys), "left_semi")
 
 
 def check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise ``DuplicateMatchError`` if a target row would be matched twice."""
-    if duplicate_matches(target, source, keys).limit(1).count() > 0:
+    """Raise ``DuplicateMatchError`` if a target row would be matched twice. The target is read
+    only if the source has duplicate keys at all."""
+    if not duplicate_keys(source, keys).isEmpty() and not duplicate_matches(target, source, keys).isEmpty():
         raise DuplicateMatchError(f"several source rows match one target row on {list(keys)}")
 
 

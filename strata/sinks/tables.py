@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import merge
 from strata.operators.quality import CLASSES
+from strata.sources.tables import table_exists
 
 
 def overwrite_table(
@@ -27,6 +28,17 @@ def overwrite_table(
     writer.saveAsTable(table)
 
 
+def _same_schema(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the column order of ``table``; another set of columns or another type is refused,
+    because the catalog would keep the old schema and hide or misread the new files."""
+    known = {f.name.lower(): f for f in spark.table(table).schema.fields}
+    given = {f.name.lower(): f for f in df.schema.fields}
+    if set(known) != set(given):
+        raise ValueError(f"columns of {table} are {sorted(known)}, given are {sorted(given)}")
+    other = [n for n in known if known[n].dataType.simpleString() != given[n].dataType.simpleString()]
+    if other:
+        raise ValueError(f"types of {table} differ in {other}")
+    return df.select(*[F.col(f"`{given[n].name}`").alias(f.name) for n, f in known.items()])
 
 
 def write_version(
@@ -34,11 +46,15 @@ def write_version(
 ) -> str:
     """Write ``df`` to a new version folder below ``base_path`` and point ``table`` at it.
 
-    Creates the external table on first use. Returns the new location.
+    Creates the external table on first use; later the schema must stay the same. Returns the
+    new location.
     """
     location = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
+    exists = table_exists(spark, table)
+    if exists:
+        df = _same_schema(spark, df, table)
     df.write.mode("errorifexists").format(fmt).save(location)
-    if spark.catalog.tableExists(table):
+    if exists:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.catalog.refreshTable(table)
     else:
@@ -65,7 +81,7 @@ def upsert_table(
     check: bool = True,
 ) -> str:
     """Create on first run, otherwise update-all / insert-all on ``keys``."""
-    if not spark.catalog.tableExists(table):
+    if not table_exists(spark, table):
         return write_version(spark, source, table, base_path)
     source = stage(spark, source, base_path)
     result = merge.upsert(spark.table(table), source, keys, check=check)
@@ -76,7 +92,7 @@ def insert_new_table(
     spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str], base_path: str
 ) -> str:
     """Create on first run, otherwise insert the source rows whose key is new."""
-    if not spark.catalog.tableExists(table):
+    if not table_exists(spark, table):
         return write_version(spark, source, table, base_path)
     source = stage(spark, source, base_path)
     result = merge.insert_new(spark.table(table), source, keys)
@@ -85,7 +101,7 @@ def insert_new_table(
 
 def refresh_table(spark: SparkSession, source: DataFrame, table: str, base_path: str) -> str:
     """Full refresh: the table becomes exactly the source; its schema and name are kept."""
-    if not spark.catalog.tableExists(table):
+    if not table_exists(spark, table):
         return write_version(spark, source, table, base_path)
     return write_version(spark, merge.refresh(spark.table(table), source), table, base_path)
 
@@ -114,12 +130,10 @@ def read_quality_class(
     return spark.read.parquet(path).filter(F.col(class_col) == cls).select(*columns)
 
 
-# Characters Spark percent-encodes in partition folder names (fixed rule of its path layout).
-_PATH_ESCAPE = set('"#%\'*/:=?\\{[]^') | {chr(c) for c in range(0x20)} | {"\x7f"}
-
-
-def _escape(value: str) -> str:
-    return "".join(f"%{ord(ch):02X}" if ch in _PATH_ESCAPE else ch for ch in value)
+#: Types whose text in a partition folder and in the catalog gives back exactly the value.
+PARTITION_TYPES = {"string", "boolean", "date", "tinyint", "smallint", "int", "bigint"}
+#: Partitions one upsert may touch; each is one catalog entry on the driver.
+MAX_TOUCHED = 10_000
 
 
 def _sql_text(value) -> str:
@@ -133,6 +147,30 @@ def _by_partition(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *parts)
 
 
+def _touched(src: DataFrame, parts: Sequence[str], limit: int) -> list[dict[str, str]]:
+    """The partitions of ``src`` as texts; refuses what a partition cannot hold exactly."""
+    kinds = {p: src.schema[p].dataType.simpleString() for p in parts}
+    if bad := {p: k for p, k in kinds.items() if k not in PARTITION_TYPES}:
+        raise ValueError(f"no partition columns of these types: {bad}")
+    rows = src.select(*[F.col(p).cast("string").alias(p) for p in parts]).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} partitions touched; partition by a coarser column")
+    if any(v is None or v == "" for r in rows for v in r):
+        raise ValueError("NULL and empty partition values are not supported")
+    return [r.asDict() for r in rows]
+
+
+def _folder(spark: SparkSession, spec: dict[str, str], parts: Sequence[str]) -> str:
+    """Spark's own name of a partition's folder."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join(f"{escape(p)}={escape(spec[p])}" for p in parts)
+
+
+def _has_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def upsert_partitioned_table(
     spark: SparkSession,
     source: DataFrame,
@@ -141,46 +179,75 @@ def upsert_partitioned_table(
     partition_by: Sequence[str],
     base_path: str,
     check: bool = True,
-) -> list[dict]:
+    max_touched: int = MAX_TOUCHED,
+) -> list[dict[str, str]]:
     """Create-or-upsert a table partitioned by ``partition_by``, rewriting only the
     partitions the source touches (copy-on-write per partition).
 
     The partition columns must be part of the merge key, so that a key's rows live in one
-    partition and no match crosses partitions. Each run writes the touched partitions once
-    (``partitionBy``) into a new version folder and repoints those partitions in the catalog;
-    all other partitions keep their files. Only the touched partition values (metadata, not
-    rows) come to the driver. Returns those values.
+    partition and no match crosses partitions. The touched partition values are read from the
+    staged source; types, NULL and empty values that a partition cannot hold exactly, and more
+    than ``max_touched`` of them, are refused before anything is written. They filter the
+    target as constants, so other partitions are not listed or read. Each run writes the
+    touched partitions once (``partitionBy``) into a new version folder, checks that every one
+    is there, and repoints those partitions in the catalog; if a repoint fails, the ones made
+    before are taken back and the old version stays. Returns the touched values as text.
     """
     parts = list(partition_by)
     if not set(parts) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
+    exists = table_exists(spark, table)
+    if exists:
+        source = _same_schema(spark, source, table)
+    src = stage(spark, source, base_path)
+    touched = _touched(src, parts, max_touched)
     version = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
-    if not spark.catalog.tableExists(table):
-        _by_partition(source, parts).write.mode("errorifexists").partitionBy(*parts).parquet(version)
+    if not exists:
+        _by_partition(src, parts).write.mode("errorifexists").partitionBy(*parts).parquet(version)
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
-        spark.sql(
-            f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY ({', '.join(parts)}) "
-            f"LOCATION '{version}'"
-        )
+        names = ", ".join(f"`{p}`" for p in parts)
+        spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY ({names}) LOCATION '{version}'")
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-        return [r.asDict() for r in source.select(*parts).distinct().collect()]
-    target = spark.table(table)
-    src = stage(spark, source.select(*target.columns), base_path)
-    touched_df = src.select(*parts).distinct()
-    touched = [r.asDict() for r in touched_df.collect()]
-    if any(v is None for r in touched for v in r.values()):
-        raise ValueError("NULL partition values are not supported")
-    # the semi-join on partition columns lets dynamic partition pruning skip other partitions
-    current = target.join(touched_df, parts, "left_semi")
+        return touched
+    if not touched:
+        return touched
+    # constants prune the target's partitions; several columns together may still hold a few more
+    current = spark.table(table)
+    for p in parts:
+        kind = source.schema[p].dataType
+        current = current.filter(F.col(f"`{p}`").isin([F.lit(v).cast(kind) for v in sorted({t[p] for t in touched})]))
+    if len(parts) > 1:
+        current = current.join(src.select(*parts).distinct(), parts, "left_semi")
     merged = merge.upsert(current, src, keys, check=check)
     _by_partition(merged, parts).write.mode("errorifexists").partitionBy(*parts).parquet(version)
+    folders = [_folder(spark, spec, parts) for spec in touched]
+    if missing := [f for f in folders if not _has_folder(spark, f"{version}/{f}")]:
+        raise RuntimeError(f"partitions missing from {version}: {missing[:5]}")
+    _repoint(spark, table, parts, touched, folders, version)
+    return touched
+
+
+def _repoint(spark: SparkSession, table: str, parts: Sequence[str], touched: list[dict[str, str]], folders: list[str], version: str) -> None:
+    """Point the touched partitions at ``version``; on an error take back those already moved."""
+    clauses = ["PARTITION (" + ", ".join(f"`{p}` = {_sql_text(spec[p])}" for p in parts) + ")" for spec in touched]
     existing = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for spec in touched:
-        folder = "/".join(f"{c}={_escape(str(spec[c]))}" for c in parts)
-        clause = ", ".join(f"{c} = {_sql_text(spec[c])}" for c in parts)
+    where = {}
+    for clause, folder in zip(clauses, folders):
         if folder in existing:
-            spark.sql(f"ALTER TABLE {table} PARTITION ({clause}) SET LOCATION '{version}/{folder}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({clause}) LOCATION '{version}/{folder}'")
-    spark.catalog.refreshTable(table)
-    return touched
+            rows = spark.sql(f"DESCRIBE FORMATTED {table} {clause}").filter("col_name = 'Location'").collect()
+            where[clause] = rows[0]["data_type"]
+    done = []
+    try:
+        for clause, folder in zip(clauses, folders):
+            if clause in where:
+                spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION {_sql_text(f'{version}/{folder}')}")
+                done.append(clause)
+        added = " ".join(f"{c} LOCATION {_sql_text(f'{version}/{f}')}" for c, f in zip(clauses, folders) if c not in where)
+        if added:
+            spark.sql(f"ALTER TABLE {table} ADD {added}")
+    except Exception:
+        for clause in done:
+            spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION {_sql_text(where[clause])}")
+        raise
+    finally:
+        spark.catalog.refreshTable(table)

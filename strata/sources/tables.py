@@ -35,4 +35,6 @@ def ensure_layers(spark: SparkSession, databases: Sequence[str]) -> list[str]:
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     """True for a table (not a temporary view) of that name."""
-    return spark.catalog.tableExists(name)
+    parts = name.replace("`", "").split(".")
+    database = ".".join(parts[:-1]) or spark.catalog.currentDatabase()
+    return spark.catalog.tableExists(f"{database}.`{parts[-1]}`")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import taxi
@@ -65,7 +66,7 @@ def test_partitioned_upsert_rewrites_only_touched(spark, tmp_dir):
     before = location("d = 20210102")
     src = spark.createDataFrame([(2, 20210101, 60.0), (3, 20210103, 8.0)], "p long, d long, v double")
     touched = tables.upsert_partitioned_table(spark, src, name, ["p", "d"], ["d"], tmp_dir + "/fact")
-    assert sorted(t["d"] for t in touched) == [20210101, 20210103]
+    assert sorted(t["d"] for t in touched) == ["20210101", "20210103"]
     assert location("d = 20210102") == before  # untouched partition keeps its files
     assert _rows(spark.table(name).select("p", "d", "v")) == [
         (1, 20210101, 5.0), (1, 20210102, 7.0), (2, 20210101, 60.0), (3, 20210103, 8.0)
@@ -87,3 +88,59 @@ def test_partitioned_upsert_with_text_and_date_partitions(spark, tmp_dir):
     got = sorted((r["region"], r["k"], r["v"]) for r in spark.table(name).collect())
     assert got == [("a:b", 1, "X"), ("c d", 2, "y"), ("e=f", 3, "z")]
     assert spark.sql(f"SHOW PARTITIONS {name}").count() == 3
+
+
+def test_partitioned_upsert_keeps_boolean_partitions(spark, tmp_dir):
+    first = spark.createDataFrame([(True, 1, "a"), (False, 2, "b")], "p boolean, k long, v string")
+    keys = ["p", "k"]
+    tables.upsert_partitioned_table(spark, first, "strata_part_bool", keys, ["p"], tmp_dir + "/pb")
+    src = spark.createDataFrame([(False, 3, "c"), (False, 2, "B")], first.schema)
+    tables.upsert_partitioned_table(spark, src, "strata_part_bool", keys, ["p"], tmp_dir + "/pb")
+    assert _rows(spark.table("strata_part_bool").select("p", "k", "v")) == [(False, 2, "B"), (False, 3, "c"), (True, 1, "a")]
+
+
+@pytest.mark.parametrize("kind, value", [("double", 1e20), ("timestamp", dt.datetime(2021, 1, 1, 0, 0, 0, 5)), ("string", ""), ("string", None)])
+def test_partitions_that_cannot_hold_the_value_are_refused(spark, tmp_dir, kind, value):
+    src = spark.createDataFrame([(value, 1)], f"p {kind}, k long")
+    with pytest.raises(ValueError):
+        tables.upsert_partitioned_table(spark, src, "strata_part_refused", ["p", "k"], ["p"], tmp_dir + "/pr")
+    assert not catalog.table_exists(spark, "strata_part_refused")
+
+
+def test_failed_repoint_leaves_the_old_version(spark, tmp_dir, monkeypatch):
+    first = spark.createDataFrame([("a", 1, "x"), ("c", 2, "y")], "p string, k long, v string")
+    keys = ["p", "k"]
+    tables.upsert_partitioned_table(spark, first, "strata_part_fail", keys, ["p"], tmp_dir + "/pf")
+    before = _rows(spark.table("strata_part_fail"))
+    text = tables._sql_text
+    monkeypatch.setattr(tables, "_sql_text", lambda v: "broken" if str(v).endswith("/p=n") else text(v))
+    src = spark.createDataFrame([("a", 1, "X"), ("n", 9, "z")], first.schema)
+    with pytest.raises(Exception):
+        tables.upsert_partitioned_table(spark, src, "strata_part_fail", keys, ["p"], tmp_dir + "/pf")
+    assert _rows(spark.table("strata_part_fail")) == before
+
+
+def test_partitioned_upsert_reads_only_touched_partitions(spark, tmp_dir, monkeypatch):
+    days = [(d, k, "x") for d in range(1, 21) for k in range(3)]
+    first = spark.createDataFrame(days, "d int, k long, v string")
+    tables.upsert_partitioned_table(spark, first, "strata_part_prune", ["d", "k"], ["d"], tmp_dir + "/pp")
+    seen = []
+    real = tables.merge.upsert
+    monkeypatch.setattr(tables.merge, "upsert", lambda t, s, k, check=True: seen.append(t._jdf.queryExecution().executedPlan().toString()) or real(t, s, k, check=check))
+    src = spark.createDataFrame([(7, 1, "Y"), (21, 1, "n")], first.schema)
+    tables.upsert_partitioned_table(spark, src, "strata_part_prune", ["d", "k"], ["d"], tmp_dir + "/pp")
+    (plan,) = seen
+    assert "InMemoryFileIndex(1 paths)" in plan and "dynamicpruning" not in plan and "Exchange" not in plan
+
+
+def test_versions_refuse_another_schema(spark, tmp_dir):
+    tables.write_version(spark, spark.createDataFrame([(1, "a")], "k long, v string"), "strata_schema", tmp_dir + "/s")
+    for other in (spark.createDataFrame([(1, "a", 2)], "k long, v string, w int"), spark.createDataFrame([(1, 2)], "k long, v int")):
+        with pytest.raises(ValueError):
+            tables.write_version(spark, other, "strata_schema", tmp_dir + "/s")
+    assert _rows(spark.table("strata_schema")) == [(1, "a")]
+
+
+def test_table_exists_ignores_temporary_views(spark):
+    spark.range(1).createOrReplaceTempView("strata_only_a_view")
+    assert not catalog.table_exists(spark, "strata_only_a_view")
