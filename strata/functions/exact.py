@@ -6,8 +6,9 @@ runs (or two engines) can disagree on a tie. Here each value is read as a whole
 the units are summed as bigint, and the result is rounded half away from zero with integer
 arithmetic: ``sign(U) * ((2|U| + k n) div (2 k n))`` with ``k = 10**(scale - digits)``
 (``n = 1`` for the sum). No intermediate value is ever rounded, and the sum is a plain long
-sum, so the aggregate stays on the fast fixed-width path. ANSI mode turns an overflow
-(beyond 9.2e18 units in one group) into an error instead of a wrong number. Results are
+sum, so the aggregate stays on the fast fixed-width path. NaN and an overflow (beyond 9.2e18
+units in one group) are errors, with ANSI mode on or off. A value with more places than ``scale``
+would be rounded when read, so the scale has no default. Results are
 doubles, like the plain form; ``float_sum`` / ``float_avg`` give ``round(agg(double), d)``.
 
 The expressions are SQL text over a column name so that the integer ``div`` operator is
@@ -26,7 +27,18 @@ def _q(name: str) -> str:
 
 def units(name: str, scale: int) -> str:
     """SQL: the value as a whole number of ``10**-scale`` units (bigint)."""
-    return f"cast(rint({_q(name)} * {10 ** scale}D) as bigint)"
+    x = f"{_q(name)} * {10 ** scale}D"
+    # the same with ANSI mode on and off: what bigint cannot hold, NaN included, is an error
+    return (
+        f"case when isnan({x}) or abs({x}) >= 9.2e18D then raise_error(concat('no exact sum of {name}: ', {_q(name)}))"
+        f" else cast(rint({x}) as bigint) end"
+    )
+
+
+def _sum(name: str, scale: int) -> str:
+    """SQL: the sum of the units; an overflow is an error in either mode."""
+    total = f"try_sum({units(name, scale)})"
+    return f"(case when {total} is null and count({_q(name)}) > 0 then raise_error('sum of {name} overflows') else {total} end)"
 
 
 def _rounded(total: str, k_n: str, digits: int) -> str:
@@ -34,19 +46,19 @@ def _rounded(total: str, k_n: str, digits: int) -> str:
     return f"(case when {total} < 0 then -{q} else {q} end) / {10 ** digits}D"
 
 
-def exact_sum(name: str, scale: int = 2, digits: int = 2) -> Column:
+def exact_sum(name: str, scale: int, digits: int = 2) -> Column:
     """Sum of a column, exact, rounded half away from zero to ``digits`` places, as double."""
     if scale < digits:
         raise ValueError("scale must be >= digits")
-    total = f"sum({units(name, scale)})"
+    total = _sum(name, scale)
     return F.expr(_rounded(total, str(10 ** (scale - digits)), digits))
 
 
-def exact_avg(name: str, scale: int = 2, digits: int = 2) -> Column:
+def exact_avg(name: str, scale: int, digits: int = 2) -> Column:
     """Mean of the non-NULL values, exact, rounded half away from zero, as double."""
     if scale < digits:
         raise ValueError("scale must be >= digits")
-    total = f"sum({units(name, scale)})"
+    total = _sum(name, scale)
     n = f"count({_q(name)})"
     k_n = f"{10 ** (scale - digits)} * {n}"
     return F.expr(f"case when {n} = 0 then cast(null as double) else {_rounded(total, k_n, digits)} end")

@@ -16,17 +16,19 @@ class Metric:
     """One output column of a mart: ``fn`` in {count, sum, avg} over ``column``.
 
     ``scale`` is the number of decimal places the column is recorded in (exact mode reads
-    values at that precision); ``digits`` is the rounding of the result.
+    values at that precision; without a scale the plain ``round(agg(double))`` is used, which
+    rounds no row); ``digits`` is the rounding of the result.
     """
 
     name: str
     fn: str
     column: str
-    scale: int = 2
+    scale: int | None = None
     digits: int = 2
 
 
 def metric_column(m: Metric, exact: bool = True) -> Column:
+    exact = exact and m.scale is not None
     if m.fn == "count":
         return F.count(F.col(m.column)).alias(m.name)
     if m.fn == "sum":

@@ -174,7 +174,7 @@ TOP_K = 5
 
 def _spec(defs, scales: dict[str, int] | None) -> list[Metric]:
     scales = scales or {}
-    return [Metric(n, fn, c, scales.get(c, 2)) for n, fn, c in defs]
+    return [Metric(n, fn, c, scales.get(c)) for n, fn, c in defs]
 
 
 def metrics_by_day(valid: DataFrame, scales: dict[str, int] | None = None, exact: bool = True) -> DataFrame:

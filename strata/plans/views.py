@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 # Scale (decimal places) of the trip view's measures; total_amount is a product of two
 # two-place numbers, so it carries four.
-TRIP_SCALES = {"total_amount": 4}
+TRIP_SCALES = {"trip_distance": 2, "fare_amount": 2, "tip_amount": 2, "passenger_count": 2, "total_amount": 4}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,7 +155,7 @@ def land_event_pages(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """Land the events as JSON pages in ``folder``: one write of all non-error events, and
     one of the error events without the ``props`` key (a page whose rows all lack a field)."""
     rows = event_pages_rows(table(spark, sf_dir, "events"))
-    rows.filter(F.col("event_type") != "error").write.mode("append").json(folder)
+    rows.filter(~F.col("event_type").eqNullSafe("error")).write.mode("append").json(folder)
     rows.filter(F.col("event_type") == "error").drop("props").write.mode("append").json(folder)
     return folder
 

@@ -24,8 +24,8 @@ def test_exact_sum_is_order_free(spark):
     vals = [(0.1,)] * 10 + [(0.7,)] * 3
     a = spark.createDataFrame(vals, "x double").repartition(1)
     b = spark.createDataFrame(list(reversed(vals)), "x double").repartition(5)
-    ra = a.agg(exact_sum("x").alias("s"), exact_avg("x").alias("m")).first()
-    rb = b.agg(exact_sum("x").alias("s"), exact_avg("x").alias("m")).first()
+    ra = a.agg(exact_sum("x", 2).alias("s"), exact_avg("x", 2).alias("m")).first()
+    rb = b.agg(exact_sum("x", 2).alias("s"), exact_avg("x", 2).alias("m")).first()
     assert ra == rb and ra["s"] == 3.1 and ra["m"] == 0.24
 
 
