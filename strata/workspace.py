@@ -1,46 +1,23 @@
 """Shared scratch location for lineage cuts and file round trips.
 
-On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file system); without it
-the library refuses to run there. Only a local-mode session without the setting (tests) gets a
-private temporary folder.
+The folder comes from ``spark.checkpoint.dir`` (a shared file system). Only where that is unset, as
+in tests, a folder below the warehouse is used, which all machines of a session share as well;
+a machine-local temporary folder never is.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_FALLBACK: dict[int, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, setting a local one only if unset."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        return conf_dir.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        # a machine-local folder is not visible to other executors
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-    key = id(sc)
-    if key not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="strata-ckpt-")
-        sc.setCheckpointDir(_LOCAL_FALLBACK[key])
-    return _LOCAL_FALLBACK[key]
+    """The session's shared checkpoint folder, or one below its warehouse if none is set."""
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (conf_dir or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_strata").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared folder (never reused between runs)."""
     return f"{shared_dir(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable: point the context at the shared folder."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_dir(spark) + "/rdd")

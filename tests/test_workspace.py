@@ -12,23 +12,18 @@ def test_shared_dir_follows_session_setting(spark):
     assert a != b and a.startswith(d + "/strata/x-")
 
 
-def test_no_local_fallback_on_a_cluster(monkeypatch, spark):
-    class FakeContext:
-        master = "spark://cluster:7077"
+def test_without_a_setting_the_warehouse_is_used():
+    """Whatever the master: never a machine-local temporary folder."""
 
+    class Context:
         def getCheckpointDir(self):
             return None
 
-    class FakeConf:
+    class Conf:
         def get(self, key, default=None):
-            return default
+            return "hdfs://shared/warehouse/" if key == "spark.sql.warehouse.dir" else default
 
-    class FakeSession:
-        conf = FakeConf()
-        sparkContext = FakeContext()
+    class Session:
+        conf, sparkContext = Conf(), Context()
 
-    try:
-        workspace.shared_dir(FakeSession())
-        raise AssertionError("expected an error without a shared folder")
-    except RuntimeError as e:
-        assert "spark.checkpoint.dir" in str(e)
+    assert workspace.shared_dir(Session()) == "hdfs://shared/warehouse/_strata"
