@@ -346,3 +346,16 @@ SELECT codigo_produto, codigo_regiao, CAST(sum(qtde_venda) AS BIGINT) AS qtde_ve
                 || strftime(data_venda, '%Y%m%d') AS BIGINT) AS id_fa_venda,
        CAST(strftime(data_venda, '%Y%m') AS BIGINT) AS mes_venda
 FROM silver GROUP BY codigo_produto, codigo_regiao, data_venda"""
+
+for _name in ("overwrite_managed_table", "refresh_table", "delete_then_insert_table"):
+    ORACLE[_name] = "SELECT * FROM orders"
+ORACLE["upsert_table"] = ORACLE["upsert_update_insert"]
+ORACLE["insert_new_table"] = ORACLE["upsert_insert_only"]
+ORACLE["scan_table_columns"] = "SELECT c_custkey, c_name FROM customer"
+ORACLE["scan_path"] = "SELECT * FROM supplier"
+ORACLE["register_csv"] = ORACLE["scan_csv"]
+ORACLE["json_rejects"] = """SELECT '{"event_id":"' || event_id || '"' AS corrupt_line FROM events WHERE event_type = 'error'"""
+ORACLE["fact_text_key"] = f"""WITH {SILVER},{GOLD}
+SELECT codigo_produto, codigo_regiao, id_data_venda,
+       CAST(codigo_produto AS VARCHAR) || CAST(codigo_regiao AS VARCHAR) || CAST(id_data_venda AS VARCHAR) AS fact_key
+FROM gold"""

@@ -23,6 +23,7 @@ from strata.plans import taxi, views
 from strata.sinks import tables as _sinks
 from strata.sources import files as _files
 from strata.sources import series as _series
+from strata.sources import tables as _tables
 from strata.streaming import landing as _landing
 from strata.workspace import scratch_path
 
@@ -164,12 +165,19 @@ def fact_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def fact_key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = fact_gold(spark, sf_dir)
-    # the rolled-up fact holds each (product, region, date) once
     return _keys.key_collisions(
-        gold, _sales.FACT_KEY, ["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY], natural_unique=True
+        gold, _sales.FACT_KEY, ["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY]
     )
 
 
+@register
+def fact_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The concatenated key as text, which holds keys of any width."""
+    gold = fact_gold(spark, sf_dir)
+    grain = ["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY]
+    return gold.select(*grain, _keys.concat_key(grain, "string").alias("fact_key"))
+
+
 @register
 def fact_padded_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = fact_gold(spark, sf_dir)
@@ -203,8 +211,9 @@ def _orders_versions(spark: SparkSession, sf_dir: str, null_keys: bool = False):
         o = o.withColumn(
             "o_orderkey", F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderkey"))
         )
-    target = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    source = o.filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz")).withColumn(
+    since = lambda day: F.coalesce(F.col("o_orderdate") >= F.lit(day).cast("timestamp_ntz"), F.lit(False))
+    target = o.filter(~since("1998-01-01"))  # undated orders belong to the old table
+    source = o.filter(since("1997-01-01")).withColumn(
         "o_totalprice", F.col("o_totalprice") + F.lit(1.0)
     )
     return target, source
@@ -323,7 +332,7 @@ def scan_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.event_pages_rows(views.table(spark, sf_dir, "events"))
     base = scratch_path(spark, "event-pages-split")
-    rows.filter(F.col("event_type") != "error").write.json(base + "/a")
+    rows.filter(~F.col("event_type").eqNullSafe("error")).write.json(base + "/a")
     rows.filter(F.col("event_type") == "error").drop("props").write.json(base + "/b")
     pages = [spark.read.json(base + "/a"), spark.read.json(base + "/b")]
     return _schema.apply_schema(_files.union_pages(pages), views.EVENT_CONTRACT)
@@ -336,12 +345,109 @@ def landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _schema.apply_schema(bronze, views.EVENT_CONTRACT)
 
 
+def _new_table(spark: SparkSession, role: str) -> tuple[str, str]:
+    base = scratch_path(spark, role)
+    return "strata_" + base.rsplit("/", 1)[-1].replace("-", "_"), base
+
+
+def _read_and_drop(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The table's rows from its files; the catalog entry goes (its files stay, being external)."""
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)
+
+
 @register
 def overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_path(spark, "orders-table")
-    name = "strata_orders_" + base.rsplit("-", 1)[-1]
-    _sinks.write_version(spark, views.table(spark, sf_dir, "orders"), name, base)
-    return spark.table(name)
+    """External table, overwritten by a second load."""
+    orders = views.table(spark, sf_dir, "orders")
+    name, base = _new_table(spark, "orders-external")
+    _sinks.overwrite_table(orders.withColumn("o_totalprice", F.lit(0.0)), name, base)
+    _sinks.overwrite_table(orders, name, base)
+    return _read_and_drop(spark, name, base)
+
+
+@register
+def overwrite_managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Managed table in the default format, overwritten by a second load and read by name."""
+    orders = views.table(spark, sf_dir, "orders")
+    name, _ = _new_table(spark, "orders-managed")
+    _sinks.overwrite_table(orders.limit(0), name)
+    _sinks.overwrite_table(orders, name)
+    return _tables.scan_table(spark, name)
+
+
+@register
+def scan_table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of a layer database, read with a column list (any case)."""
+    gold = _tables.ensure_layers(spark, _tables.layer_names("strata"))[-1]
+    name, base = _new_table(spark, "customer")
+    _sinks.overwrite_table(views.table(spark, sf_dir, "customer"), f"{gold}.{name}", base)
+    if not _tables.table_exists(spark, f"{gold}.{name}"):
+        raise RuntimeError("the table was not made")
+    return _tables.scan_table(spark, f"{gold}.{name}", ["C_CUSTKEY", "c_name"]).toDF("c_custkey", "c_name")
+
+
+@register
+def scan_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tables.scan_path(spark, f"{sf_dir}/supplier.parquet")
+
+
+@register
+def register_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region extract as an external CSV table, read by name."""
+    name, base = _new_table(spark, "region-csv")
+    rows = views.region_bronze_rows(views.table(spark, sf_dir, "supplier"), views.table(spark, sf_dir, "nation"))
+    rows.write.option("header", True).option("sep", ";").csv(base)
+    return _files.register_csv(spark, spark.catalog.currentDatabase(), name, base)
+
+
+def _maintained(spark: SparkSession, sf_dir: str, role: str, step) -> DataFrame:
+    """Yesterday's orders as a table, changed by ``step(source, table, base)``."""
+    target, source = _orders_versions(spark, sf_dir)
+    name, base = _new_table(spark, role)
+    _sinks.write_version(spark, target, name, base)
+    path = step(source, name, base)
+    return _read_and_drop(spark, name, path)
+
+
+@register
+def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _maintained(spark, sf_dir, "orders-upsert", lambda s, t, b: _sinks.upsert_table(spark, s, t, ["o_orderkey"], b))
+
+
+@register
+def insert_new_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _maintained(spark, sf_dir, "orders-insert", lambda s, t, b: _sinks.insert_new_table(spark, s, t, ["o_orderkey"], b))
+
+
+@register
+def refresh_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full refresh of a table by the whole orders."""
+    orders = views.table(spark, sf_dir, "orders")
+    return _maintained(spark, sf_dir, "orders-refresh", lambda s, t, b: _sinks.refresh_table(spark, orders, t, b))
+
+
+@register
+def delete_then_insert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delete all rows of the stored table, then insert the whole orders by key."""
+    orders = views.table(spark, sf_dir, "orders")
+
+    def step(_, table: str, base: str) -> str:
+        _sinks.delete_all_table(spark, table, base)
+        return _sinks.insert_new_table(spark, orders, table, ["o_orderkey"], base)
+
+    return _maintained(spark, sf_dir, "orders-delete", step)
+
+
+@register
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed lines of landed pages, kept as text: here error events cut before their end."""
+    events = views.table(spark, sf_dir, "events")
+    line = F.concat(F.lit('{"event_id":"'), F.col("event_id").cast("string"), F.lit('"'), F.when(F.col("event_type").eqNullSafe("error"), "").otherwise("}"))
+    folder = scratch_path(spark, "broken-pages")
+    events.select(line).write.text(folder)
+    return _files.json_rejects(spark, folder, views.EVENT_TEXT)
 
 
 @register

@@ -83,12 +83,22 @@ def scan_json_pages(
 
     A key absent from a page (or from every row of a page) reads as NULL. ``multiline=True``
     reads files holding one JSON array of objects (one task per file); the default reads
-    JSON Lines, which splits large files across tasks.
+    JSON Lines, which splits large files across tasks. A malformed page fails the read;
+    ``json_rejects`` lists such lines.
     """
-    reader = spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST")
     return reader.json(path if isinstance(path, str) else list(path))
 
 
+def json_rejects(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """``(corrupt_line)``: the lines of JSON Lines pages that are no object of that schema."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    parsed = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    bad = lines.select("value", parsed["_corrupt_record"].alias("bad")).filter(F.col("bad").isNotNull())
+    return bad.select(F.col("value").alias("corrupt_line"))
+
+
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name; columns missing from a page are filled with NULL."""
     if not pages:

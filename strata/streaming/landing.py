@@ -38,7 +38,9 @@ def ingest_pages(
     query.awaitTermination()
     try:
         return spark.read.schema(schema).format(fmt).load(bronze_path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         # nothing landed yet: an empty source is an empty table with the declared schema
         return spark.createDataFrame([], schema)
 
