@@ -37,6 +37,9 @@ SEED = 42
 SEGMENTS = 3
 #: Shingles hashed at a time, which bounds the memory for very long texts.
 CHUNK = 1 << 16
+#: Buckets of up to so many fingerprints are compared member by member; in larger ones the
+#: largest component is left out against itself. Both find every link.
+SMALL_BUCKET = 64
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -110,9 +113,10 @@ def _near(a: str, b: str, max_bits: int) -> Column:
 
 
 def _buckets(members: DataFrame) -> DataFrame:
-    """Per (seg, key): the largest component, whether there are others, and up to three pivots with their labels."""
+    """Per (seg, key): the largest component, whether there are others, the number of fingerprints, and up to three pivots."""
     by_label = members.groupBy("seg", "key", "label").agg(
         F.sum("n").alias("c"),
+        F.count("*").alias("fps"),
         F.max(F.struct("n", "fp", "label")).alias("top"),
         F.min(F.struct(F.xxhash64("fp").alias("x"), "fp", "label")).alias("low"),
         F.max(F.struct(F.xxhash64("fp").alias("x"), "fp", "label")).alias("high"),
@@ -121,10 +125,15 @@ def _buckets(members: DataFrame) -> DataFrame:
     return by_label.groupBy("seg", "key").agg(
         F.max(F.struct("c", "label"))["label"].alias("major"),
         (F.count("*") > 1).alias("mixed"),
+        F.sum("fps").alias("fps"),
         F.array_distinct(F.array(pivot(F.max("top")), pivot(F.min("low")), pivot(F.max("high")))).alias("pivots"),
     )
 
 
+def _pivots(members: DataFrame) -> DataFrame:
+    return _buckets(members).select("seg", "key", F.explode("pivots").alias("p")).select("seg", "key", "p.*")
+
+
 def _merged(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
     """``nodes`` relabelled by the components of links between their labels."""
     found = components(edges, name)
@@ -138,31 +147,28 @@ def link(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     # stars around the pivots of each bucket
     members = _keyed(nodes, entries)
-    pivots = _buckets(members).select("seg", "key", F.explode("pivots").alias("p")).select("seg", "key", "p.*")
-    stars = members.join(pivots, ["seg", "key"]).filter((F.col("fp") != F.col("p_fp")) & _near("fp", "p_fp", max_bits))
+    stars = members.join(_pivots(members), ["seg", "key"]).filter((F.col("fp") != F.col("p_fp")) & _near("fp", "p_fp", max_bits))
     nodes = _merged(nodes, stars.select(F.col("label").alias("a"), F.col("p_label").alias("b")), "simhash-stars")
 
-    # look-ups that reach a bucket with members of other components; links to its pivots
-    table = _buckets(_keyed(nodes, entries))
-    probes = _keyed(nodes.select("fp", "label"), balls).join(table, ["seg", "key"]).filter((F.col("label") != F.col("major")) | F.col("mixed"))
-    probes = cut(probes, "simhash-probes")
-    to_pivots = probes.select("fp", "label", F.explode("pivots").alias("p")).select("fp", "label", "p.*")
-    to_pivots = to_pivots.filter((F.col("label") != F.col("p_label")) & _near("fp", "p_fp", max_bits))
-    nodes = _merged(nodes, to_pivots.select(F.col("label").alias("a"), F.col("p_label").alias("b")), "simhash-pivots")
+    # the pivots of neighbouring buckets
+    pivots = _pivots(_keyed(nodes, entries))
+    near = _keyed(nodes.select("fp", "label"), balls).join(pivots, ["seg", "key"])
+    near = near.filter((F.col("label") != F.col("p_label")) & _near("fp", "p_fp", max_bits))
+    nodes = _merged(nodes, near.select(F.col("label").alias("a"), F.col("p_label").alias("b")), "simhash-pivots")
 
-    # what is left: links between different components, the bucket's largest one not against itself
+    # what is left: links between different components, checked inside the join
     members = _keyed(nodes, entries)
-    table = _buckets(members).select("seg", "key", "major", "mixed")
-    kinds = F.filter(F.array(F.when(F.col("label") != F.col("major"), F.lit(True)), F.when(F.col("mixed"), F.lit(False))), lambda x: x.isNotNull())
-    asked = (
-        probes.select(F.col("fp").alias("q"), "seg", "key")
-        .join(nodes.select(F.col("fp").alias("q"), F.col("label").alias("q_label")), "q")
-        .join(table, ["seg", "key"])
-        .withColumn("label", F.col("q_label"))
-        .select("q", "q_label", "seg", "key", F.explode(kinds).alias("is_major"))
-    )
-    sides = members.join(table, ["seg", "key"]).select("seg", "key", "fp", "label", (F.col("label") == F.col("major")).alias("is_major"))
-    others = asked.join(sides, ["seg", "key", "is_major"]).filter((F.col("q_label") != F.col("label")) & _near("q", "fp", max_bits))
+    table = _buckets(members).select("seg", "key", "major", "mixed", "fps")
+    sides = members.join(table, ["seg", "key"]).select("seg", "key", "fp", "label", "fps", (F.col("label") == F.col("major")).alias("is_major"))
+    asked = _keyed(nodes.select("fp", "label"), balls).withColumnsRenamed({"fp": "q", "label": "q_label"})
+    linked = (F.col("q_label") != F.col("label")) & _near("q", "fp", max_bits)
+    small = asked.join(sides.filter(F.col("fps") <= SMALL_BUCKET), ["seg", "key"]).filter(linked)
+    # in large buckets the largest component is not compared with itself
+    kinds = F.filter(F.array(F.when(F.col("q_label") != F.col("major"), F.lit(True)), F.when(F.col("mixed"), F.lit(False))), lambda x: x.isNotNull())
+    reached = asked.join(table.filter(F.col("fps") > SMALL_BUCKET), ["seg", "key"]).filter((F.col("q_label") != F.col("major")) | F.col("mixed"))
+    reached = reached.select("q", "q_label", "seg", "key", F.explode(kinds).alias("is_major"))
+    large = reached.join(sides.filter(F.col("fps") > SMALL_BUCKET), ["seg", "key", "is_major"]).filter(linked)
+    others = small.select("q_label", "label").unionByName(large.select("q_label", "label"))
     nodes = _merged(nodes, others.select(F.col("q_label").alias("a"), F.col("label").alias("b")), "simhash-rest")
 
     least = nodes.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -73,8 +73,9 @@ def test_simhash_brute_force(spark, sf, docs):
     assert simhash.near_duplicates(docs([])).count() == 0 and simhash.near_duplicate_docs(docs([])).count() == 0
 
 
-@pytest.mark.parametrize("bits", [0, 1, 3, 4, 7])
-def test_hamming_links_are_complete(spark, bits):
+@pytest.mark.parametrize("bits, small", [(0, 64), (1, 0), (3, 64), (4, 64), (4, 0), (7, 2)])
+def test_hamming_links_are_complete(spark, monkeypatch, bits, small):
+    monkeypatch.setattr(simhash, "SMALL_BUCKET", small)
     r = random.Random(bits)
     fps = [0, -1] + [r.getrandbits(63) for _ in range(30)]
     for f in list(fps):
