@@ -1,7 +1,8 @@
 """Declared schemas: typed projection with reject capture, renames and load stamps.
 
 Casts are ``try_cast``: a value that does not parse becomes NULL (as casts did before ANSI
-mode) and the row is reported by ``schema_rejects`` instead of failing the job.
+mode) and the row is reported by ``schema_rejects`` instead of failing the job. Text of a whole
+number with a decimal point (``1.0``) reads as that number; a real fraction is a reject.
 """
 
 from __future__ import annotations
@@ -23,6 +24,15 @@ def _resolve(df: DataFrame, name: str) -> str:
         raise ValueError(f"column {name!r} not in {df.columns}") from None
 
 
+def try_typed(raw: Column, source: T.DataType, target: T.DataType) -> Column:
+    """``try_cast``; for text read as an integral type also ``1.0``, which ``try_cast`` refuses."""
+    out = raw.try_cast(target)
+    if isinstance(source, T.StringType) and isinstance(target, T.IntegralType):
+        # evaluated only where the plain cast gives NULL
+        out = F.coalesce(out, F.regexp_extract(raw, r"^\s*([+-]?[0-9]+)\.0*\s*$", 1).try_cast(target))
+    return out
+
+
 def _typed(df: DataFrame, field: T.StructField, missing: str) -> Column:
     lower = {c.lower(): c for c in df.columns}
     src = lower.get(field.name.lower())
@@ -32,7 +42,7 @@ def _typed(df: DataFrame, field: T.StructField, missing: str) -> Column:
         raise ValueError(f"column {field.name!r} not in {df.columns}")
     if df.schema[src].dataType == field.dataType:
         return F.col(src).alias(field.name)
-    return F.col(src).try_cast(field.dataType).alias(field.name)
+    return try_typed(F.col(src), df.schema[src].dataType, field.dataType).alias(field.name)
 
 
 def apply_schema(df: DataFrame, schema: T.StructType, missing: str = "error") -> DataFrame:
@@ -49,7 +59,8 @@ def _failed(df: DataFrame, field: T.StructField) -> Column:
     if df.schema[src].dataType == field.dataType:
         return F.lit(False)
     # the raw value is evaluated a second time only for rows whose cast gave NULL
-    return F.when(raw.try_cast(field.dataType).isNull(), raw.isNotNull()).otherwise(F.lit(False))
+    typed = try_typed(raw, df.schema[src].dataType, field.dataType)
+    return F.when(typed.isNull(), raw.isNotNull()).otherwise(F.lit(False))
 
 
 def schema_rejects(
@@ -80,7 +91,8 @@ def reject_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
 def cast_columns(df: DataFrame, types: dict[str, T.DataType | str]) -> DataFrame:
     """In-place ``try_cast`` of named columns (order kept)."""
     resolved = {_resolve(df, c): t for c, t in types.items()}  # keep the table's own names
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in resolved.items()})
+    kind = lambda t: T.DataType.fromDDL(t) if isinstance(t, str) else t
+    return df.withColumns({c: try_typed(F.col(c), df.schema[c].dataType, kind(t)) for c, t in resolved.items()})
 
 
 def lower_columns(df: DataFrame) -> DataFrame:

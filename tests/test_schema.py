@@ -69,3 +69,12 @@ def test_cast_columns_in_place(spark):
     out = schema.cast_columns(df, {"CODIGO": "bigint", "qtde": T.LongType()})
     assert out.columns == ["codigo", "qtde", "nome"]
     assert tuple(out.first()) == (101, 3, "x")
+
+
+def test_whole_numbers_with_a_point(spark):
+    rows = ["1.0", " -2. ", "+3.000", "4.5", "x.0", "", None, "12345678901234567890.0", "7"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, n string")
+    kind = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("n", T.LongType())])
+    assert [r.n for r in schema.apply_schema(df, kind).orderBy("i").collect()] == [1, -2, 3, None, None, None, None, None, 7]
+    assert sorted(r.i for r in schema.schema_rejects(df, kind).collect()) == [3, 4, 5, 7]
+    assert [r.n for r in schema.cast_columns(df, {"n": "bigint"}).orderBy("i").collect()][:4] == [1, -2, 3, None]
