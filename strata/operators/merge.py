@@ -94,8 +94,8 @@ def upsert(
     )
 
 
-def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert-only merge: target plus the source rows whose key is not in the target."""
+def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source rows whose key is not in the target, in the target's columns."""
     keys = list(keys)
     src = _align(source, target)
     present = _all_present(keys)
@@ -104,8 +104,13 @@ def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     # side and are broadcast when small, so the target is not shuffled), then the source rows
     # with those keys are dropped
     matched = target.filter(present).select(*keys).join(src_keys, keys, "left_semi").distinct()
-    new = src.filter(present).join(matched, keys, "left_anti")
-    return target.unionByName(new).unionByName(src.filter(~present))
+    new = src.filter(present).join(matched, keys, "left_anti").select(*target.columns)
+    return new.unionByName(src.filter(~present))
+
+
+def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Insert-only merge: target plus the source rows whose key is not in the target."""
+    return target.unionByName(new_rows(target, source, keys))
 
 
 def refresh(target: DataFrame, source: DataFrame) -> DataFrame:

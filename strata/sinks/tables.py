@@ -91,12 +91,22 @@ def upsert_table(
 def insert_new_table(
     spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str], base_path: str
 ) -> str:
-    """Create on first run, otherwise insert the source rows whose key is new."""
+    """Create on first run, otherwise insert the source rows whose key is new.
+
+    Only the new rows are written, appended to the files of the current version; the write's
+    commit adds them all or, if the job fails before it, none. Returns the table's location."""
     if not table_exists(spark, table):
         return write_version(spark, source, table, base_path)
-    source = stage(spark, source, base_path)
-    result = merge.insert_new(spark.table(table), source, keys)
-    return write_version(spark, result, table, base_path)
+    source = stage(spark, _same_schema(spark, source, table), base_path)
+    merge.new_rows(spark.table(table), source, keys).write.insertInto(table)
+    spark.catalog.refreshTable(table)
+    return table_location(spark, table)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder a table points at."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
 
 
 def refresh_table(spark: SparkSession, source: DataFrame, table: str, base_path: str) -> str:

@@ -144,3 +144,14 @@ def test_versions_refuse_another_schema(spark, tmp_dir):
 def test_table_exists_ignores_temporary_views(spark):
     spark.range(1).createOrReplaceTempView("strata_only_a_view")
     assert not catalog.table_exists(spark, "strata_only_a_view")
+
+
+def test_insert_new_appends_to_the_version(spark, tmp_dir):
+    name, base = "strata_append", tmp_dir + "/ap"
+    first = tables.insert_new_table(spark, spark.createDataFrame([(1, "a"), (None, "n")], "k long, v string"), name, ["k"], base)
+    files = set(spark.table(name).inputFiles())
+    src = spark.createDataFrame([("x", 1), ("b", 2), ("b", 2), ("m", None)], "v string, k long")  # other column order
+    second = tables.insert_new_table(spark, src, name, ["k"], base)
+    assert second.endswith(first) and files < set(spark.table(name).inputFiles())
+    got = sorted(((r.k or 0), r.v) for r in spark.table(name).collect())
+    assert got == [(0, "m"), (0, "n"), (1, "a"), (2, "b"), (2, "b")]
