@@ -36,8 +36,13 @@ def ingest_pages(
         .start()
     )
     query.awaitTermination()
+    return _written(spark, schema, fmt, bronze_path)
+
+
+def _written(spark: SparkSession, schema: T.StructType, fmt: str, path: str) -> DataFrame:
+    """What a stream has written below ``path`` so far."""
     try:
-        return spark.read.schema(schema).format(fmt).load(bronze_path)
+        return spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -68,9 +73,9 @@ def stream_quality_split(
     ckpt = checkpoint or scratch_path(spark, "quality-checkpoint")
     rows = spark.readStream.schema(text_schema).format(fmt).load(bronze_path)
     typed = apply_schema(rows, contract) if contract is not None else rows
+    classified = classify(typed)
     query = (
-        classify(typed)
-        .writeStream.format(fmt)
+        classified.writeStream.format(fmt)
         .option("checkpointLocation", ckpt)
         .option("path", out_path)
         .partitionBy(class_col)
@@ -79,4 +84,4 @@ def stream_quality_split(
         .start()
     )
     query.awaitTermination()
-    return spark.read.format(fmt).load(out_path)
+    return _written(spark, classified.schema, fmt, out_path)
