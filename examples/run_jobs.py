@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from strata.plans import jobs, sales, views  # noqa: E402
+from strata.plans.prices import TEN_DIGIT  # noqa: E402
 from strata.workspace import scratch_path  # noqa: E402
 
 
@@ -37,7 +38,7 @@ def main(sf_dir: str) -> None:
     # price list: fixed-width text -> bronze price table
     price_txt = root + "/landing/prices"
     views.price_lines_from_part(views.table(spark, sf_dir, "part")).write.text(price_txt)
-    prices = jobs.price_job(lake, price_txt, "ex_bronze.fa_preco_produto")
+    prices = jobs.price_job(lake, price_txt, "ex_bronze.fa_preco_produto", TEN_DIGIT)
     print("price rows:", prices.count())
 
     # sales star schema: CSV extracts -> bronze tables -> silver -> gold

@@ -45,7 +45,7 @@ KEY = "cd_produto"
 # --- end fixed values ---------------------------------------------------------------------
 
 
-def price_fields(lines: DataFrame, layout: Layout = AS_READ) -> DataFrame:
+def price_fields(lines: DataFrame, layout: Layout) -> DataFrame:
     """Text fields of each record: code, description, ``dd-MM-yyyy`` date text, price text."""
     p = parse_fixed_width(lines, layout)
     return p.select(
@@ -61,7 +61,7 @@ def price_value(text: F.Column) -> F.Column:
     return F.concat(F.substring(text, 1, 8), F.lit("."), F.substring(text, 9, 2)).try_cast(PRICE_TYPE)
 
 
-def price_bronze(lines: DataFrame, layout: Layout = AS_READ, run_ts=None, ntz: bool = False) -> DataFrame:
+def price_bronze(lines: DataFrame, layout: Layout, run_ts=None, ntz: bool = False) -> DataFrame:
     """Typed price rows with lower-case names: text fields, ``vl_preco_produto``,
     ``dt_atualizacao`` and the load stamp ``dt_inclusao``."""
     df = price_fields(lines, layout)
@@ -74,11 +74,13 @@ def price_bronze(lines: DataFrame, layout: Layout = AS_READ, run_ts=None, ntz: b
     return lower_columns(stamp(df, "dt_inclusao", run_ts, ntz))
 
 
-def price_rejects(lines: DataFrame, layout: Layout = AS_READ) -> DataFrame:
-    """Records whose price or date text does not parse, with the failing field names."""
+def price_rejects(lines: DataFrame, layout: Layout) -> DataFrame:
+    """Records whose price or date text does not parse, with the failing field names. A record
+    that ends before its price field does has no price that can be trusted and is one too."""
     df = price_fields(lines, layout)
-    bad_price = F.trim(F.col("PRECO_PRODUTO")) != "" 
-    bad_price = bad_price & price_value(F.col("PRECO_PRODUTO")).isNull()
+    width = next(f.length for f in layout.fields if f.name == "PRECO_PRODUTO")
+    price = F.col("PRECO_PRODUTO")
+    bad_price = (F.length(price) < width) | ((F.trim(price) != "") & price_value(price).isNull())
     bad_date = F.try_to_date(F.col("ATUALIZACAO"), DATE_FORMAT).isNull()
     reason = F.concat_ws(
         ",",

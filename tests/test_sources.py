@@ -59,9 +59,15 @@ def test_fixed_width_ten_digit(spark, tmp_dir):
     assert [(r["cd_produto"], r["rejected_columns"]) for r in rej] == [("0000176100", "vl_preco_produto")]
 
 
+def test_record_cut_before_the_price_is_a_reject(spark):
+    cut = spark.createDataFrame([(LINES[0][:124],), (LINES[0][:130],), (LINES[0],)], "value string")
+    rej = prices.price_rejects(cut, prices.TEN_DIGIT).collect()
+    assert [r["rejected_columns"] for r in rej] == ["vl_preco_produto", "vl_preco_produto"]
+
+
 def test_parse_is_distributed(spark, tmp_dir):
     lines = files.scan_text(spark, _write_lines(tmp_dir))
-    plan = prices.price_bronze(lines)._jdf.queryExecution().executedPlan().toString()
+    plan = prices.price_bronze(lines, prices.TEN_DIGIT)._jdf.queryExecution().executedPlan().toString()
     assert "FileScan text" in plan and "Exchange" not in plan
 
 
