@@ -20,7 +20,7 @@ from strata.operators.schema import apply_schema
 from strata.plans import prices, sales, taxi
 from strata.sinks import tables as sinks
 from strata.sources import files, series
-from strata.sources.tables import ensure_layers, scan_table
+from strata.sources.tables import ensure_layers, scan_table, table_exists
 from strata.streaming.landing import ingest_pages
 
 
@@ -34,13 +34,18 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}"
 
-    def register(self, table: str, location: str) -> None:
+    def register(self, table: str, location: str, schema: T.StructType) -> None:
+        """Point ``table`` at Parquet files of a declared schema (the folder may hold none yet)."""
         s = self.spark
-        if s.catalog.tableExists(table):
+        if table_exists(s, table):
+            known = s.table(table).schema
+            if [(f.name, f.dataType) for f in known] != [(f.name, f.dataType) for f in schema]:
+                raise ValueError(f"{table} has the columns {known.simpleString()}, given are {schema.simpleString()}")
             s.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
             s.catalog.refreshTable(table)
         else:
-            s.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            s.sql(f"CREATE TABLE {table} ({cols}) USING parquet LOCATION '{location}'")
 
 
 def create_layers(lake: Lake, databases: Sequence[str]) -> list[str]:
@@ -52,7 +57,7 @@ def create_layers(lake: Lake, databases: Sequence[str]) -> list[str]:
 
 
 def price_job(
-    lake: Lake, text_path: str, table: str, layout: prices.Layout = prices.AS_READ, run_ts=None
+    lake: Lake, text_path: str, table: str, layout: prices.Layout, run_ts=None
 ) -> DataFrame:
     """Fixed-width file -> typed price table. A later run replaces all rows (delete, then
     insert-only merge on the product code = exactly the new file)."""
@@ -130,18 +135,21 @@ TRIP_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in taxi.TR
 def taxi_bronze_job(
     lake: Lake, landing: str, table: str, lo: str | None = None, hi: str | None = None, multiline: bool = False
 ) -> DataFrame:
-    """New landed pages -> bronze (text), exactly once; optional pickup-time range."""
+    """New landed pages -> bronze (text), exactly once; optional pickup-time range.
+
+    All landed rows are kept in the table's data folder. Without a range the table is that folder;
+    with one it is a version that holds the rows of the range only, as a later run may ask for
+    another range."""
+    if (lo is None) != (hi is None):
+        raise ValueError("a range needs both ends")
     s = lake.spark
     folder = lake.path(table) + "/data"
-    ingest_pages(s, landing, TRIP_TEXT, folder, lake.path(table) + "/_checkpoint", multiline)
-    if not s.catalog.tableExists(table):
-        cols = ", ".join(f"`{f.name}` string" for f in TRIP_TEXT.fields)
-        s.sql(f"CREATE TABLE {table} ({cols}) USING parquet LOCATION '{folder}'")
-    s.catalog.refreshTable(table)
-    df = s.table(table)
-    if lo is not None and hi is not None:
-        df = files.filter_time_range(df, taxi.PICKUP, lo, hi)
-    return df
+    landed = ingest_pages(s, landing, TRIP_TEXT, folder, lake.path(table) + "/_checkpoint", multiline)
+    if lo is None:
+        lake.register(table, folder, TRIP_TEXT)
+    else:
+        sinks.write_version(s, files.filter_time_range(landed, taxi.PICKUP, lo, hi), table, lake.path(table))
+    return s.table(table)
 
 
 def taxi_silver_job(lake: Lake, bronze: DataFrame | str, table: str, contract: T.StructType = taxi.TRIP_CONTRACT) -> DataFrame:
@@ -153,14 +161,17 @@ def taxi_silver_job(lake: Lake, bronze: DataFrame | str, table: str, contract: T
 
 def taxi_quality_job(lake: Lake, silver: str, prefix: str) -> dict[str, int]:
     """All quality classes in one scan and one write; one table per class
-    (``<prefix>_valid`` ...), plus ``<prefix>_removed_distinct``. Returns the class counts."""
+    (``<prefix>_valid`` ...), plus ``<prefix>_removed_distinct``. A class without rows is an
+    empty table; the removed tables have the input's columns. Returns the class counts."""
     s = lake.spark
     trips = scan_table(s, silver)
     base = f"{lake.path(prefix)}/split/v-{uuid.uuid4().hex}"
-    counts = sinks.write_quality_split(taxi.classify_trips(trips), base)
+    classified = taxi.classify_trips(trips)
+    counts = sinks.write_quality_split(classified, base)
     for cls in quality.CLASSES:
-        lake.register(f"{prefix}_{cls}", f"{base}/quality_class={cls}")
-    removed = sinks.read_quality_class(s, base, quality.REMOVED, trips.columns).distinct()
+        columns = trips.columns if cls == quality.REMOVED else taxi.clean_columns(trips)
+        lake.register(f"{prefix}_{cls}", f"{base}/quality_class={cls}", classified.select(*columns).schema)
+    removed = s.table(f"{prefix}_{quality.REMOVED}").distinct()
     sinks.write_version(s, removed, f"{prefix}_removed_distinct", lake.path(prefix) + "/removed_distinct")
     return counts
 

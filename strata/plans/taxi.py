@@ -58,20 +58,24 @@ def trip_contract(timestamp_type: T.DataType = T.TimestampType()) -> T.StructTyp
 
 def keep_rules() -> list[Column]:
     """Rows kept for analysis: pickup and vendor present, distance and passengers positive,
-    fare not negative. NULL outcomes fail."""
+    fare not negative. NULL outcomes fail, and so does NaN, which compares as the largest number."""
     return [
         F.col(PICKUP).isNotNull(),
         F.col("VendorID").isNotNull(),
         F.col("trip_distance") > 0,
         F.col("passenger_count") > 0,
         F.col("fare_amount") >= 0,
+        *[~F.isnan(c) for c in ("trip_distance", "passenger_count", "fare_amount")],
     ]
 
 
 def total_covers_parts() -> Column:
-    """Business rule: the total covers fare + tip + tolls + extra (NULL if any part is NULL)."""
-    return F.col("total_amount") >= (
-        F.col("fare_amount") + F.col("tip_amount") + F.col("tolls_amount") + F.col("extra")
+    """Business rule: the total covers fare + tip + tolls + extra (NULL if any part is NULL or the
+    total or the tip is no number)."""
+    known = ~F.isnan("total_amount") & ~F.isnan("tip_amount")
+    return F.when(
+        known,
+        F.col("total_amount") >= (F.col("fare_amount") + F.col("tip_amount") + F.col("tolls_amount") + F.col("extra")),
     )
 
 
