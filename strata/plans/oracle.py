@@ -65,9 +65,13 @@ TRIP_COLS = (
 )
 KEEP = (
     'tpep_pickup_datetime IS NOT NULL AND "VendorID" IS NOT NULL AND trip_distance > 0 '
-    "AND passenger_count > 0 AND fare_amount >= 0"
+    "AND passenger_count > 0 AND fare_amount >= 0 "
+    "AND NOT isnan(trip_distance) AND NOT isnan(passenger_count) AND NOT isnan(fare_amount)"
+)
+CHECK = (
+    "CASE WHEN NOT isnan(total_amount) AND NOT isnan(tip_amount) "
+    "THEN total_amount >= fare_amount + tip_amount + tolls_amount + extra END"
 )
-CHECK = "total_amount >= fare_amount + tip_amount + tolls_amount + extra"
 CLEAN = f"""
 clean AS (
   SELECT "VendorID", tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance,
@@ -81,30 +85,37 @@ clean AS (
   FROM trips WHERE {KEEP})"""
 W = f"WITH {TRIPS},{CLEAN}"
 
-DAILY = f"""
+def daily(distance: int = 2, total: int = 4, other: int = 2) -> str:
+    return f"""
 daily AS (
   SELECT strftime(tpep_pickup_datetime, '%Y-%m-%d') AS dia,
          count("VendorID") AS total_corridas,
-         {xsum('trip_distance')} AS distancia_total_km,
-         {xavg('trip_distance')} AS distancia_media_km,
-         {xsum('total_amount', 4)} AS faturamento_total,
-         {xavg('total_amount', 4)} AS ticket_medio,
-         {xavg('tip_amount')} AS gorjeta_media,
-         {xavg('passenger_count')} AS passageiros_media
+         {xsum('trip_distance', distance)} AS distancia_total_km,
+         {xavg('trip_distance', distance)} AS distancia_media_km,
+         {xsum('total_amount', total)} AS faturamento_total,
+         {xavg('total_amount', total)} AS ticket_medio,
+         {xavg('tip_amount', other)} AS gorjeta_media,
+         {xavg('passenger_count', other)} AS passageiros_media
   FROM clean WHERE total_amount_check = true
   GROUP BY 1)"""
-ZONES = f"""
+
+
+def zones(distance: int = 2, total: int = 4, other: int = 2) -> str:
+    return f"""
 zones AS (
   SELECT "PULocationID",
          count("VendorID") AS total_corridas,
-         {xsum('total_amount', 4)} AS faturamento_total,
-         {xavg('total_amount', 4)} AS ticket_medio,
-         {xavg('tip_amount')} AS gorjeta_media,
-         {xavg('trip_distance')} AS distancia_media_km,
-         {xavg('passenger_count')} AS passageiros_media
+         {xsum('total_amount', total)} AS faturamento_total,
+         {xavg('total_amount', total)} AS ticket_medio,
+         {xavg('tip_amount', other)} AS gorjeta_media,
+         {xavg('trip_distance', distance)} AS distancia_media_km,
+         {xavg('passenger_count', other)} AS passageiros_media
   FROM clean WHERE total_amount_check = true
   GROUP BY 1)"""
 
+
+DAILY, ZONES = daily(), zones()
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["quality_filter"] = f"WITH {TRIPS} SELECT {TRIP_COLS} FROM trips WHERE {KEEP}"
@@ -239,7 +250,7 @@ def _versions(null_keys: bool = False) -> str:
     key = "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey END" if null_keys else "o_orderkey"
     return f"""
 o AS (SELECT {key} AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders),
-t AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+t AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1998-01-01' OR o_orderdate IS NULL),
 s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + CAST(1.0 AS DOUBLE) AS o_totalprice,
              o_orderdate, o_orderpriority FROM o WHERE o_orderdate >= TIMESTAMP '1997-01-01')"""
 
@@ -259,13 +270,14 @@ ORACLE["delete_all"] = "SELECT * FROM orders WHERE false"
 
 LINES = """
 lines AS (
+  SELECT CASE WHEN p_size = 7 THEN substr(value, 1, 124) ELSE value END AS value FROM (
   SELECT lpad(CAST(p_partkey AS VARCHAR), 10, '0') || repeat(' ', 5)
          || rpad(substr(concat_ws(' ', upper(p_name), p_brand, p_type), 1, 101), 101, ' ')
          || strftime(DATE '2020-12-01' + p_size, '%d%m%Y')
          || (CASE WHEN p_type = 'PROMO' THEN 'L' ELSE '0' END)
          || lpad(CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS VARCHAR), 9, '0')
-         || repeat(' ', 2) AS value
-  FROM part)"""
+         || repeat(' ', 2) AS value, p_size
+  FROM part))"""
 
 
 def _price(ds: str, price_start: int) -> str:
@@ -289,7 +301,7 @@ ORACLE["fixed_width_ten_digit"] = f"{TEN_DIGIT} SELECT *, {RUN_TS} AS dt_inclusa
 ORACLE["fixed_width_rejects"] = f"""{TEN_DIGIT},
 r AS (
   SELECT cd_produto, ds_produto, atualizacao, preco_produto,
-         concat_ws(',', CASE WHEN trim(preco_produto) <> '' AND vl_preco_produto IS NULL THEN 'vl_preco_produto' END,
+         concat_ws(',', CASE WHEN length(preco_produto) < 10 OR trim(preco_produto) <> '' AND vl_preco_produto IS NULL THEN 'vl_preco_produto' END,
                         CASE WHEN dt_atualizacao IS NULL THEN 'dt_atualizacao' END) AS rejected_columns
   FROM p)
 SELECT * FROM r WHERE rejected_columns <> ''"""
@@ -332,6 +344,18 @@ ORACLE["overwrite_table"] = "SELECT * FROM orders"
 ORACLE["lower_columns"] = "SELECT * FROM customer"
 ORACLE["quality_split_valid"] = ORACLE["valid_trips"]
 ORACLE["quality_split_removed"] = ORACLE["removed_all"]
+ORACLE["quality_split_invalid"] = ORACLE["invalid_trips"]
+ORACLE["quality_job_removed"] = ORACLE["removed_all"]
+ORACLE["taxi_bronze_range"] = (
+    ORACLE["apply_schema"] + " WHERE tpep_pickup_datetime BETWEEN TIMESTAMP '1995-01-01 00:00:00' AND TIMESTAMP '1996-12-31 23:59:59'"
+)
+ORACLE["quality_split_empty_class"] = f"""WITH {TRIPS.replace("CASE WHEN l_discount = 0.0 THEN NULL ELSE l_discount END", "coalesce(l_discount, 0.0)")},{CLEAN},
+removed AS (SELECT {TRIP_COLS} FROM trips WHERE NOT coalesce({KEEP}, false))
+SELECT 'valid' AS measure, count(*) AS rows FROM clean WHERE total_amount_check
+UNION ALL SELECT 'invalid', count(*) FROM clean WHERE NOT total_amount_check
+UNION ALL SELECT 'unclassified', count(*) FROM clean WHERE total_amount_check IS NULL
+UNION ALL SELECT 'removed', count(*) FROM removed
+UNION ALL SELECT 'removed_distinct', count(*) FROM (SELECT DISTINCT * FROM removed)"""
 ORACLE["fact_gold_partitioned_upsert"] = f"""
 WITH silver AS (
   SELECT CAST(l_partkey AS BIGINT) AS codigo_produto, CAST(l_suppkey AS BIGINT) AS codigo_regiao,
@@ -359,3 +383,37 @@ ORACLE["fact_text_key"] = f"""WITH {SILVER},{GOLD}
 SELECT codigo_produto, codigo_regiao, id_data_venda,
        CAST(codigo_produto AS VARCHAR) || CAST(codigo_regiao AS VARCHAR) || CAST(id_data_venda AS VARCHAR) AS fact_key
 FROM gold"""
+
+# ---- inputs that exercise the operators: three decimals, NaN, equal rows, repeated keys ------------
+
+
+def _mills(with_nan: bool) -> str:
+    """The trips with other measures; exact in binary, so plain sums do not depend on the order."""
+    nan = lambda line, x: f"CASE WHEN payment_type = {line} THEN 'NaN'::DOUBLE ELSE {x} END" if with_nan else x
+    renamed = TRIPS.replace("trips AS (", "all_trips AS (")
+    return f"""{renamed},
+trips AS (SELECT * REPLACE ({nan(3, 'trip_distance / 8')} AS trip_distance, trip_distance * 2 AS fare_amount,
+  CASE WHEN payment_type % 2 = 0 THEN 0.25::DOUBLE ELSE 1.5::DOUBLE END AS tip_amount,
+  {nan(4, 'trip_distance * 4')} AS total_amount) FROM all_trips)"""
+
+
+_REPEATED = TRIPS.replace("trips AS (", "all_trips AS (") + """,
+trips AS (SELECT * REPLACE (CASE WHEN payment_type = 6 THEN NULL ELSE "VendorID" % 3 END AS "VendorID",
+  TIMESTAMP '2023-01-01 00:00:00' AS tpep_pickup_datetime, TIMESTAMP '2023-01-01 00:00:00' AS tpep_dropoff_datetime,
+  2.0::DOUBLE AS trip_distance, "PULocationID" % 5 AS "PULocationID", 0::BIGINT AS "DOLocationID", 10.0::DOUBLE AS fare_amount,
+  1.0::DOUBLE AS tip_amount, 12.0::DOUBLE AS total_amount) FROM all_trips)"""
+# read in millionths, which holds every value whole
+ORACLE["metrics_by_day_mills"] = f"WITH {_mills(True)},{CLEAN},{daily(6, 6, 6)} SELECT * FROM daily"
+ORACLE["metrics_by_zone_plain"] = f"WITH {_mills(False)},{CLEAN},{zones(6, 6, 6)} SELECT * FROM zones"
+ORACLE["quality_report_nan"] = ORACLE["quality_report"].replace(TRIPS, _mills(True))
+ORACLE["quality_report_repeated"] = ORACLE["quality_report"].replace(TRIPS, _REPEATED)
+ORACLE["removed_distinct_repeated"] = ORACLE["removed_distinct"].replace(TRIPS, _REPEATED)
+ORACLE["fact_rollup_by_region"] = f"""WITH {SILVER}
+SELECT codigo_regiao, CAST(sum(qtde_venda) AS BIGINT) AS qtde_venda, CAST(sum(CAST(valor_venda AS DOUBLE)) AS DOUBLE) AS valor_venda
+FROM silver GROUP BY codigo_regiao"""
+ORACLE["fact_hash_key"] = f"WITH {SILVER},{GOLD} SELECT count(*) AS facts, count(*) AS fact_keys FROM gold"
+ORACLE["upsert_repeated_target"] = f"""WITH {_versions()},
+tt AS (SELECT * FROM t UNION ALL SELECT * FROM t)
+SELECT * FROM tt WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = tt.o_orderkey)
+UNION ALL SELECT s.* FROM s JOIN tt USING (o_orderkey)
+UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)"""

@@ -7,6 +7,7 @@ They wire the recipes in ``strata.plans`` to the test tables through the role vi
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from strata.operators import merge as _merge
 from strata.operators import quality
 from strata.operators import schema as _schema
 from strata.operators.marts import rollup_fact
+from strata.plans import jobs as _jobs
 from strata.plans import prices as _prices
 from strata.plans import sales as _sales
 from strata.plans import taxi, views
@@ -69,6 +71,23 @@ def removed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxi.removed_trips_distinct(views.trips(spark, sf_dir))
 
 
+@register
+def removed_distinct_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The set difference over trips of which many are equal."""
+    return taxi.removed_trips_distinct(views.repeated_trips(spark, sf_dir))
+
+
+@register
+def quality_report_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taxi.trip_quality_report(views.repeated_trips(spark, sf_dir))
+
+
+@register
+def quality_report_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class counts where distances and totals may be NaN."""
+    return taxi.trip_quality_report(views.mill_trips(spark, sf_dir, with_nan=True))
+
+
 @register
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxi.trip_quality_report(views.trips(spark, sf_dir))
@@ -91,6 +110,21 @@ def metrics_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxi.metrics_by_zone(_valid(spark, sf_dir), views.TRIP_SCALES)
 
 
+MILL_SCALES = {c: 3 for c in views.TRIP_SCALES}
+
+
+@register
+def metrics_by_day_mills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of three decimals, some of them NaN (and so no valid trips)."""
+    return taxi.metrics_by_day(taxi.valid_trips(views.mill_trips(spark, sf_dir, with_nan=True)), MILL_SCALES)
+
+
+@register
+def metrics_by_zone_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain ``round(sum)`` and ``round(avg)`` of doubles."""
+    return taxi.metrics_by_zone(taxi.valid_trips(views.mill_trips(spark, sf_dir, with_nan=False)), exact=False)
+
+
 @register
 def top_days_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxi.top_days_by_revenue(metrics_by_day(spark, sf_dir))
@@ -157,6 +191,12 @@ def fact_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_fact(_fact_silver_mem(spark, sf_dir), _sales.FACT_GRAIN, ["qtde_venda", "valor_venda"])
 
 
+@register
+def fact_rollup_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A coarse grain: hundreds of rows per group."""
+    return rollup_fact(_fact_silver_mem(spark, sf_dir), ["codigo_regiao"], ["qtde_venda", "valor_venda"])
+
+
 @register
 def fact_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sales.gold_fact(_fact_silver_mem(spark, sf_dir), GOLD_RUN_TS, ntz=True)
@@ -178,6 +218,14 @@ def fact_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.select(*grain, _keys.concat_key(grain, "string").alias("fact_key"))
 
 
+@register
+def fact_hash_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many facts there are, and how many different hash keys they have."""
+    gold = fact_gold(spark, sf_dir)
+    key = _keys.hash_key(["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY])
+    return gold.select(key.alias("fact_key")).agg(F.count("fact_key").alias("facts"), F.count_distinct("fact_key").alias("fact_keys"))
+
+
 @register
 def fact_padded_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = fact_gold(spark, sf_dir)
@@ -231,6 +279,13 @@ def upsert_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge.insert_new(t, s, ["o_orderkey"])
 
 
+@register
+def upsert_repeated_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every target row twice: each copy takes the source's values."""
+    t, s = _orders_versions(spark, sf_dir)
+    return _merge.upsert(t.unionAll(t), s, ["o_orderkey"])
+
+
 @register
 def upsert_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, s = _orders_versions(spark, sf_dir, null_keys=True)
@@ -440,6 +495,46 @@ def delete_then_insert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _maintained(spark, sf_dir, "orders-delete", step)
 
 
+def _lake(spark: SparkSession, role: str) -> tuple[_jobs.Lake, str]:
+    name, base = _new_table(spark, role)
+    return _jobs.Lake(spark, base), name
+
+
+@register
+def taxi_bronze_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze job over landed pages with a pickup range; what its table holds, typed."""
+    landed = scratch_path(spark, "trip-pages")
+    views.raw_trips(spark, sf_dir).write.json(landed)
+    lake, name = _lake(spark, "bronze-trips")
+    _jobs.taxi_bronze_job(lake, landed, name, "1995-01-01T00:00:00", "1996-12-31T23:59:59")
+    return _schema.apply_schema(spark.table(name), TRIP_CONTRACT_NTZ)
+
+
+def _quality_job(spark: SparkSession, trips: DataFrame, role: str) -> str:
+    lake, prefix = _lake(spark, role)
+    trips.write.parquet(lake.path("silver"))
+    lake.register(f"{prefix}_silver", lake.path("silver"), trips.schema)
+    _jobs.taxi_quality_job(lake, f"{prefix}_silver", prefix)
+    return prefix
+
+
+@register
+def quality_split_empty_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality job over trips without NULL tips, so that no trip is unclassified: rows per table."""
+    trips = views.trips(spark, sf_dir).fillna(0.0, ["tip_amount"])
+    prefix = _quality_job(spark, trips, "empty-class")
+    tables = [*quality.CLASSES, "removed_distinct"]
+    counts = [spark.table(f"{prefix}_{t}").agg(F.lit(t).alias("measure"), F.count("*").alias("rows")) for t in tables]
+    return reduce(DataFrame.unionAll, counts)
+
+
+@register
+def quality_job_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The removed table of the quality job, with the input's columns."""
+    prefix = _quality_job(spark, views.trips(spark, sf_dir), "removed-table")
+    return spark.table(f"{prefix}_{quality.REMOVED}")
+
+
 @register
 def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed lines of landed pages, kept as text: here error events cut before their end."""
@@ -478,6 +573,13 @@ def quality_split_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sinks.read_quality_class(spark, path, quality.VALID, taxi.clean_columns(trips))
 
 
+@register
+def quality_split_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invalid class read back from the one-write split."""
+    path, trips = _written_split(spark, sf_dir)
+    return _sinks.read_quality_class(spark, path, quality.INVALID, taxi.clean_columns(trips))
+
+
 @register
 def quality_split_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removed class (all copies, input columns) read back from the one-write split."""

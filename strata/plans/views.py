@@ -50,11 +50,48 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_lineitem(table(spark, sf_dir, "lineitem"))
 
 
+def mill_trips(spark: SparkSession, sf_dir: str, with_nan: bool) -> DataFrame:
+    """Trips whose distance has three decimals and whose other measures are whole quarters, so that
+    any order of summing gives the same; with ``with_nan`` third lines carry no distance (NaN) and
+    fourth lines no total."""
+    t = trips(spark, sf_dir)
+    line, nan = F.col("payment_type"), F.lit(float("nan"))
+    distance, total = F.col("trip_distance") / 8, F.col("trip_distance") * 4
+    return t.withColumns(
+        {
+            "trip_distance": F.when(line == 3, nan).otherwise(distance) if with_nan else distance,
+            "fare_amount": F.col("trip_distance") * 2,
+            "tip_amount": F.when(line % 2 == 0, F.lit(0.25)).otherwise(F.lit(1.5)),
+            "total_amount": F.when(line == 4, nan).otherwise(total) if with_nan else total,
+        }
+    )
+
+
+def repeated_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips told apart by vendor, zone, line and flag only, so that many rows are equal."""
+    now = F.lit("2023-01-01 00:00:00").cast("timestamp_ntz")
+    t = trips(spark, sf_dir)
+    return t.withColumns(
+        {
+            "VendorID": F.when(F.col("payment_type") == 6, F.lit(None)).otherwise(F.col("VendorID") % 3),
+            "tpep_pickup_datetime": now,
+            "tpep_dropoff_datetime": now,
+            "trip_distance": F.lit(2.0),
+            "PULocationID": F.col("PULocationID") % 5,
+            "DOLocationID": F.lit(0).cast("bigint"),
+            "fare_amount": F.lit(10.0),
+            "tip_amount": F.lit(1.0),
+            "total_amount": F.lit(12.0),
+        }
+    )
+
+
 def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Trips as an API delivers them: every value text, ISO times with a ``T``. Some values
     are malformed on purpose so that casts have something to reject: a unit suffix on the
     distance of first lines of returned items (flag ``n``, payment type 1) and a letter
-    prefix on the vendor of seventh lines."""
+    prefix on the vendor of seventh lines. The vendor of second lines is a whole number with a
+    decimal point, which is no reject."""
     t = trips_from_lineitem(lineitem)
     out = []
     for c in t.columns:
@@ -68,6 +105,7 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
         elif c == "VendorID":
             bad = F.col("payment_type") == 7
             s = F.when(bad, F.concat(F.lit("V"), v.cast("string"))).otherwise(v.cast("string"))
+            s = F.when(F.col("payment_type") == 2, F.concat(v.cast("string"), F.lit(".0"))).otherwise(s)
         else:
             s = v.cast("string")
         out.append(s.alias(c))
@@ -108,28 +146,33 @@ def region_bronze_rows(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+def _fitting(value, width: int):
+    """Text of at most ``width`` characters; a longer one fails instead of being cut."""
+    return F.when(F.length(value) > width, F.raise_error(F.concat(F.lit(f"longer than {width}: "), value))).otherwise(value)
+
+
 def price_lines_from_part(part: DataFrame) -> DataFrame:
     """Price-list role: one 136-character record per part.
 
     Code (10, zero-padded), 5 blanks, description (101, blank-padded), update date as
     DDMMYYYY (2020-12-01 plus ``p_size`` days), price as 10 characters of cents (promo parts
-    carry the letter ``L`` in place of the first digit), 2 blanks.
+    carry the letter ``L`` in place of the first digit), 2 blanks. The records of size 7 are cut
+    before the price, as by a broken transfer. Values that do not fit their field fail.
     """
     cents = F.round(F.col("p_retailprice") * 100).cast("bigint").cast("string")
     lead = F.when(F.col("p_type") == "PROMO", F.lit("L")).otherwise(F.lit("0"))
     desc = F.concat_ws(" ", F.upper(F.col("p_name")), F.col("p_brand"), F.col("p_type"))
     day = F.date_add(F.lit("2020-12-01").cast("date"), F.col("p_size"))
-    return part.select(
-        F.concat(
-            F.lpad(F.col("p_partkey").cast("string"), 10, "0"),
-            F.lit(" " * 5),
-            F.rpad(F.substring(desc, 1, 101), 101, " "),
-            F.date_format(day, "ddMMyyyy"),
-            lead,
-            F.lpad(cents, 9, "0"),
-            F.lit(" " * 2),
-        ).alias("value")
+    record = F.concat(
+        F.lpad(_fitting(F.col("p_partkey").cast("string"), 10), 10, "0"),
+        F.lit(" " * 5),
+        F.rpad(_fitting(desc, 101), 101, " "),
+        F.date_format(day, "ddMMyyyy"),
+        lead,
+        F.lpad(_fitting(cents, 9), 9, "0"),
+        F.lit(" " * 2),
     )
+    return part.select(F.when(F.col("p_size") == 7, F.substring(record, 1, 124)).otherwise(record).alias("value"))
 
 
 def event_pages_rows(events: DataFrame) -> DataFrame:
