@@ -31,7 +31,7 @@ from strata.llm.common import cut, use_package
 BITS = 20
 TRAIN_ROWS = 16_384
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.0
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 0.0
 FOLDS = 5
 
 _WORD = re.compile(r"[^\W_]+")
