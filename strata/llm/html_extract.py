@@ -1,27 +1,30 @@
 """Main text of web pages by site template removal.
 
 Every page is parsed into its element tree and every subtree outside ``article`` and ``main`` gets
-a hash of its tags, attributes and text. Spark counts per host on how many pages a subtree
-occurs; those on at least ``MIN_PAGES`` pages and a share ``SHARE`` of the host's pages are the
-site's template and are deleted from its pages. So are the elements whose tag, role, class or id
+a hash of its tags, attributes and text. Spark counts per host on how many different pages a
+subtree occurs; those on at least ``MIN_PAGES`` pages and a share ``SHARE`` of the host's
+different pages, or on at least ``MANY_PAGES``, are the site's template and are deleted from its
+pages. Pages are different if their content keys are: equal pages count once, and near-equal ones
+mostly, so that a group of copies is not taken for the template of its host. So are the elements whose tag, role, class or id
 says that they are no article text (menus, forms, adverts, comments and so on), which is all
 that is known of hosts with few pages. What is left of ``article`` (else ``main``, else the page)
 gives the text: one block per block element, character references decoded, white space inside a
 block one space, blocks joined by an empty line.
 
-The counts are partially aggregated per (host, hash), so a hot host is no hot task; a host has at
-most (subtrees per page / SHARE) template hashes. They are broadcast while they number at most
+The counts are partially aggregated per (host, hash, key), then per (host, hash), so a hot host is
+no hot task; a host has at most (subtrees per page / SHARE) template hashes by its share. They are broadcast while they number at most
 ``MAX_BROADCAST`` in all, else joined by host, which Spark can split on a hot host.
 
 Defined results: NULL and empty html and pages of template only give the empty text; pages without
 a host have no site template; tags that are not closed end where HTML ends them; repeated rows
-are separate rows (and count as pages); an empty table gives no rows; other columns are kept.
+are separate rows (and count once as pages); an empty table gives no rows; other columns are kept.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +37,11 @@ from strata.llm.common import cut, use_package
 
 MIN_PAGES = 3
 SHARE = 0.2
+#: So many different pages make a block template whatever their share, if they are at least DIVERSE of the rows that hold it.
+MANY_PAGES = 100
+DIVERSE = 0.25
+#: Pages of fewer words are different if any word differs, longer ones if the sketch of their word pairs does.
+SKETCH_WORDS = 40
 #: Template hashes (8 bytes each) that are broadcast at most.
 MAX_BROADCAST = 500_000
 
@@ -143,9 +151,26 @@ def _hash(node: Node) -> int:
     return h.intdigest()
 
 
-def subtree_hashes(html: str) -> set[int]:
+def content_key(text: str) -> int:
+    """Equal for equal texts, and mostly for near-equal ones: the least hash of the word pairs (of short texts the hash)."""
+    words = text.split()
+    if len(words) < SKETCH_WORDS:
+        return xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "replace"))
+    h = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.uint64, len(words))
+    pairs = (h[:-1] << np.uint64(32) | h[1:]) * np.uint64(0x9E3779B97F4A7C15)
+    pairs ^= pairs >> np.uint64(32)
+    return int((pairs * np.uint64(0xD6E8FEB86659FD93)).min())
+
+
+def page_hashes(html: str) -> tuple[int, set[int]]:
+    """The content key of a page's text and the hashes of its subtrees that may be template."""
+    root = parse(html)
+    return content_key(_text(root, frozenset())), subtree_hashes(root)
+
+
+def subtree_hashes(root: Node) -> set[int]:
     """Hashes of the subtrees that may be template: none inside, and none that holds, ``article`` or ``main``."""
-    out, todo = set(), [parse(html)]
+    out, todo = set(), [root]
     while todo:
         node = todo.pop()
         if node.tag in ("article", "main"):
@@ -191,7 +216,10 @@ def _scopes(root: Node, template) -> list[Node]:
 
 def main_text(html: str | None, template=frozenset()) -> str:
     """The text of a page without the subtrees whose hashes are in ``template``."""
-    root = parse(html or "")
+    return _text(parse(html or ""), template)
+
+
+def _text(root: Node, template) -> str:
     blocks, words = [], []
 
     def flush() -> None:
@@ -227,18 +255,25 @@ def host_of(url: Column) -> Column:
     return F.when(found != "", found)
 
 
-def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+def site_templates(
+    pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE, many_pages: int = MANY_PAGES
+) -> DataFrame:
     """``(t_host, template)``: per host the sorted hashes of its template's subtrees."""
 
-    @F.pandas_udf("array<long>")
-    def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<key: long, hashes: array<long>>")
+    def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for html in batches:
-            yield pd.Series([np.array(sorted(subtree_hashes(h or "")), np.uint64).astype(np.int64) for h in html])
+            keys, found = zip(*(page_hashes(h or "") for h in html)) if len(html) else ((), ())
+            yield pd.DataFrame({"key": np.array(keys, np.uint64).astype(np.int64), "hashes": [np.array(sorted(f), np.uint64).astype(np.int64) for f in found]})
 
     rows = pages.select(host_of(F.col(url_col)).alias("t_host"), F.col(html_col).alias("html")).filter("t_host is not null")
-    sizes = rows.groupBy("t_host").agg(F.count("*").alias("pages"))
-    counts = rows.select("t_host", F.explode(hashes("html")).alias("hash")).groupBy("t_host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    often = counts.join(sizes, "t_host").filter(F.col("n") >= share * F.col("pages"))
+    # NULL stands for the page itself
+    each = rows.select("t_host", hashes("html").alias("h")).select("t_host", "h.key", F.explode(F.array_append("h.hashes", F.lit(None).cast("long"))).alias("hash"))
+    counts = each.groupBy("t_host", "hash", "key").agg(F.count("*").alias("rows")).groupBy("t_host", "hash").agg(F.count("*").alias("n"), F.sum("rows").alias("rows"))
+    counts = cut(counts.filter((F.col("n") >= min_pages) | F.col("hash").isNull()), "site-counts")
+    sizes = counts.filter("hash is null").select("t_host", F.col("n").alias("pages"))
+    many = (F.col("n") >= many_pages) & (F.col("n") >= DIVERSE * F.col("rows"))
+    often = counts.filter(F.col("hash").isNotNull() & (F.col("n") >= min_pages)).join(sizes, "t_host").filter((F.col("n") >= share * F.col("pages")) | many)
     return often.groupBy("t_host").agg(F.array_sort(F.collect_list("hash")).alias("template"))
 
 

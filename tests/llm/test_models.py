@@ -231,6 +231,25 @@ def test_html(spark):
     assert html_extract.extract_main_text(df.limit(0)).count() == 0
 
 
+def html_texts(spark, rows):
+    df = spark.createDataFrame([(i, f"http://{h}.example/{i}", html) for i, (h, html) in enumerate(rows)], "page_id long, url string, html string")
+    return {x.i: x.text for x in html_extract.extract_main_text(df).select(F.col("page.page_id").alias("i"), "text").collect()}
+
+
+def test_html_copies_are_no_template(spark):
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    page = lambda i, menu="": f"<body>{menu}<div><p>{own(i)}</p><p>same end {i}</p></div></body>"
+    near = lambda i: f"<body><div><p>{own(0)} changed{i}</p><p>{own(900)}</p></div></body>"
+    rows = [("a", page(0))] * 5 + [("a", page(i)) for i in range(1, 10)]  # copies make a third of the host
+    rows += [("b", near(i)) for i in range(6)] + [("b", page(i)) for i in range(1, 13)]  # near copies
+    section = len(rows)
+    rows += [("c", page(1000 + i, "<div>Section menu</div>" if i < 110 else "")) for i in range(1000)]  # 11 % of a large host
+    got = html_texts(spark, rows)
+    assert got[0] == f"{own(0)}\n\nsame end 0"
+    assert got[14] == f"{own(0)} changed0\n\n{own(900)}"
+    assert got[section] == f"{own(1000)}\n\nsame end 1000"
+
+
 def test_html_of_test_pages(spark, sf):
     import html as h
     import re
