@@ -1,11 +1,13 @@
 """Main text of web pages by site template removal.
 
-Every page is parsed into its element tree and every subtree outside ``article`` and ``main`` gets
-a hash of its tags, attributes and text. Spark counts per host on how many different pages a
+Every page is parsed into its element tree and every subtree, also inside ``article`` and ``main``,
+gets a hash of its tags, attributes and text. Spark counts per host on how many different pages a
 subtree occurs; those on at least ``MIN_PAGES`` pages and a share ``SHARE`` of the host's
 different pages, or on at least ``MANY_PAGES``, are the site's template and are deleted from its
 pages. Pages are different if their content keys are: equal pages count once, and near-equal ones
-mostly, so that a group of copies is not taken for the template of its host. So are the elements whose tag, role, class or id
+mostly, so that a group of copies is not taken for the template of its host. Inside an article, headings, list items, table
+cells and inline elements recur with the larger blocks they are part of, not by themselves, and
+where the recurring blocks make more than half of its text, it is a copied article and keeps them. So are the elements whose tag, role, class or id
 says that they are no article text (menus, forms, adverts, comments and so on), which is all
 that is known of hosts with few pages. What is left of ``article`` (else ``main``, else the page)
 gives the text: one block per block element, character references decoded, white space inside a
@@ -69,6 +71,9 @@ MARKED = frozenset(
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
+#: Inside an article these are parts of a list, table or section, and no template by themselves.
+PARTS = frozenset("h1 h2 h3 h4 h5 h6 hgroup li dt dd tr td th thead tbody tfoot caption figcaption summary legend".split())
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -169,15 +174,14 @@ def page_hashes(html: str) -> tuple[int, set[int]]:
 
 
 def subtree_hashes(root: Node) -> set[int]:
-    """Hashes of the subtrees that may be template: none inside, and none that holds, ``article`` or ``main``."""
-    out, todo = set(), [root]
+    """Hashes of the subtrees that may be template: none that holds ``article`` or ``main``, inside these no inline elements and ``PARTS``."""
+    out, todo = set(), [(root, False)]
     while todo:
-        node = todo.pop()
-        if node.tag in ("article", "main"):
-            continue
-        if not node.holds_main and node.tag not in ("#page", "html", "body", "br", "hr", "wbr", "meta", "link"):
+        node, inside = todo.pop()
+        inside = inside or node.tag in ("article", "main")
+        if not node.holds_main and node.tag not in ("#page", "html", "body", "br", "hr", "wbr", "meta", "link") and not (inside and (node.tag in INLINE or node.tag in PARTS)):
             out.add(node.hash)
-        todo += [x for x in node.items if not isinstance(x, str)]
+        todo += [(x, inside) for x in node.items if not isinstance(x, str)]
     return out
 
 
@@ -220,34 +224,47 @@ def main_text(html: str | None, template=frozenset()) -> str:
 
 
 def _text(root: Node, template) -> str:
-    blocks, words = [], []
+    out = []
+    for scope in _scopes(root, template):
+        inside = scope is not root
+        blocks, recurring = _blocks(scope, inside, template)
+        # what recurs inside an article and is its greater part is a copied article, no template
+        if inside and recurring > sum(map(len, blocks)):
+            blocks, _ = _blocks(scope, inside, frozenset())
+        out += blocks
+    return "\n\n".join(out)
+
+
+def _blocks(scope: Node, inside: bool, template) -> tuple[list[str], int]:
+    """The blocks of text of a scope, and the number of letters of what ``template`` deleted."""
+    blocks, words, recurring = [], [], 0
 
     def flush() -> None:
         if text := " ".join("".join(words).split()):
             blocks.append(text)
         words.clear()
 
-    for scope in _scopes(root, template):
-        inside = scope is not root
-        todo: list = [scope]
-        while todo:
-            x = todo.pop()
-            if x is None:
-                flush()
-            elif isinstance(x, str):
-                words.append(html_lib.unescape(x) if "&" in x else x)
-            elif x is not scope and (not inside and x.hash in template or is_marked(x, inside)):
-                if x.tag not in INLINE:
-                    flush()
-            elif x.tag == "br":
-                words.append(" ")
-            elif x.tag in INLINE:
-                todo += reversed(x.items)
-            else:
+    todo: list = [scope]
+    while todo:
+        x = todo.pop()
+        if x is None:
+            flush()
+        elif isinstance(x, str):
+            words.append(html_lib.unescape(x) if "&" in x else x)
+        elif x is not scope and ((marked := is_marked(x, inside)) or x.hash in template and not x.holds_main):
+            if not marked and inside:
+                recurring += sum(map(len, _blocks(x, inside, frozenset())[0]))
+            if x.tag not in INLINE:
                 flush()
-                todo += [None, *reversed(x.items)]
-        flush()
-    return "\n\n".join(blocks)
+        elif x.tag == "br":
+            words.append(" ")
+        elif x.tag in INLINE:
+            todo += reversed(x.items)
+        else:
+            flush()
+            todo += [None, *reversed(x.items)]
+    flush()
+    return blocks, recurring
 
 
 def host_of(url: Column) -> Column:

@@ -250,6 +250,18 @@ def test_html_copies_are_no_template(spark):
     assert got[section] == f"{own(1000)}\n\nsame end 1000"
 
 
+def test_html_template_inside_articles(spark):
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    box = "<div class='box'><p>Read our letter every week.</p><ul><li>One<li>Two</ul></div>"
+    page = lambda i, box=box: f"<body><article><h1>T{i}</h1><h2>Method</h2><p>{own(i)}</p>{box}<p>end {i} <i>very</i> good</p></article></body>"
+    rows = [("a", page(i)) for i in range(10)]
+    rows += [("b", page(0, ""))] * 6 + [("b", page(100, "").replace("w100x0 ", f"{w} ")) for w in "pqrs"]  # copies alone on a host
+    got = html_texts(spark, rows)
+    assert got[3] == f"T3\n\nMethod\n\n{own(3)}\n\nend 3 very good"
+    assert got[10] == f"T0\n\nMethod\n\n{own(0)}\n\nend 0 very good"
+    assert got[16].startswith("T100\n\nMethod\n\np w100x1") and got[16].endswith("end 100 very good")
+
+
 def test_html_of_test_pages(spark, sf):
     import html as h
     import re
