@@ -9,7 +9,10 @@ mostly, so that a group of copies is not taken for the template of its host. Ins
 cells and inline elements recur with the larger blocks they are part of, not by themselves, and
 where the recurring blocks make more than half of its text, it is a copied article and keeps them. So are the elements whose tag, role, class or id
 says that they are no article text (menus, forms, adverts, comments and so on), which is all
-that is known of hosts with few pages. What is left of ``article`` (else ``main``, else the page)
+that is known of hosts with few pages. Inside an article the words of class and id count only for
+boxes of mostly links or with form controls, or as whole classes that have no other sense
+(``SURE``); headings and paragraphs stay. Articles and what holds them are judged by role and whole
+words (comments and related articles are no article), unless nothing of the page would be left. What is left of ``article`` (else ``main``, else the page)
 gives the text: one block per block element, character references decoded, white space inside a
 block one space, blocks joined by an empty line.
 
@@ -69,6 +72,14 @@ MARKED = frozenset(
     " login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted related replies search share sharing"
     " sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Of these, words that as a whole class name a box inside an article, and elements that are boxes.
+SURE = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookies disqus newsletter pager pagination"
+    " promo promoted replies sidebar signup sponsored subscribe".split()
+)
+BOXES = frozenset("article div dl ol section table ul".split())
+#: Text elements, which no word of a class or id drops inside an article.
+PLAIN = frozenset("h1 h2 h3 h4 h5 h6 hgroup p pre blockquote main".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 #: Inside an article these are parts of a list, table or section, and no template by themselves.
@@ -77,6 +88,8 @@ PARTS = frozenset("h1 h2 h3 h4 h5 h6 hgroup li dt dd tr td th thead tbody tfoot
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: Articles beside the article.
+_SECOND = re.compile(r"(?:^|\s)(?:comment|reply|related|promo|promoted|sponsored|ad|advert)[-_]")
 _PARTS = re.compile(r"[^\W_]+")
 _HIDDEN = re.compile(r"\shidden(?=[\s=/>])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
@@ -185,29 +198,70 @@ def subtree_hashes(root: Node) -> set[int]:
     return out
 
 
-def is_marked(node: Node, inside: bool) -> bool:
-    """Whether tag, role, class or id say that an element is no article text."""
+def is_marked(node: Node, inside: bool, strict: bool = True) -> bool:
+    """Whether tag, role, class or id say that an element is no article text.
+
+    ``strict`` judges also articles, ``main`` and what holds them, outside of an article."""
     if node.tag in NO_TEXT or node.tag == "header" and not inside:
         return True
-    if node.holds_main and not inside or node.tag in ("html", "body") or " " not in node.raw:
+    if node.tag in ("html", "body") or " " not in node.raw:
         return False
+    if node.holds_main and not inside:
+        return strict and _is_marked_holder(node)
     if _HIDDEN.search(node.raw):
         return True
     for key, *values in _ATTR.findall(node.raw):
         key, value = key.lower(), "".join(values).lower()
-        marks = MARKED.intersection(_PARTS.findall(value)) if key in ("class", "id") else ()
-        if key == "role" and value in ROLES or any(m != "header" or not inside for m in marks):
+        if key == "role" and value in ROLES:
+            return True
+        if key not in ("class", "id") or not (marks := MARKED.intersection(_PARTS.findall(value))):
+            continue
+        if not inside:
+            return True
+        # inside an article such words also name its sections and anchors
+        if marks == {"header"} or node.tag in PLAIN or key == "id" and node.tag in ("section", "a", "span"):
+            continue
+        if key == "class" and node.tag in BOXES and SURE.intersection(value.split()) or _is_heavy(node):
             return True
     return False
 
 
-def _scopes(root: Node, template) -> list[Node]:
+def _is_marked_holder(node: Node) -> bool:
+    """The same of an article, ``main`` or a holder of these: only by whole words of its class, or id and role."""
+    for key, *values in _ATTR.findall(node.raw):
+        key, value = key.lower(), "".join(values).lower()
+        if key == "role" and value in ROLES or key in ("class", "id") and (MARKED - {"header"}).intersection(value.split()):
+            return True
+        if key in ("class", "id") and node.tag == "article" and _SECOND.search(value):
+            return True
+    return False
+
+
+def _is_heavy(node: Node) -> bool:
+    """Whether an element holds form controls, or at least half of its letters in links."""
+    linked = letters = 0
+    todo = [(node, node.tag == "a")]
+    while todo:
+        x, link = todo.pop()
+        for y in x.items:
+            if isinstance(y, str):
+                n = len("".join(y.split()))
+                letters += n
+                linked += n if link else 0
+            elif y.tag in ("form", "input", "select", "textarea", "button"):
+                return True
+            else:
+                todo.append((y, link or y.tag == "a"))
+    return letters > 0 and 2 * linked >= letters
+
+
+def _scopes(root: Node, template, strict: bool = True) -> list[Node]:
     """The outermost articles that are not dropped; else the ``main`` elements; else the page."""
     for wanted in ("article", "main"):
         found, todo = [], [root]
         while todo:
             node = todo.pop()
-            if node is not root and (node.hash in template and not node.holds_main or is_marked(node, False)):
+            if node is not root and (node.hash in template and not node.holds_main or is_marked(node, False, strict)):
                 continue
             if node.tag == wanted:
                 found.append(node)
@@ -224,8 +278,13 @@ def main_text(html: str | None, template=frozenset()) -> str:
 
 
 def _text(root: Node, template) -> str:
+    # where the words of classes drop all of a page, its articles are taken whatever holds them
+    return _scopes_text(root, template, True) or (_scopes_text(root, template, False) if root.holds_main else "")
+
+
+def _scopes_text(root: Node, template, strict: bool) -> str:
     out = []
-    for scope in _scopes(root, template):
+    for scope in _scopes(root, template, strict):
         inside = scope is not root
         blocks, recurring = _blocks(scope, inside, template)
         # what recurs inside an article and is its greater part is a copied article, no template

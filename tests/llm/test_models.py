@@ -262,6 +262,16 @@ def test_html_template_inside_articles(spark):
     assert got[16].startswith("T100\n\nMethod\n\np w100x1") and got[16].endswith("end 100 very good")
 
 
+def test_html_class_words():
+    text = html_extract.main_text
+    assert text("<article><h2 id='related-work'>Work</h2><section id='search-methods'><h3>Search</h3><p class='notice'>Mind this</section></article>") == "Work\n\nSearch\n\nMind this"
+    assert text("<article><p>own<div class='related-posts'><a href=x>One</a> <a href=y>Two</a></div><div class='x-signup'>Mail <input></div></article>") == "own"
+    assert text("<main><article class=post><p>own</article><article class=comment><p>first!</article><article class='comment-12'><p>second!</article></main>") == "own"
+    assert text("<article><p>own</article><section class=related><article><p>teaser</article></section>") == "own"
+    assert text("<div id=x><p>own</div><article class=comment><p>first!</article>") == "own"
+    assert text("<div class=widget><article><p>own</article></div>") == "own"
+
+
 def test_html_of_test_pages(spark, sf):
     import html as h
     import re
