@@ -85,6 +85,21 @@ def test_licenses(spark, docs):
     assert license_scan.scan_licenses(docs([])).count() == 0
 
 
+def test_licenses_in_runs(spark, docs):
+    wrap = lambda text, n=9: "\n".join(" * " + " ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    prose = "some words before that say nothing of it " * 12
+    texts = license_scan.TEXTS
+    rows = [(i, f"{prose}\nMIT License\n\n{wrap(t)}\n{prose}") for i, t in enumerate(t for ts in texts.values() for t in ts)]
+    want = {i: k for i, k in enumerate(k for k, ts in texts.items() for _ in ts)}
+    mit = texts["MIT"][0]
+    rows += [(100, f"{prose} Released under the MIT License. {prose}"), (101, f"{prose}{mit} {prose} {mit}"), (102, wrap(mit.replace("merge", "x").replace("sell", "y"))), (103, prose * 30)]
+    rows += [(104, f"Released under the ISC License.\n{prose}\n{wrap(mit)}"), (105, "the software the software " * 4000), (None, wrap(mit))]
+    got = {x.doc_id: x for x in license_scan.scan_licenses(docs(rows + [rows[0]])).collect()}
+    assert {i: (got[i].license, got[i].dice, got[i].n_units) for i in want} == {i: (k, 1.0, 1) for i, k in want.items()}
+    assert {i: (got[i].license, got[i].n_units) for i in (100, 101, 102, 103, 105, None)} == {100: ("MIT", 1), 101: ("MIT", 2), 102: ("MIT", 1), 103: (None, 0), 105: (None, 0), None: ("MIT", 1)}
+    assert (got[104].license, got[104].dice, got[104].n_units) == ("ISC", 1.0, 2)
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
