@@ -5,8 +5,8 @@ the whole text. Per-coordinate learning rates and the L1 term of FTRL-proximal l
 that are not zero; these (at most ``2 ** BITS``) are broadcast and scored where the texts are.
 
 Training rows: labelled rows whose ``crc32(id as text) mod 5`` is not 0, of these about
-``TRAIN_ROWS`` at most (a documented bound, chosen by a hash of the id, so the same rows at any
-partitioning; all rows where there are fewer). Their features are made in parallel; the updates,
+``TRAIN_ROWS`` at most (a documented bound, chosen by a hash of id and text, so the same rows at any
+partitioning; all rows where there are fewer). Rows equal in id and text are one training row. Their features are made in parallel; the updates,
 which are sequential by nature, run in one task over that bounded sample.
 
 Defined results: NULL and empty texts score by the bias alone; without usable labels, or with one
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, use_package
+from strata.llm.common import cut, text_id, use_package
 
 BITS = 20
 TRAIN_ROWS = 16_384
@@ -100,16 +100,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)")
     known = known.groupBy("id").agg(F.max("y").alias("y")).filter(~held_out(F.col("id")))
     order = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30))
-    n = known.count()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("tid", text_id(F.col("text")))
+    # different rows, and the bound, after the join: an id may repeat with many texts
+    chosen = cut(known.join(texts.select("id", "tid"), "id").distinct(), "toxicity-rows")
+    n = chosen.count()
     if n > train_rows:
-        known = known.filter(order < int((1 << 30) * train_rows / n))
+        chosen = chosen.filter(F.pmod(F.xxhash64("id", "tid", F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * train_rows / n))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "y": b["y"], "x": [np.unique(features(t)) for t in b["text"]], "o": b["o"]})
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = known.join(texts, "id").select("id", "y", "text", order.alias("o")).mapInPandas(hashed, "id long, y int, x array<int>, o long")
+    found = texts.join(F.broadcast(chosen), ["id", "tid"]).dropDuplicates(["id", "tid"])
+    rows = found.select("id", "y", "text", order.alias("o")).mapInPandas(hashed, "id long, y int, x array<int>, o long")
     rows = cut(rows, "toxicity-train")
 
     def train(sample: pd.DataFrame) -> pd.DataFrame:

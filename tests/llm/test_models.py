@@ -202,6 +202,18 @@ def test_toxicity(spark, docs):
     assert toxicity.score(df.limit(0), toxicity.fit(df.limit(0), known)).count() == 0
 
 
+def test_toxicity_repeated_rows_in_the_sample(spark, docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "cut", lambda df, name, real=toxicity.cut: (seen.append((name, out := real(df, name))), out)[1])
+    rows = [(i, f"good words {i}" if i % 2 else f"bad words {i}") for i in range(40)]
+    rows += [(1, "good words 1")] * 300 + [(2, f"bad text {i}") for i in range(300)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(40)], "doc_id long, toxic int")
+    for bound, most in ((1000, 340), (50, 100)):
+        toxicity.fit(docs(rows), labels, train_rows=bound)
+        sample = next(df for name, df in reversed(seen) if name == "toxicity-train")
+        assert 0 < sample.count() <= most and sample.filter("id = 1").count() <= 1
+
+
 def test_toxicity_bounded_sample(spark, sf):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
