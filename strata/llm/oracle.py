@@ -70,9 +70,67 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM n GROUP BY conv_id
 """
 
+# unsigned CRC-32 of a decimal number's text, byte by byte and bit by bit
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)), lambda c, x:
+  list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda a, i: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+
+_FINITE = "len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+HARD_NEGATIVES = f"""
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS lab,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w
+           FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+s AS (SELECT a.id AS a, b.id AS b, a.lab = b.lab AS same, list_dot_product(a.w, b.w)::BIGINT AS s
+      FROM v a JOIN v b ON a.id <> b.id AND len(a.w) = len(b.w) WHERE a.id % 100 = 0),
+p AS (SELECT a, b AS p, s AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT a AS anchor_id, p AS positive_id, (row_number() OVER (PARTITION BY a, p ORDER BY s DESC, b))::INTEGER AS rank, b AS negative_id,
+       ps AS positive_score, s AS negative_score
+FROM p JOIN s USING (a) WHERE NOT same AND 30 * ps <= 100 * s AND 100 * s <= 90 * ps
+QUALIFY row_number() OVER (PARTITION BY a, p ORDER BY s DESC, b) <= 10
+"""
+
+PREFIX_TRIE = f"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS head, {_CRC.format("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = head WHERE pos < h
+      UNION ALL SELECT c.conv_id, 1, pos, role, text FROM c JOIN t USING (conv_id) WHERE pos >= h),
+q AS (SELECT conv_id, len(text) AS chars, row_number() OVER o AS depth,
+             string_agg(md5(len(role)::VARCHAR || ':' || role || text), '/') OVER o AS path
+      FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY part, pos)),
+p AS (SELECT conv_id, depth, path, coalesce(lag(path) OVER (PARTITION BY conv_id ORDER BY depth), '') AS up, chars FROM q
+      UNION ALL SELECT conv_id, 0, '', NULL, 0 FROM c),
+n AS (SELECT depth, path, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM p GROUP BY ALL),
+k AS (SELECT depth - 1 AS depth, up AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, path)),
+s AS (SELECT p.depth, p.path, count(*) FILTER (WHERE m.n_children = 0) AS n_leaves, sum((m.n_convs - 1) * m.chars) AS saved_tokens
+      FROM m JOIN p ON p.conv_id = m.conv_id AND p.depth <= m.depth GROUP BY ALL),
+e AS (SELECT depth, path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+      FROM p WHERE depth = (SELECT max(depth) FROM p x WHERE x.conv_id = p.conv_id) GROUP BY ALL)
+SELECT m.conv_id, m.depth::BIGINT AS depth, o.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM m JOIN s USING (depth, path) LEFT JOIN e USING (depth, path) LEFT JOIN n o ON o.depth = m.depth - 1 AND o.path = m.up
+"""
+
+EMBEDDING_DEDUP = f"""
+WITH RECURSIVE v AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS w FROM embeddings
+                     WHERE label IS NOT NULL AND {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.w) = len(b.w) AND a.id <> b.id
+      WHERE list_cosine_similarity(a.w, b.w) >= 0.93),
+r(id, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, e.b FROM r JOIN e ON r.c = e.a),
+k AS (SELECT id, min(c) AS component_id FROM r GROUP BY id),
+l AS (SELECT a AS id, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN k ON k.id = vec_id LEFT JOIN l ON l.id = vec_id
+"""
+
 ORACLE = {
     "op2_decontamination": DECONTAMINATION,
     "op5_line_dedup": LINE_DEDUP,
     "op6_license_scan": _license_sql(),
     "op10_chat": CHAT,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_prefix_trie": PREFIX_TRIE,
+    "op13_embedding_dedup": EMBEDDING_DEDUP,
 }

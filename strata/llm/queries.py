@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, bpe, chat, decontam, html_extract, license_scan, line_dedup, sharding, simhash, toxicity
+from strata.llm import ann, bpe, chat, decontam, embed_dedup, hard_negatives, html_extract, license_scan, line_dedup, prefix_trie, sharding, simhash, toxicity
 from strata.llm.common import table
 
 
@@ -100,6 +100,22 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbered = prefix_trie.number_turns(table(spark, sf_dir, "conversations"))
+    length = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    turns, convs = prefix_trie.splice_heads(numbered, F.col("conv_id") - F.col("conv_id") % 100, length, longest=5)
+    return prefix_trie.build(turns, convs)
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -113,5 +129,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nearest,
         op9_bpe,
         op10_chat,
+        op11_hard_negatives,
+        op12_prefix_trie,
+        op13_embedding_dedup,
     )
 }

@@ -1,0 +1,104 @@
+"""Prefix trie against a dictionary of prefixes."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import prefix_trie
+
+COLUMNS = "conv_id long, turn int, role string, text string, pos long, x string, depth int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, "x", 2) for r in rows], COLUMNS)
+
+
+def rebuilt(rows):
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            r, t = role or "", text or ""
+            tie = hashlib.sha256(f"{len(r.encode())}:{r}:{t}".encode()).digest()
+            own[c].append((turn is not None, turn or 0, int.from_bytes(tie[:8], signed=True), int.from_bytes(tie[8:16], signed=True), r, t))
+    own = {c: [x[4:] for x in sorted(ts)] for c, ts in own.items()}
+    out = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        head = c - (c % 100 if c >= 0 else -(-c % 100))
+        out[c] = tuple(own.get(head, [])[:h] + ts[h:])
+    return out
+
+
+def trie_by_hand(convs):
+    members = defaultdict(list)
+    for c, ts in sorted(convs.items()):
+        for d in range(len(ts) + 1):
+            members[ts[:d]].append(c)
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for p in members:
+        if p:
+            children[p[:-1]] += 1
+    for p, ms in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += children[p] == 0
+            saved[p[:d]] += (len(ms) - 1) * len(p[-1][1]) if p else 0
+    out = []
+    for p, ms in members.items():
+        ends = ",".join(str(c) for c in ms if len(convs[c]) == len(p))
+        out.append((ms[0], len(p), members[p[:-1]][0] if p else None, len(ms), children[p], leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def op12(turns, **kw):
+    numbered = prefix_trie.number_turns(turns)
+    length = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return prefix_trie.build(*prefix_trie.splice_heads(numbered, F.col("conv_id") - F.col("conv_id") % 100, length, 5), **kw)
+
+
+def odd_turns(seed, n):
+    r = random.Random(seed)
+    rows = []
+    for c in [*range(n), *range(-5, 0), 10**12 + 100, 10**12 + 101, 10**12 + 7]:
+        for t in range(r.choice([1, 2, 3, 4, 7, 12])):
+            rows.append((c, t, r.choice(["user", "assistant", "system"]), r.choice(["a", "b", "hello", "", "é" * 5])))
+    for c in range(200, 260):  # copies of one long conversation
+        rows += [(c, 100 + t, "user", f"copy {t}") for t in range(30)]
+    rows += [(3, None, None, None), (3, None, "user", "first"), (4, 1, None, "x" * 5000), (None, 1, "user", "lost"), (None, None, None, None)]
+    rows += [(300, 1, "user", "again")] * 20 + [(300, 1, "user", "or"), (300, 1, "a", "user")]
+    rows += [(77_00, t, "user", str(t % 3)) for t in range(90)]  # longer than a block of running digests
+    return rows
+
+
+@pytest.mark.parametrize("shard", [16384, 60, 5])
+def test_trie_equals_dictionary(spark, monkeypatch, shard):
+    monkeypatch.setattr(prefix_trie, "BLOCK", 16)
+    rows = odd_turns(4, 320)
+    got = op12(frame(spark, rows), shard=shard)
+    assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == trie_by_hand(rebuilt(rows))
+
+
+def test_trie_of_nothing_and_turnless(spark):
+    assert op12(frame(spark, [])).count() == 0
+    assert op12(frame(spark, [(None, 1, "user", "x")])).count() == 0
+    # conversation 101 has h = crc32("101") % 6 turns cut away; its head 100 does not exist
+    c = next(c for c in range(101, 200) if zlib.crc32(str(c).encode()) % 6 >= 1)
+    got = [tuple(r) for r in op12(frame(spark, [(c, 1, "user", "x")])).collect()]
+    assert got == [(c, 0, None, 1, 0, 1, 0, hashlib.sha256(str(c).encode()).hexdigest())]
+
+
+def test_slots_are_minimal_and_verified():
+    r = np.random.default_rng(3)
+    d, x, y = r.integers(0, 9, 5000), r.integers(-(2**63), 2**63 - 1, 5000), r.integers(-(2**63), 2**63 - 1, 5000)
+    table = prefix_trie.SlotTable(d, x, y)
+    assert sorted(table.slots) == list(range(5000))
+    assert (table.find(d, x, y) == table.slots).all()
+    assert (table.find(d, x, y + 1) == -1).all() and (table.find(d + 1, x, y) == -1).all()
+    with pytest.raises(ValueError, match="distinct"):
+        prefix_trie.SlotTable(np.array([1, 1]), np.array([5, 5]), np.array([6, 6]))
+    assert len(prefix_trie.SlotTable(d[:0], x[:0], y[:0]).find(d, x, y)) == 5000
