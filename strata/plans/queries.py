@@ -409,7 +409,7 @@ def _read_and_drop(spark: SparkSession, name: str, path: str) -> DataFrame:
     """The table's rows from its files; the catalog entry goes (its files stay, being external)."""
     schema = spark.table(name).schema
     spark.sql(f"DROP TABLE {name}")
-    return spark.read.schema(schema).parquet(path)
+    return _sinks.read_location(spark, path, schema)
 
 
 @register

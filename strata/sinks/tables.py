@@ -3,26 +3,43 @@
 Parquet tables cannot be merged, deleted from or overwritten while being read, so every
 rewrite goes to a fresh version folder, and only then is the table pointed at it
 (``ALTER TABLE ... SET LOCATION`` + ``REFRESH``). A failed job leaves the old version in place.
+Merges are published optimistically (``strata.sinks.versions``): of two writers that
+started from the same rows, the second is run again on the rows of the first, or refused.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import merge
 from strata.operators.quality import CLASSES
+from strata.sinks import versions
+from strata.sinks.versions import Publication, PublishConflict
 from strata.sources.tables import table_exists
 
+class TakenBack(RuntimeError):
+    """A publication of partitions failed and was undone."""
+
+
+#: Times a merge is run again when another writer was faster.
+ATTEMPTS = 5
+
 
 def overwrite_table(
-    df: DataFrame, table: str, path: str | None = None, fmt: str = "parquet"
+    df: DataFrame, table: str, path: str | None = None, fmt: str | None = None
 ) -> None:
-    """Overwrite a managed table, or an external one when ``path`` is given."""
-    writer = df.write.mode("overwrite").format(fmt)
+    """Overwrite a managed table, or an external one when ``path`` is given; without ``fmt`` in
+    the session's default format (``spark.sql.sources.default``)."""
+    writer = df.write.mode("overwrite")
+    if fmt:
+        writer = writer.format(fmt)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
@@ -41,27 +58,127 @@ def _same_schema(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f"`{given[n].name}`").alias(f.name) for n, f in known.items()])
 
 
+def _quoted(names: Sequence[str]) -> str:
+    return ", ".join("`" + n.replace("`", "``") + "`" for n in names)
+
+
+def _write_files(df: DataFrame, location: str, like: Publication) -> None:
+    """The rows as files of a new folder; bucketed and sorted by the table's bucket columns, if it has any."""
+    writer = df.write.mode("errorifexists").format(like.fmt)
+    if not like.buckets:
+        writer.save(location)
+        return
+    # bucketed files can only be written through a catalog entry, which goes again
+    entry = f"strata_write_{uuid.uuid4().hex}"
+    writer.bucketBy(like.buckets, *like.bucket_by).sortBy(*like.bucket_by).option("path", location).saveAsTable(entry)
+    df.sparkSession.sql(f"DROP TABLE {entry}")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
+def _described(spark: SparkSession, table: str, name: str) -> str:
+    return spark.sql(f"DESCRIBE FORMATTED {table}").filter(F.col("col_name") == name).collect()[0]["data_type"]
+
+
+def _state(spark: SparkSession, table: str, base: str) -> Publication | None:
+    """The table's last publication; a table (or a place) that was not made here is taken over as it is."""
+    now = versions.last(spark, base)
+    if not table_exists(spark, table):
+        return now
+    at = table_location(spark, table)
+    if now is not None and _qualified(spark, now.location) == at:
+        return now
+    if now is not None and at.rsplit("/", 1)[-1].startswith("v-") and at.startswith(_qualified(spark, base) + "/"):
+        return now  # a writer that published has not pointed the catalog at its version yet
+    taken = Publication(now.number + 1 if now else 0, at, _described(spark, table, "Provider").lower())
+    try:
+        versions.claim(spark, base, taken)
+        # appends lie in folders of their own
+        spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('recursiveFileLookup' = 'true')")
+    except PublishConflict:
+        return versions.last(spark, base)
+    return taken
+
+
+def _point(spark: SparkSession, table: str, base: str) -> str:
+    """Point the catalog at the last publication, creating the table at first, and return its location."""
+    while True:
+        now = versions.last(spark, base)
+        versions.show_added(spark, now)
+        if not table_exists(spark, table):
+            columns = spark.read.format(now.fmt).load(now.location).schema
+            text = ", ".join(f"{_quoted([f.name])} {f.dataType.simpleString()}" for f in columns)
+            by = _quoted(now.bucket_by)
+            bucketed = f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {now.buckets} BUCKETS" if now.buckets else ""
+            try:
+                spark.sql(f"CREATE TABLE {table} ({text}) USING {now.fmt} OPTIONS (recursiveFileLookup 'true') {bucketed} LOCATION '{now.location}'")
+            except AnalysisException as e:
+                if e.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS":
+                    raise
+                continue
+        elif table_location(spark, table) != _qualified(spark, now.location):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{now.location}'")
+        spark.catalog.refreshTable(table)
+        if versions.last(spark, base).number == now.number:
+            return now.location
+
+
+def _rows(spark: SparkSession, table: str, base: str) -> DataFrame:
+    """The rows of the last publication, through the catalog (which knows the buckets)."""
+    _point(spark, table, base)
+    return spark.table(table)
+
+
 def write_version(
-    spark: SparkSession, df: DataFrame, table: str, base_path: str, fmt: str = "parquet"
+    spark: SparkSession,
+    df: DataFrame,
+    table: str,
+    base_path: str,
+    fmt: str | None = None,
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
 ) -> str:
     """Write ``df`` to a new version folder below ``base_path`` and point ``table`` at it.
 
-    Creates the external table on first use; later the schema must stay the same. Returns the
-    new location.
+    Creates the external table on first use (in ``fmt``, else the session's default format, and
+    bucketed if asked for); later schema, format and buckets stay the same. Replaces whatever was
+    published before; of two such writers the last one stays. Returns the new location.
     """
-    location = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
-    exists = table_exists(spark, table)
-    if exists:
+    base = base_path.rstrip("/")
+    if table_exists(spark, table):
         df = _same_schema(spark, df, table)
-    df.write.mode("errorifexists").format(fmt).save(location)
-    if exists:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{location}'")
+    state = _state(spark, table, base)
+    known = state if state is not None and table_exists(spark, table) else None
+    like = known or Publication(0, "", fmt or spark.conf.get("spark.sql.sources.default"), None, tuple(bucket_by), buckets)
+    location = f"{base}/v-{uuid.uuid4().hex}"
+    _write_files(df, location, like)
+    while True:
+        number = state.number + 1 if state is not None else 0
+        try:
+            versions.claim(spark, base, replace(like, number=number, location=location, added=None))
+            break
+        except PublishConflict:
+            state = versions.last(spark, base)
+    _point(spark, table, base)
     return location
 
 
+def _merged(spark: SparkSession, table: str, base: str, write: Callable[[Publication], Publication], attempts: int) -> str:
+    """Publish what ``write`` makes of the last publication; again from the start if another writer was faster."""
+    for left in reversed(range(attempts)):
+        state = _state(spark, table, base)
+        try:
+            versions.claim(spark, base, replace(write(state), number=state.number + 1))
+            return _point(spark, table, base)
+        except PublishConflict:
+            if not left:
+                raise
+    raise ValueError("attempts must be positive")
+
+
 def stage(spark: SparkSession, df: DataFrame, base_path: str) -> DataFrame:
     """Write ``df`` once into a staging folder next to the table's versions and read it back.
 
@@ -72,6 +189,19 @@ def stage(spark: SparkSession, df: DataFrame, base_path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _create(spark: SparkSession, source: DataFrame, table: str, base: str, fmt: str | None, bucket_by: Sequence[str], buckets: int) -> str | None:
+    """Make the table of the source rows; None if another writer has made it meanwhile."""
+    before = versions.last(spark, base)  # of a dropped table, if any
+    like = Publication(before.number + 1 if before else 0, f"{base}/v-{uuid.uuid4().hex}", fmt or spark.conf.get("spark.sql.sources.default"), None, tuple(bucket_by), buckets)
+    _write_files(source, like.location, like)
+    try:
+        versions.claim(spark, base, like)
+    except PublishConflict:
+        _point(spark, table, base)
+        return None
+    return _point(spark, table, base)
+
+
 def upsert_table(
     spark: SparkSession,
     source: DataFrame,
@@ -79,34 +209,71 @@ def upsert_table(
     keys: Sequence[str],
     base_path: str,
     check: bool = True,
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
+    heavy_share: float | None = None,
+    attempts: int = ATTEMPTS,
+    fmt: str | None = None,
 ) -> str:
-    """Create on first run, otherwise update-all / insert-all on ``keys``."""
+    """Create on first run, otherwise update-all / insert-all on ``keys``.
+
+    A table made with ``bucket_by`` the keys keeps its rows bucketed and sorted by them, so a merge with a
+    large source shuffles the source only. ``heavy_share`` (say 1/64) finds the keys that
+    many of the target's rows have with a frequent-items sketch and leaves those rows where they are.
+    """
+    base, keys = base_path.rstrip("/"), list(keys)
     if not table_exists(spark, table):
-        return write_version(spark, source, table, base_path)
-    source = stage(spark, source, base_path)
-    result = merge.upsert(spark.table(table), source, keys, check=check)
-    return write_version(spark, result, table, base_path)
+        location = _create(spark, source, table, base, fmt, bucket_by, buckets)
+        if location is not None:
+            return location
+    source = stage(spark, _same_schema(spark, source, table), base)
+
+    def write(state: Publication) -> Publication:
+        target = _rows(spark, table, base)
+        heavy = merge.frequent_keys(target, keys, heavy_share) if heavy_share else None
+        if heavy is not None:
+            heavy = stage(spark, heavy, base)  # one sketch pass, however many branches read it
+        aligned = state.buckets > 0 and list(state.bucket_by) == keys
+        result = merge.upsert(target, source, keys, check=check, heavy=heavy, aligned=aligned)
+        location = f"{base}/v-{uuid.uuid4().hex}"
+        _write_files(result, location, state)
+        return replace(state, location=location, added=None)
+
+    return _merged(spark, table, base, write, attempts)
 
 
 def insert_new_table(
-    spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str], base_path: str
+    spark: SparkSession, source: DataFrame, table: str, keys: Sequence[str], base_path: str, attempts: int = ATTEMPTS, fmt: str | None = None
 ) -> str:
     """Create on first run, otherwise insert the source rows whose key is new.
 
-    Only the new rows are written, appended to the files of the current version; the write's
-    commit adds them all or, if the job fails before it, none. Returns the table's location."""
+    Only the new rows are written, to a hidden folder inside the current version; one directory
+    rename after the claim shows them all, so a job that fails before it adds none, whatever
+    committer the session uses. Returns the table's location."""
+    base = base_path.rstrip("/")
     if not table_exists(spark, table):
-        return write_version(spark, source, table, base_path)
-    source = stage(spark, _same_schema(spark, source, table), base_path)
-    merge.new_rows(spark.table(table), source, keys).write.insertInto(table)
-    spark.catalog.refreshTable(table)
-    return table_location(spark, table)
+        location = _create(spark, source, table, base, fmt, (), 0)
+        if location is not None:
+            return location
+    source = stage(spark, _same_schema(spark, source, table), base)
+
+    def write(state: Publication) -> Publication:
+        new = merge.new_rows(_rows(spark, table, base), source, keys)
+        added = f"_adding-{uuid.uuid4().hex}"
+        _write_files(new, f"{state.location}/{added}", state)
+        return replace(state, added=added)
+
+    return _merged(spark, table, base, write, attempts)
+
+
+def read_location(spark: SparkSession, location: str, schema, fmt: str = "parquet") -> DataFrame:
+    """A version's rows by its folder, appended ones included."""
+    return spark.read.schema(schema).format(fmt).option("recursiveFileLookup", True).load(location)
 
 
 def table_location(spark: SparkSession, table: str) -> str:
     """The folder a table points at."""
-    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+    return _described(spark, table, "Location")
 
 
 def refresh_table(spark: SparkSession, source: DataFrame, table: str, base_path: str) -> str:
@@ -121,6 +288,32 @@ def delete_all_table(spark: SparkSession, table: str, base_path: str) -> str:
     return write_version(spark, merge.delete_all(spark.table(table)), table, base_path)
 
 
+def expire_versions(spark: SparkSession, table: str, base_path: str, keep_hours: float = 168) -> list[str]:
+    """Delete version and staging folders that nothing points at and that are older than
+    ``keep_hours`` (longer than any reader or writer runs). Returns their names."""
+    base = base_path.rstrip("/")
+    used = {table_location(spark, table)}
+    if (now := versions.last(spark, base)) is not None:
+        used.add(_qualified(spark, now.location))
+    if spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = '# Partition Information'").count():
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            spec = [part.split("=", 1) for part in row[0].split("/")]
+            clause = ", ".join(f"{_quoted([k])} = {_sql_text(_unescaped(spark, v))}" for k, v in spec)
+            at = spark.sql(f"DESCRIBE FORMATTED {table} PARTITION ({clause})").filter("col_name = 'Location'").collect()
+            used.add(at[0]["data_type"].rsplit("/", len(spec))[0])
+    gone = []
+    for name, changed in versions.folders(spark, base):
+        old = changed < (time.time() - keep_hours * 3600) * 1000
+        if old and name.startswith(("v-", "_staging-")) and _qualified(spark, f"{base}/{name}") not in used:
+            versions.delete(spark, f"{base}/{name}")
+            gone.append(name)
+    return sorted(gone)
+
+
+def _unescaped(spark: SparkSession, text: str) -> str:
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(text)
+
+
 def write_quality_split(
     classified: DataFrame, path: str, class_col: str = "quality_class"
 ) -> dict[str, int]:
@@ -176,11 +369,6 @@ def _folder(spark: SparkSession, spec: dict[str, str], parts: Sequence[str]) ->
     return "/".join(f"{escape(p)}={escape(spec[p])}" for p in parts)
 
 
-def _has_folder(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def upsert_partitioned_table(
     spark: SparkSession,
     source: DataFrame,
@@ -200,22 +388,30 @@ def upsert_partitioned_table(
     than ``max_touched`` of them, are refused before anything is written. They filter the
     target as constants, so other partitions are not listed or read. Each run writes the
     touched partitions once (``partitionBy``) into a new version folder, checks that every one
-    is there, and repoints those partitions in the catalog; if a repoint fails, the ones made
-    before are taken back and the old version stays. Returns the touched values as text.
+    is there, claims the publication (``PublishConflict`` if another writer was faster), and repoints
+    those partitions in the catalog; if a repoint fails, the ones made before are taken back and
+    the old version stays. After a crash between these steps ``finish_publication`` completes them,
+    and other writers are refused until then. Returns the touched values as text.
     """
     parts = list(partition_by)
     if not set(parts) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
+    base = base_path.rstrip("/")
     exists = table_exists(spark, table)
+    before = versions.last(spark, base)
+    if before is not None and not versions.is_finished(spark, base, before):
+        raise PublishConflict(f"publication {before.number} of {table} is under way or was broken off; see finish_publication")
     if exists:
         source = _same_schema(spark, source, table)
     src = stage(spark, source, base_path)
     touched = _touched(src, parts, max_touched)
-    version = f"{base_path.rstrip('/')}/v-{uuid.uuid4().hex}"
+    version = f"{base}/v-{uuid.uuid4().hex}"
+    published = Publication(before.number + 1 if before else 0, version)
     if not exists:
         _by_partition(src, parts).write.mode("errorifexists").partitionBy(*parts).parquet(version)
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
         names = ", ".join(f"`{p}`" for p in parts)
+        versions.claim(spark, base, published)
         spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY ({names}) LOCATION '{version}'")
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         return touched
@@ -231,12 +427,30 @@ def upsert_partitioned_table(
     merged = merge.upsert(current, src, keys, check=check)
     _by_partition(merged, parts).write.mode("errorifexists").partitionBy(*parts).parquet(version)
     folders = [_folder(spark, spec, parts) for spec in touched]
-    if missing := [f for f in folders if not _has_folder(spark, f"{version}/{f}")]:
+    if missing := [f for f in folders if not versions.exists(spark, f"{version}/{f}")]:
         raise RuntimeError(f"partitions missing from {version}: {missing[:5]}")
-    _repoint(spark, table, parts, touched, folders, version)
+    # two writers from one publication: the second stops here and has changed nothing
+    versions.claim(spark, base, replace(published, partitions=tuple(folders)))
+    try:
+        _repoint(spark, table, parts, touched, folders, version)
+    except TakenBack:
+        versions.mark_finished(spark, base, published.number)  # nothing of it is left to finish
+        raise
+    versions.mark_finished(spark, base, published.number)
     return touched
 
 
+def finish_publication(spark: SparkSession, table: str, partition_by: Sequence[str], base_path: str) -> None:
+    """Repoint the partitions of a publication whose writer broke off between its claim and its last repoint."""
+    base = base_path.rstrip("/")
+    now = versions.last(spark, base)
+    if now is None or versions.is_finished(spark, base, now):
+        return
+    touched = [{k: _unescaped(spark, v) for k, v in (x.split("=", 1) for x in folder.split("/"))} for folder in now.partitions]
+    _repoint(spark, table, list(partition_by), touched, list(now.partitions), now.location)
+    versions.mark_finished(spark, base, now.number)
+
+
 def _repoint(spark: SparkSession, table: str, parts: Sequence[str], touched: list[dict[str, str]], folders: list[str], version: str) -> None:
     """Point the touched partitions at ``version``; on an error take back those already moved."""
     clauses = ["PARTITION (" + ", ".join(f"`{p}` = {_sql_text(spec[p])}" for p in parts) + ")" for spec in touched]
@@ -255,9 +469,9 @@ def _repoint(spark: SparkSession, table: str, parts: Sequence[str], touched: lis
         added = " ".join(f"{c} LOCATION {_sql_text(f'{version}/{f}')}" for c, f in zip(clauses, folders) if c not in where)
         if added:
             spark.sql(f"ALTER TABLE {table} ADD {added}")
-    except Exception:
+    except Exception as e:
         for clause in done:
             spark.sql(f"ALTER TABLE {table} {clause} SET LOCATION {_sql_text(where[clause])}")
-        raise
+        raise TakenBack(f"partitions of {table} keep their old version") from e
     finally:
         spark.catalog.refreshTable(table)
