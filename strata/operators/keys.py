@@ -36,9 +36,10 @@ def padded_key(cols: Sequence[str | Column], widths: Sequence[int]) -> Column:
 
 
 def hash_key(cols: Sequence[str | Column]) -> Column:
-    """64-bit hash key (xxhash64); compact, collisions only by chance."""
+    """64-bit hash key (xxhash64); compact, collisions only by chance. A NULL part counts as such:
+    the hash itself skips NULLs, so each part goes in with a mark of whether it is there."""
     parts = [F.col(c) if isinstance(c, str) else c for c in cols]
-    return F.xxhash64(*parts)
+    return F.xxhash64(*[x for p in parts for x in (p.isNull(), p)])
 
 
 def key_collisions(

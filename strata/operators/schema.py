@@ -24,13 +24,18 @@ def _resolve(df: DataFrame, name: str) -> str:
         raise ValueError(f"column {name!r} not in {df.columns}") from None
 
 
+#: A whole number, blanks around it and zeros behind a point allowed.
+_WHOLE = r"^[\x00-\x20\x7F]*([+-]?[0-9]+)(?:\.0*)?[\x00-\x20\x7F]*\z"
+
+
 def try_typed(raw: Column, source: T.DataType, target: T.DataType) -> Column:
-    """``try_cast``; for text read as an integral type also ``1.0``, which ``try_cast`` refuses."""
-    out = raw.try_cast(target)
+    """``try_cast``; for text read as an integral type also ``1.0``, which ``try_cast`` refuses.
+
+    Text that is no whole number never reaches the cast: a failing ``try_cast`` to an integral type
+    costs about 9 microseconds (it makes an error and drops it), the pattern a tenth of one."""
     if isinstance(source, T.StringType) and isinstance(target, T.IntegralType):
-        # evaluated only where the plain cast gives NULL
-        out = F.coalesce(out, F.regexp_extract(raw, r"^\s*([+-]?[0-9]+)\.0*\s*$", 1).try_cast(target))
-    return out
+        return F.nullif(F.regexp_extract(raw, _WHOLE, 1), F.lit("")).try_cast(target)
+    return raw.try_cast(target)
 
 
 def _typed(df: DataFrame, field: T.StructField, missing: str) -> Column:
@@ -88,6 +93,19 @@ def reject_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
     return counts.selectExpr(f"stack({len(schema.fields)}, {stack}) as (column, rejects)")
 
 
+def cast_with_errors(df: DataFrame, schema: T.StructType, errors_col: str = "cast_errors", missing: str = "error") -> DataFrame:
+    """``apply_schema`` plus the names of the columns whose present value does not cast, as an array
+    (empty for a good row), each value cast once: one projection casts, the next compares."""
+    given = {c.lower(): c for c in df.columns}
+    absent = [f.name.lower() not in given for f in schema.fields]
+    raw = [F.lit(True) if gone else F.col(given[f.name.lower()]).isNull() for f, gone in zip(schema.fields, absent)]
+    cast = df.select(
+        *[_typed(df, f, missing).alias(f"t{i}") for i, f in enumerate(schema.fields)], *[r.alias(f"n{i}") for i, r in enumerate(raw)]
+    )
+    failed = [F.when(F.col(f"t{i}").isNull() & ~F.col(f"n{i}"), F.lit(f.name)) for i, f in enumerate(schema.fields)]
+    return cast.select(*[F.col(f"t{i}").alias(f.name) for i, f in enumerate(schema.fields)], F.array_compact(F.array(*failed)).alias(errors_col))
+
+
 def cast_columns(df: DataFrame, types: dict[str, T.DataType | str]) -> DataFrame:
     """In-place ``try_cast`` of named columns (order kept)."""
     resolved = {_resolve(df, c): t for c, t in types.items()}  # keep the table's own names

@@ -21,7 +21,7 @@ from strata.plans import prices, sales, taxi
 from strata.sinks import tables as sinks
 from strata.sources import files, series
 from strata.sources.tables import ensure_layers, scan_table, table_exists
-from strata.streaming.landing import ingest_pages
+from strata.streaming import landing as landed
 
 
 @dataclass(frozen=True)
@@ -133,25 +133,42 @@ TRIP_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in taxi.TR
 
 
 def taxi_bronze_job(
-    lake: Lake, landing: str, table: str, lo: str | None = None, hi: str | None = None, multiline: bool = False
+    lake: Lake,
+    landing: str,
+    table: str,
+    lo: str | None = None,
+    hi: str | None = None,
+    multiline: bool = False,
+    unique_on: Sequence[str] | None = None,
 ) -> DataFrame:
     """New landed pages -> bronze (text), exactly once; optional pickup-time range.
 
-    All landed rows are kept in the table's data folder. Without a range the table is that folder;
-    with one it is a version that holds the rows of the range only, as a later run may ask for
-    another range."""
+    All landed rows stay in ``<table>_landed``, partitioned by pickup day, with the broken lines
+    beside them (``taxi_broken_lines``). ``table`` is a view of the rows, or of those of the range, which reads
+    only the range's days; another run may ask for another range, and nothing is copied.
+    ``unique_on`` lands a row that pages repeat once (see ``ingest_pages``)."""
     if (lo is None) != (hi is None):
         raise ValueError("a range needs both ends")
-    s = lake.spark
-    folder = lake.path(table) + "/data"
-    landed = ingest_pages(s, landing, TRIP_TEXT, folder, lake.path(table) + "/_checkpoint", multiline)
-    if lo is None:
-        lake.register(table, folder, TRIP_TEXT)
-    else:
-        sinks.write_version(s, files.filter_time_range(landed, taxi.PICKUP, lo, hi), table, lake.path(table))
+    s, folder = lake.spark, lake.path(table) + "/landed"
+    landed.ingest_pages(s, landing, TRIP_TEXT, folder, lake.path(table) + "/_landing", multiline, unique_on=unique_on, date_of=taxi.PICKUP)
+    store = f"{table}_landed"
+    lake.register(store, folder, landed.landed_schema(TRIP_TEXT))
+    s.catalog.refreshTable(store)
+    rule = f"{landed.LANDED_AS} = '{landed.ROW}'"
+    if lo is not None:
+        first, last = landed.days_between(lo, hi)
+        rule += f" AND {landed.LANDED_DATE} BETWEEN DATE '{first}' AND DATE '{last}'"
+        rule += f" AND try_cast({taxi.PICKUP} AS timestamp_ntz) BETWEEN TIMESTAMP_NTZ '{lo}' AND TIMESTAMP_NTZ '{hi}'"
+    columns = ", ".join(f"`{n}`" for n in TRIP_TEXT.names)
+    s.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM {store} WHERE {rule}")
     return s.table(table)
 
 
+def taxi_broken_lines(lake: Lake, table: str) -> DataFrame:
+    """The landed lines of ``taxi_bronze_job`` that are no trip at all."""
+    return landed.broken_lines(lake.spark, lake.path(table) + "/landed", TRIP_TEXT)
+
+
 def taxi_silver_job(lake: Lake, bronze: DataFrame | str, table: str, contract: T.StructType = taxi.TRIP_CONTRACT) -> DataFrame:
     """Text -> the typed contract (``try_cast``), overwrite."""
     src = scan_table(lake.spark, bronze) if isinstance(bronze, str) else bronze

@@ -17,9 +17,11 @@ from dataclasses import replace
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators import merge
 from strata.operators.quality import CLASSES
+from strata.operators.schema import cast_with_errors
 from strata.sinks import versions
 from strata.sinks.versions import Publication, PublishConflict
 from strata.sources.tables import table_exists
@@ -333,6 +335,40 @@ def read_quality_class(
     return spark.read.parquet(path).filter(F.col(class_col) == cls).select(*columns)
 
 
+#: Whether a row of a typed split is good, the columns that did not cast, and their texts.
+SPLIT_OK, SPLIT_ERRORS, SPLIT_RAW = "cast_ok", "cast_errors", "cast_raw"
+
+
+def write_typed_split(df: DataFrame, schema: T.StructType, path: str) -> dict[str, int]:
+    """Cast ``df`` to ``schema`` once and write good and rejected rows in one job, partitioned by which
+    they are. Rejected rows keep the texts that did not cast. Returns the counts observed in that write:
+    ``rows``, ``rejected``, and per column of the schema its failures."""
+    given = {c.lower(): c for c in df.columns}
+    checked = [f.name for f in schema.fields if df.schema[given[f.name.lower()]].dataType != f.dataType]
+    # the input rides along below a name no schema has, and is kept where a column failed
+    carried = df.withColumn("__strata_raw", F.struct(*[F.col(f"`{given[c.lower()]}`").cast("string").alias(c) for c in checked] or [F.lit(None).cast("string").alias("none")]))
+    wide = T.StructType([*schema.fields, T.StructField("__strata_raw", carried.schema["__strata_raw"].dataType)])
+    typed = cast_with_errors(carried, wide, SPLIT_ERRORS)
+    ok = F.size(SPLIT_ERRORS) == 0
+    split = typed.withColumns({SPLIT_OK: ok, SPLIT_RAW: F.when(~ok, F.col("__strata_raw"))}).drop("__strata_raw")
+    obs = Observation("typed_split")
+    counts = [F.count_if(F.array_contains(SPLIT_ERRORS, f.name)).alias(f"f{i}") for i, f in enumerate(schema.fields)]
+    observed = split.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(SPLIT_OK)).alias("rejected"), *counts)
+    observed.write.mode("errorifexists").partitionBy(SPLIT_OK).parquet(path)
+    got = obs.get
+    return {"rows": got["rows"], "rejected": got["rejected"]} | {f.name: got[f"f{i}"] for i, f in enumerate(schema.fields)}
+
+
+def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The good rows of a typed split (partition-pruned)."""
+    return spark.read.parquet(path).filter(F.col(SPLIT_OK)).select(*[F.col(f"`{n}`") for n in schema.names])
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The rejected rows of a typed split: typed columns, failing names, and the texts as given."""
+    return spark.read.parquet(path).filter(~F.col(SPLIT_OK)).drop(SPLIT_OK)
+
+
 #: Types whose text in a partition folder and in the catalog gives back exactly the value.
 PARTITION_TYPES = {"string", "boolean", "date", "tinyint", "smallint", "int", "bigint"}
 #: Partitions one upsert may touch; each is one catalog entry on the driver.
