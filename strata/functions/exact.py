@@ -8,7 +8,8 @@ arithmetic: ``sign(U) * ((2|U| + k n) div (2 k n))`` with ``k = 10**(scale - dig
 (``n = 1`` for the sum). No intermediate value is ever rounded, and the sum is a plain long
 sum, so the aggregate stays on the fast fixed-width path. NaN and an overflow (beyond 9.2e18
 units in one group) are errors, with ANSI mode on or off. A value with more places than ``scale``
-would be rounded when read, so the scale has no default. Results are
+would be rounded when read, so the scale has no default; ``bin_columns`` and ``sum_of_bins`` add
+doubles of any scale without regard to order. Results are
 doubles, like the plain form; ``float_sum`` / ``float_avg`` give ``round(agg(double), d)``.
 
 The expressions are SQL text over a column name so that the integer ``div`` operator is
@@ -28,9 +29,9 @@ def _q(name: str) -> str:
 def units(name: str, scale: int) -> str:
     """SQL: the value as a whole number of ``10**-scale`` units (bigint)."""
     x = f"{_q(name)} * {10 ** scale}D"
-    # the same with ANSI mode on and off: what bigint cannot hold, NaN included, is an error
+    # the same with ANSI mode on and off: what bigint cannot hold is an error, and so is NaN, which compares as the largest
     return (
-        f"case when isnan({x}) or abs({x}) >= 9.2e18D then raise_error(concat('no exact sum of {name}: ', {_q(name)}))"
+        f"case when abs({x}) >= 9.2e18D then raise_error(concat('no exact sum of {name}: ', {_q(name)}))"
         f" else cast(rint({x}) as bigint) end"
     )
 
@@ -64,6 +65,60 @@ def exact_avg(name: str, scale: int, digits: int = 2) -> Column:
     return F.expr(f"case when {n} = 0 then cast(null as double) else {_rounded(total, k_n, digits)} end")
 
 
+def unit_column(name: str, scale: int) -> Column:
+    """A column as a whole number of ``10**-scale`` units, to be projected once and summed after."""
+    return F.expr(units(name, scale))
+
+
+def sum_of_units(total: str, count: str, scale: int, digits: int) -> Column:
+    """The rounded sum from a column of summed units and one of counts."""
+    checked = _checked(total, count)
+    return F.expr(_rounded(checked, str(10 ** (scale - digits)), digits))
+
+
+def avg_of_units(total: str, count: str, scale: int, digits: int) -> Column:
+    """The rounded mean from a column of summed units and one of counts."""
+    n = _q(count)
+    return F.expr(f"case when {n} = 0 then cast(null as double) else {_rounded(_checked(total, count), f'{10 ** (scale - digits)} * {n}', digits)} end")
+
+
+def _checked(total: str, count: str) -> str:
+    return f"(case when {_q(total)} is null and {_q(count)} > 0 then raise_error('sum of {total} overflows') else {_q(total)} end)"
+
+
+#: Exponents (in steps of 32 bits) of the bins of a sum without a declared scale: values are held to
+#: multiples of 2**-160 and below 2**95.
+BINS = range(-5, 3)
+
+
+def bin_columns(name: str) -> dict[str, Column]:
+    """What an order-free sum of doubles of any scale adds up: per bin a whole number of
+    ``2**(32 k)``, and apart from them the sum of what is not finite.
+
+    ``rint(x / 2**(32 k)) - 2**32 rint(x / 2**(32 (k + 1)))`` is exact in doubles (powers of two scale
+    without rounding, and the difference is a whole number below ``2**32``), so the bins of a value
+    hold it whole, and long sums of them do not depend on any order."""
+    x = F.col(_q(name))
+    finite = ~F.isnan(x) & (F.abs(x) < float("inf"))
+    wide = F.abs(x) >= 2.0**95
+    at = lambda k: F.rint(x * 2.0 ** (-32 * k))
+    out = {}
+    for k in BINS:
+        whole = at(k) - at(k + 1) * 2.0**32 if k + 1 in BINS else at(k)
+        out[f"b{k - BINS.start}_{name}"] = F.when(finite & wide, F.raise_error(F.concat(F.lit(f"no exact sum of {name}: "), x.cast("string")))).when(finite, whole.cast("long"))
+    out[f"w_{name}"] = F.when(~finite, x)
+    return out
+
+
+def sum_of_bins(name: str) -> Column:
+    """The sum from the added-up bin columns: from the highest bin down, always in the same order."""
+    total = None
+    for k in reversed(BINS):
+        part = F.col(_q(f"b{k - BINS.start}_{name}")).cast("double") * 2.0 ** (32 * k)
+        total = part if total is None else total + part
+    return F.coalesce(F.col(_q(f"w_{name}")), total)
+
+
 def float_sum(name: str, digits: int = 2) -> Column:
     """The plain form: ``round(sum(col), digits)`` on doubles."""
     return F.round(F.sum(F.col(name)), digits)

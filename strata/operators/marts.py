@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.exact import exact_avg, exact_sum, float_avg, float_sum
+from strata.functions.exact import avg_of_units, bin_columns, float_avg, float_sum, sum_of_bins, sum_of_units, unit_column
 
 
 @dataclass(frozen=True)
@@ -16,8 +16,8 @@ class Metric:
     """One output column of a mart: ``fn`` in {count, sum, avg} over ``column``.
 
     ``scale`` is the number of decimal places the column is recorded in (exact mode reads
-    values at that precision; without a scale the plain ``round(agg(double))`` is used, which
-    rounds no row); ``digits`` is the rounding of the result.
+    values at that precision; without a scale the sum is one of doubles that does not depend on
+    the order); ``digits`` is the rounding of the result.
     """
 
     name: str
@@ -26,25 +26,86 @@ class Metric:
     scale: int | None = None
     digits: int = 2
 
+    def __post_init__(self) -> None:
+        if self.fn not in ("count", "sum", "avg"):
+            raise ValueError(f"unknown metric function {self.fn!r}")
+        if self.fn != "count" and self.scale is not None and self.scale < self.digits:
+            raise ValueError("scale must be >= digits")
 
-def metric_column(m: Metric, exact: bool = True) -> Column:
-    exact = exact and m.scale is not None
+
+def _plain(m: Metric) -> Column:
     if m.fn == "count":
         return F.count(F.col(m.column)).alias(m.name)
-    if m.fn == "sum":
-        e = exact_sum(m.column, m.scale, m.digits) if exact else float_sum(m.column, m.digits)
-        return e.alias(m.name)
-    if m.fn == "avg":
-        e = exact_avg(m.column, m.scale, m.digits) if exact else float_avg(m.column, m.digits)
-        return e.alias(m.name)
-    raise ValueError(f"unknown metric function {m.fn!r}")
+    return (float_sum if m.fn == "sum" else float_avg)(m.column, m.digits).alias(m.name)
+
+
+def _parts(spec: Sequence[Metric]) -> dict[str, Column]:
+    """What is added up for ``spec``, by name, in terms of the input columns."""
+    out = {f"n_{m.column}": F.col(m.column) for m in spec}
+    for m in spec:
+        if m.fn != "count":
+            out |= bin_columns(m.column) if m.scale is None else {f"u{m.scale}_{m.column}": unit_column(m.column, m.scale)}
+    return out
+
+
+def mart_state(df: DataFrame, keys: Sequence[str | Column], spec: Sequence[Metric]) -> DataFrame:
+    """The mergeable state of a mart: per key the counts and unit sums its metrics need.
+
+    The units are projected once, however many metrics read them, and summed as plain longs, so
+    states of different loads can be added up (``merge_states``) to what one load of all rows gives."""
+    parts = _parts(spec)
+    named = df.select(*keys, *[c.alias(f"__{n}") for n, c in parts.items()])
+    of = named.columns[: len(keys)]
+    # try_sum: an overflow is NULL here and an error when the mart is made, with ANSI mode on or off
+    kinds = {"n": F.count, "w": F.sum}
+    return named.groupBy(*of).agg(*[kinds.get(n[0], F.try_sum)(f"__{n}").alias(n) for n in parts])
+
+
+def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """States of several loads, one row per key and load, added up per key."""
+    added = [c for c in states.columns if c not in keys]
+    return states.groupBy(*keys).agg(*[(F.sum if c.startswith("w_") else F.try_sum)(c).alias(c) for c in added])
+
+
+def mart_of_state(state: DataFrame, keys: Sequence[str], spec: Sequence[Metric]) -> DataFrame:
+    """The mart of a state: one projection."""
+    out = []
+    for m in spec:
+        n = f"n_{m.column}"
+        if m.fn == "count":
+            value = F.col(n)
+        elif m.scale is not None:
+            value = (sum_of_units if m.fn == "sum" else avg_of_units)(f"u{m.scale}_{m.column}", n, m.scale, m.digits)
+        else:
+            total = sum_of_bins(m.column)
+            value = F.when(F.col(n) > 0, F.round(total if m.fn == "sum" else total / F.col(n), m.digits))
+        out.append(value.alias(m.name))
+    return state.select(*keys, *out)
 
 
 def metrics_by(
     df: DataFrame, keys: Sequence[str | Column], spec: Sequence[Metric], exact: bool = True
 ) -> DataFrame:
-    """``groupBy(keys).agg(spec)``: partial aggregation before the shuffle, NULL keys kept."""
-    return df.groupBy(*keys).agg(*[metric_column(m, exact) for m in spec])
+    """``groupBy(keys).agg(spec)``: partial aggregation before the shuffle, NULL keys kept.
+
+    ``exact=False`` is the plain ``round(agg(double))``."""
+    if not exact:
+        return df.groupBy(*keys).agg(*[_plain(m) for m in spec])
+    state = mart_state(df, keys, spec)
+    return mart_of_state(state, state.columns[: len(keys)], spec)
+
+
+def distinct_state(df: DataFrame, keys: Sequence[str | Column], columns: Sequence[str], name: str = "distinct_rows", precision: int = 14) -> DataFrame:
+    """Per key a HyperLogLog sketch of the distinct rows of ``columns`` (NULLs are values), a few KB
+    whatever the rows: kept per load, a history is counted without reading it again."""
+    row = F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(row, F.lit(precision)).alias(name))
+
+
+def merge_distinct(states: DataFrame, keys: Sequence[str], name: str = "distinct_rows") -> DataFrame:
+    """Sketches of several loads united per key, with the estimated count as ``<name>_estimate``."""
+    united = states.groupBy(*keys).agg(F.hll_union_agg(name).alias(name))
+    return united.withColumn(f"{name}_estimate", F.hll_sketch_estimate(name))
 
 
 def rollup_fact(

@@ -263,7 +263,7 @@ ORACLE["upsert_null_key"] = f"WITH {_versions(True)} {_UPSERT}"
 ORACLE["upsert_insert_only"] = f"""WITH {_versions()}
 SELECT * FROM t
 UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)"""
-ORACLE["refresh_full"] = f"WITH {_versions()} SELECT * FROM s"
+ORACLE["refresh_full"] = "SELECT * REPLACE (o_totalprice + CAST(1.0 AS DOUBLE) AS o_totalprice) FROM orders"
 ORACLE["delete_all"] = "SELECT * FROM orders WHERE false"
 
 # ---- file sources and sinks ----------------------------------------------------------------
@@ -358,8 +358,8 @@ UNION ALL SELECT 'removed', count(*) FROM removed
 UNION ALL SELECT 'removed_distinct', count(*) FROM (SELECT DISTINCT * FROM removed)"""
 ORACLE["fact_gold_partitioned_upsert"] = f"""
 WITH silver AS (
-  SELECT CAST(l_partkey AS BIGINT) AS codigo_produto, CAST(l_suppkey AS BIGINT) AS codigo_regiao,
-         CAST(l_shipdate AS DATE) AS data_venda, CAST(l_quantity AS BIGINT) AS qtde_venda,
+  SELECT CAST(l_partkey AS BIGINT) AS codigo_produto, CAST(l_suppkey AS BIGINT) AS codigo_regiao, CAST(l_shipdate AS DATE) AS data_venda,
+         CAST(CASE WHEN l_shipdate >= TIMESTAMP '1998-07-01' THEN l_quantity * 2 ELSE l_quantity END AS BIGINT) AS qtde_venda,
          CAST(l_extendedprice AS FLOAT) AS valor_venda
   FROM lineitem)
 SELECT codigo_produto, codigo_regiao, CAST(sum(qtde_venda) AS BIGINT) AS qtde_venda,
@@ -368,7 +368,7 @@ SELECT codigo_produto, codigo_regiao, CAST(sum(qtde_venda) AS BIGINT) AS qtde_ve
        CAST(strftime(data_venda, '%Y%m%d') AS BIGINT) AS id_data_venda,
        TRY_CAST(CAST(codigo_produto AS VARCHAR) || CAST(codigo_regiao AS VARCHAR)
                 || strftime(data_venda, '%Y%m%d') AS BIGINT) AS id_fa_venda,
-       CAST(strftime(data_venda, '%Y%m') AS BIGINT) AS mes_venda
+       coalesce(CAST(strftime(data_venda, '%Y%m') AS BIGINT), 0) AS mes_venda, coalesce(data_venda >= DATE '1998-01-01', false) AS recente
 FROM silver GROUP BY codigo_produto, codigo_regiao, data_venda"""
 
 for _name in ("overwrite_managed_table", "refresh_table", "delete_then_insert_table"):
@@ -417,3 +417,46 @@ tt AS (SELECT * FROM t UNION ALL SELECT * FROM t)
 SELECT * FROM tt WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = tt.o_orderkey)
 UNION ALL SELECT s.* FROM s JOIN tt USING (o_orderkey)
 UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = s.o_orderkey)"""
+
+# ---- landing, jobs run more than once, merges of several writers ---------------------------------
+
+ORACLE["union_page_frames"] = EVENTS_TYPED
+ORACLE["landing_broken_lines"] = ORACLE["json_rejects"]
+ORACLE["landing_unique_rows"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+ORACLE["landing_time_range"] = EVENTS_TYPED + " WHERE ts BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-21 23:59:59'"
+ORACLE["taxi_broken_lines"] = """SELECT '{"DOLocationID":"' || l_orderkey || '","Ven' AS corrupt_line FROM lineitem WHERE l_linenumber = 7"""
+ORACLE["dim_product_silver_job"] = f"""
+SELECT CAST(p_partkey AS BIGINT) AS codigo_produto, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS descricao_produto,
+       p_brand AS sigla_produto, CASE WHEN p_partkey % 2 = 0 THEN {GOLD_RUN_TS} ELSE {RUN_TS} END AS data_atualizacao FROM part"""
+ORACLE["taxi_gold_loads_by_day"] = ORACLE["metrics_by_day"]
+ORACLE["taxi_gold_loads_by_zone"] = ORACLE["metrics_by_zone"]
+_REPORT = "SELECT '{0}' AS report, CAST({1} AS VARCHAR) AS \"of\", total_corridas, faturamento_total FROM ({2})"
+ORACLE["taxi_gold_reports"] = " UNION ALL ".join(
+    _REPORT.format(name, key, ORACLE[name])
+    for name, key in (("top_days_by_revenue", "dia"), ("top_zones_by_trips", '"PULocationID"'), ("top_zones_by_distance_tip", '"PULocationID"'))
+)
+ORACLE["upsert_two_writers"] = ORACLE["upsert_update_insert"]
+ORACLE["upsert_bucketed_table"] = ORACLE["upsert_update_insert"]
+ORACLE["upsert_heavy_key"] = f"""WITH {_versions()},
+hot AS (SELECT 0::BIGINT AS o_orderkey, min(o_custkey) AS o_custkey, 'Z' AS o_orderstatus, 0.0::DOUBLE AS o_totalprice,
+               min(o_orderdate) AS o_orderdate, 'HOT' AS o_orderpriority FROM s),
+s2 AS (SELECT * FROM s WHERE o_orderkey % 3 <> 0)
+SELECT * FROM t WHERE o_orderkey % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM s2 WHERE s2.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM s2
+UNION ALL SELECT hot.* FROM hot, t WHERE t.o_orderkey % 3 = 0"""
+ORACLE["overwrite_default_format"] = "SELECT * FROM orders"
+ORACLE["hash_key_null_parts"] = """
+SELECT count(*) AS keys, count(*) AS combinations FROM (
+  SELECT DISTINCT CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE o_custkey END AS a, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END AS b,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END AS c FROM orders)"""
+ORACLE["typed_split_good"] = ORACLE["apply_schema"] + f" WHERE NOT ({_BAD_VENDOR}) AND NOT ({_BAD_DIST})"
+ORACLE["typed_split_rejects"] = f"""WITH {TRIPS}
+SELECT "DOLocationID", payment_type,
+       CASE WHEN {_BAD_VENDOR} THEN 'V' || CAST("VendorID" AS VARCHAR) WHEN payment_type = 2 THEN CAST("VendorID" AS VARCHAR) || '.0'
+            ELSE CAST("VendorID" AS VARCHAR) END AS vendor_text,
+       CASE WHEN {_BAD_DIST} THEN CAST(trip_distance AS VARCHAR) || ' mi' ELSE CAST(trip_distance AS VARCHAR) END AS distance_text,
+       concat_ws(',', CASE WHEN {_BAD_VENDOR} THEN 'VendorID' END, CASE WHEN {_BAD_DIST} THEN 'trip_distance' END) AS rejected_columns
+FROM trips WHERE {_BAD_VENDOR} OR ({_BAD_DIST})"""
+ORACLE["metrics_by_zone_order_free"] = ORACLE["metrics_by_zone_plain"]
+ORACLE["distinct_estimates"] = """
+SELECT event_type, count(DISTINCT user_id) AS users_exact, true AS within_2_percent FROM events GROUP BY event_type"""

@@ -7,6 +7,7 @@ They wire the recipes in ``strata.plans`` to the test tables through the role vi
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from strata.operators import keys as _keys
 from strata.operators import merge as _merge
 from strata.operators import quality
 from strata.operators import schema as _schema
+from strata.operators import marts as _marts
 from strata.operators.marts import rollup_fact
 from strata.plans import jobs as _jobs
 from strata.plans import prices as _prices
@@ -294,8 +296,9 @@ def upsert_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def refresh_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, s = _orders_versions(spark, sf_dir)
-    return _merge.refresh(t, s)
+    """Yesterday's table replaced by the whole orders with new totals."""
+    t, _ = _orders_versions(spark, sf_dir)
+    return _merge.refresh(t, views.table(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)))
 
 
 @register
@@ -389,17 +392,66 @@ def union_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "event-pages-split")
     rows.filter(~F.col("event_type").eqNullSafe("error")).write.json(base + "/a")
     rows.filter(F.col("event_type") == "error").drop("props").write.json(base + "/b")
-    pages = [spark.read.json(base + "/a"), spark.read.json(base + "/b")]
-    return _schema.apply_schema(_files.union_pages(pages), views.EVENT_CONTRACT)
+    return _schema.apply_schema(_files.scan_pages(spark, [base + "/a", base + "/b"]), views.EVENT_CONTRACT)
 
 
 @register
-def landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def union_page_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The union by name of two data frames, the second without one column."""
+    rows = views.event_pages_rows(views.table(spark, sf_dir, "events"))
+    error = F.col("event_type").eqNullSafe("error")
+    return _schema.apply_schema(_files.union_pages([rows.filter(~error), rows.filter(error).drop("props")]), views.EVENT_CONTRACT)
+
+
+def _landing_with_broken_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The events as landed pages, and a page whose lines (of error events) were cut before their end."""
     folder = views.land_event_pages(spark, sf_dir, scratch_path(spark, "event-landing"))
+    _cut_lines(views.table(spark, sf_dir, "events").filter("event_type = 'error'")).write.mode("append").text(folder)
+    return folder
+
+
+def _cut_lines(events: DataFrame) -> DataFrame:
+    return events.select(F.concat(F.lit('{"event_id":"'), F.col("event_id").cast("string"), F.lit('"')))
+
+
+@register
+def landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of landed pages, some of whose lines are broken."""
+    folder = _landing_with_broken_lines(spark, sf_dir)
     bronze = _landing.ingest_pages(spark, folder, views.EVENT_TEXT, scratch_path(spark, "event-bronze"))
     return _schema.apply_schema(bronze, views.EVENT_CONTRACT)
 
 
+@register
+def landing_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broken lines of the same landing, kept beside the rows."""
+    bronze = scratch_path(spark, "event-bronze")
+    _landing.ingest_pages(spark, _landing_with_broken_lines(spark, sf_dir), views.EVENT_TEXT, bronze)
+    return _landing.broken_lines(spark, bronze, views.EVENT_TEXT)
+
+
+@register
+def landing_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that overlap, landed in two runs: each event once."""
+    rows = views.event_pages_rows(views.table(spark, sf_dir, "events"))
+    landing, bronze, ckpt = (scratch_path(spark, n) for n in ("event-overlap", "event-unique", "event-unique-checkpoint"))
+    third = F.pmod(F.col("event_id").cast("bigint"), F.lit(3))
+    for part in (third <= 1, third >= 1):
+        rows.filter(part).write.mode("append").json(landing)
+        got = _landing.ingest_pages(spark, landing, views.EVENT_TEXT, bronze, ckpt, unique_on=["event_id"], date_of="ts")
+    return _schema.apply_schema(got, views.EVENT_CONTRACT)
+
+
+@register
+def landing_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed events of a time range, read from the partitions of its days."""
+    bronze = scratch_path(spark, "event-days")
+    folder = views.land_event_pages(spark, sf_dir, scratch_path(spark, "event-landing"))
+    _landing.ingest_pages(spark, folder, views.EVENT_TEXT, bronze, date_of="ts")
+    rows = _landing.rows_between(spark, bronze, views.EVENT_TEXT, "ts", "2024-01-08T00:00:00", "2024-01-21T23:59:59")
+    return _schema.apply_schema(rows, views.EVENT_CONTRACT)
+
+
 def _new_table(spark: SparkSession, role: str) -> tuple[str, str]:
     base = scratch_path(spark, role)
     return "strata_" + base.rsplit("/", 1)[-1].replace("-", "_"), base
@@ -440,7 +492,9 @@ def scan_table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     _sinks.overwrite_table(views.table(spark, sf_dir, "customer"), f"{gold}.{name}", base)
     if not _tables.table_exists(spark, f"{gold}.{name}"):
         raise RuntimeError("the table was not made")
-    return _tables.scan_table(spark, f"{gold}.{name}", ["C_CUSTKEY", "c_name"]).toDF("c_custkey", "c_name")
+    got = _tables.scan_table(spark, f"{gold}.{name}", ["C_CUSTKEY", "c_name"]).toDF("c_custkey", "c_name")
+    spark.sql(f"DROP TABLE {gold}.{name}")
+    return got
 
 
 @register
@@ -454,7 +508,9 @@ def register_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, base = _new_table(spark, "region-csv")
     rows = views.region_bronze_rows(views.table(spark, sf_dir, "supplier"), views.table(spark, sf_dir, "nation"))
     rows.write.option("header", True).option("sep", ";").csv(base)
-    return _files.register_csv(spark, spark.catalog.currentDatabase(), name, base)
+    got = _files.register_csv(spark, spark.catalog.currentDatabase(), name, base)
+    spark.sql(f"DROP TABLE {name}")  # the data frame has its files; the entry is not needed any more
+    return got
 
 
 def _maintained(spark: SparkSession, sf_dir: str, role: str, step) -> DataFrame:
@@ -500,14 +556,38 @@ def _lake(spark: SparkSession, role: str) -> tuple[_jobs.Lake, str]:
     return _jobs.Lake(spark, base), name
 
 
-@register
-def taxi_bronze_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bronze job over landed pages with a pickup range; what its table holds, typed."""
+def _taxi_bronze(spark: SparkSession, sf_dir: str) -> tuple[_jobs.Lake, str]:
     landed = scratch_path(spark, "trip-pages")
-    views.raw_trips(spark, sf_dir).write.json(landed)
+    raw = views.raw_trips(spark, sf_dir)
+    raw.write.json(landed)
+    # a page of lines cut in the middle: trips of the seventh line
+    cut = raw.filter("payment_type = '7'").select(F.concat(F.lit('{"DOLocationID":"'), F.col("DOLocationID"), F.lit('","Ven')))
+    cut.write.mode("append").text(landed)
     lake, name = _lake(spark, "bronze-trips")
     _jobs.taxi_bronze_job(lake, landed, name, "1995-01-01T00:00:00", "1996-12-31T23:59:59")
-    return _schema.apply_schema(spark.table(name), TRIP_CONTRACT_NTZ)
+    return lake, name
+
+
+def _drop_bronze(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP VIEW {name}")
+    spark.sql(f"DROP TABLE {name}_landed")
+
+
+@register
+def taxi_bronze_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze job over landed pages with a pickup range; what its table holds, typed."""
+    _, name = _taxi_bronze(spark, sf_dir)
+    got = _schema.apply_schema(spark.table(name), TRIP_CONTRACT_NTZ)
+    _drop_bronze(spark, name)
+    return got
+
+
+@register
+def taxi_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broken lines of the same job."""
+    lake, name = _taxi_bronze(spark, sf_dir)
+    _drop_bronze(spark, name)
+    return _jobs.taxi_broken_lines(lake, name)
 
 
 def _quality_job(spark: SparkSession, trips: DataFrame, role: str) -> str:
@@ -553,10 +633,81 @@ def lower_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def price_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The price-list job end to end in its default (as-read) layout, keyed insert-only
-    into an empty table: the refresh leaves exactly the parsed rows."""
-    parsed = fixed_width_as_read(spark, sf_dir)
-    return _merge.insert_new(_merge.delete_all(parsed), parsed, [_prices.KEY])
+    """The price-list job, run with half the list and then with the whole: its table holds the last."""
+    whole, half = scratch_path(spark, "price-list"), scratch_path(spark, "price-list-half")
+    lines = views.price_lines_from_part(views.table(spark, sf_dir, "part"))
+    lines.write.text(whole)
+    lines.filter(F.crc32("value") % 2 == 0).write.text(half)
+    lake, name = _lake(spark, "price-table")
+    _jobs.price_job(lake, half, name, _prices.AS_READ, GOLD_RUN_TS)
+    got = _jobs.price_job(lake, whole, name, _prices.AS_READ, RUN_TS)
+    return _taken(spark, got, name)
+
+
+def _taken(spark: SparkSession, table: DataFrame, name: str, **stamps: str) -> DataFrame:
+    """A job's table by its files, its catalog entry dropped, load stamps zone-free."""
+    stamps = [f.name for f in table.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    got = _read_and_drop(spark, name, _sinks.table_location(spark, name))
+    return got.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps}) if stamps else got
+
+
+@register
+def dim_product_silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver product job run twice: the second extract holds the even products, renamed."""
+    lake, name = _lake(spark, "silver-product")
+    bronze = _product_bronze(spark, sf_dir)
+    even = bronze.filter(F.col("CODIGO_PRODUTO").cast("bigint") % 2 == 0).withColumn("DESCRICAO_PRODUTO", F.upper("DESCRICAO_PRODUTO"))
+    for rows, ts in ((bronze, RUN_TS), (even, GOLD_RUN_TS)):
+        rows.createOrReplaceTempView(f"{name}_bronze")
+        got = _jobs.dimension_silver_job(lake, f"{name}_bronze", name, _sales.PRODUCT_COLUMNS, _sales.PRODUCT_KEY, ts)
+    spark.catalog.dropTempView(f"{name}_bronze")
+    return _taken(spark, got, name)
+
+
+def _gold_loads(spark: SparkSession, sf_dir: str, role: str, key: str) -> DataFrame:
+    """The marts kept by three loads (trips before 1995, later ones, and these once more)."""
+    lake, name = _lake(spark, role)
+    valid = _valid(spark, sf_dir)
+    early = F.col(taxi.PICKUP) < F.lit("1995-01-01").cast("timestamp_ntz")
+    daily, zones = f"{name}_daily", f"{name}_zones"
+    for rows, load in ((valid.filter(early), "early"), (valid.filter(~early), "late"), (valid.filter(~early), "late")):
+        _jobs.taxi_gold_increment_job(lake, rows, load, daily, zones, views.TRIP_SCALES)
+    for mart in (daily, zones):
+        spark.sql(f"DROP TABLE {mart}_state")
+    taken = {taxi.DAY: daily, taxi.ZONE: zones}
+    got = {k: _taken(spark, spark.table(mart), mart) for k, mart in taken.items()}
+    return got[key]
+
+
+@register
+def taxi_gold_loads_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_loads(spark, sf_dir, "gold-loads-day", taxi.DAY)
+
+
+@register
+def taxi_gold_loads_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_loads(spark, sf_dir, "gold-loads-zone", taxi.ZONE)
+
+
+@register
+def taxi_gold_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold job over a stored table of valid trips, then its reports, told apart by name."""
+    lake, name = _lake(spark, "gold-reports")
+    _valid(spark, sf_dir).write.parquet(lake.path("valid"))
+    spark.read.parquet(lake.path("valid")).createOrReplaceTempView(f"{name}_valid")
+    _jobs.taxi_gold_job(lake, f"{name}_valid", f"{name}_daily", f"{name}_zones", views.TRIP_SCALES)
+    reports = _jobs.taxi_reports(lake, f"{name}_daily", f"{name}_zones")
+    keys = {"top_days_by_revenue": taxi.DAY}
+    got = [
+        df.select(F.lit(n).alias("report"), F.col(keys.get(n, taxi.ZONE)).cast("string").alias("of"), "total_corridas", "faturamento_total")
+        for n, df in reports.items()
+    ]
+    out = _files.union_pages(got)
+    out.cache().count()  # before the tables go: the reports read them
+    for t in ("daily", "zones"):
+        spark.sql(f"DROP TABLE {name}_{t}")
+    spark.catalog.dropTempView(f"{name}_valid")
+    return out
 
 
 def _written_split(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
@@ -589,21 +740,134 @@ def quality_split_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fact_gold_partitioned_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold fact kept in a month-partitioned table: created from the sales shipped before
-    1999, then upserted with the sales shipped from July 1998 on. Only the touched months are
-    rewritten; the table read back holds every group once, with the stamp of its last load."""
+    """Gold fact kept in a table partitioned by month (0: undated) and whether it is recent: created
+    from the sales shipped before 1999, then upserted with those shipped from July 1998 on, their
+    quantities corrected. Only the touched partitions are rewritten; the table read back holds
+    every group once, with the values and the stamp of its last load."""
     li = views.table(spark, sf_dir, "lineitem")
     day = F.to_date(F.col("l_shipdate"))
 
     def gold(rows: DataFrame, run_ts: str) -> DataFrame:
         g = _sales.gold_fact(views.sales_silver_from_lineitem(rows, RUN_TS), run_ts, ntz=True)
-        return g.withColumn("mes_venda", F.expr(f"`{_sales.FACT_DATE_KEY}` div 100"))  # yyyyMM
+        month = F.expr(f"coalesce(`{_sales.FACT_DATE_KEY}` div 100, 0L)")  # yyyyMM
+        return g.withColumns({"mes_venda": month, "recente": F.coalesce(F.col(_sales.FACT_DATE_KEY) >= 19980101, F.lit(False))})
 
-    first = gold(li.filter(day < F.lit("1999-01-01").cast("date")), RUN_TS)
-    second = gold(li.filter(day >= F.lit("1998-07-01").cast("date")), GOLD_RUN_TS)
+    first = gold(li.filter(F.coalesce(day < F.lit("1999-01-01").cast("date"), F.lit(True))), RUN_TS)
+    corrected = li.withColumn("l_quantity", F.col("l_quantity") * 2)
+    second = gold(corrected.filter(day >= F.lit("1998-07-01").cast("date")), GOLD_RUN_TS)
     base = scratch_path(spark, "fact-partitioned")
     name = "strata_fact_" + base.rsplit("-", 1)[-1]
-    keys = ["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY, "mes_venda"]
-    _sinks.upsert_partitioned_table(spark, first, name, keys, ["mes_venda"], base)
-    _sinks.upsert_partitioned_table(spark, second, name, keys, ["mes_venda"], base)
+    parts = ["recente", "mes_venda"]
+    keys = ["codigo_produto", "codigo_regiao", _sales.FACT_DATE_KEY, *parts]
+    _sinks.upsert_partitioned_table(spark, first, name, keys, parts, base)
+    _sinks.upsert_partitioned_table(spark, second, name, keys, parts, base)
     return spark.table(name)
+
+
+# ---- merges of several writers, bucketed and skewed targets ------------------------------------
+
+
+@register
+def upsert_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yesterday's orders, merged at the same time with the corrected orders of 1997 and with the
+    new ones: whichever is published second has seen the first."""
+    target, source = _orders_versions(spark, sf_dir)
+    name, base = _new_table(spark, "orders-two-writers")
+    _sinks.write_version(spark, target, name, base)
+    new = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(_sinks.upsert_table, spark, source.filter(x), name, ["o_orderkey"], base) for x in (new, ~new)]
+        for run in runs:
+            run.result()
+    return _read_and_drop(spark, name, _sinks.table_location(spark, name))
+
+
+@register
+def upsert_bucketed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert of a table bucketed by its key, twice."""
+    target, source = _orders_versions(spark, sf_dir)
+    name, base = _new_table(spark, "orders-bucketed")
+    for rows in (target, source.filter("o_orderpriority = '1-URGENT'"), source):
+        path = _sinks.upsert_table(spark, rows, name, ["o_orderkey"], base, bucket_by=["o_orderkey"], buckets=8)
+    return _read_and_drop(spark, name, path)
+
+
+@register
+def upsert_heavy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target of which a third has one key: its rows are updated where they lie."""
+    target, source = _orders_versions(spark, sf_dir)
+    one_key = F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_orderkey")).cast("bigint")
+    hot = source.agg(
+        F.lit(0).cast("bigint").alias("o_orderkey"), F.min("o_custkey").alias("o_custkey"), F.lit("Z").alias("o_orderstatus"),
+        F.lit(0.0).alias("o_totalprice"), F.min("o_orderdate").alias("o_orderdate"), F.lit("HOT").alias("o_orderpriority"),
+    )
+    source = source.filter("o_orderkey % 3 <> 0").unionByName(hot)
+    name, base = _new_table(spark, "orders-heavy")
+    _sinks.write_version(spark, target.withColumn("o_orderkey", one_key), name, base)
+    path = _sinks.upsert_table(spark, source, name, ["o_orderkey"], base, heavy_share=1 / 64)
+    return _read_and_drop(spark, name, path)
+
+
+@register
+def overwrite_default_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table overwritten in the session's default format, here ORC."""
+    name, base = _new_table(spark, "orders-orc")
+    key, orders = "spark.sql.sources.default", views.table(spark, sf_dir, "orders")
+    before = spark.conf.get(key)
+    spark.conf.set(key, "orc")
+    try:
+        for rows in (orders.limit(0), orders):
+            _sinks.overwrite_table(rows, name, base)
+    finally:
+        spark.conf.set(key, before)
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).orc(base)
+
+
+@register
+def hash_key_null_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash keys of parts of which any may be NULL: as many keys as there are combinations."""
+    part = lambda c, m: F.when(F.col("o_orderkey") % m == 0, F.lit(None)).otherwise(F.col(c))
+    rows = views.table(spark, sf_dir, "orders").select(part("o_custkey", 2).alias("a"), part("o_custkey", 3).alias("b"), part("o_custkey", 5).alias("c"))
+    keys = rows.select("a", "b", "c", _keys.hash_key(["a", "b", "c"]).alias("k"))
+    return keys.agg(F.count_distinct("k").alias("keys"), F.count_distinct(F.struct("a", "b", "c")).alias("combinations"))
+
+
+def _typed_split(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+    path = scratch_path(spark, "typed-trips")
+    return path, _sinks.write_typed_split(views.raw_trips(spark, sf_dir), TRIP_CONTRACT_NTZ, path)
+
+
+@register
+def typed_split_good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good rows of the one-write split into typed and rejected trips."""
+    return _sinks.read_typed(spark, _typed_split(spark, sf_dir)[0], TRIP_CONTRACT_NTZ)
+
+
+@register
+def typed_split_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected trips of the same split, with the texts that did not cast."""
+    raw = F.col(_sinks.SPLIT_RAW)
+    return _sinks.read_rejects(spark, _typed_split(spark, sf_dir)[0]).select(
+        "DOLocationID", "payment_type", raw["VendorID"].alias("vendor_text"), raw["trip_distance"].alias("distance_text"),
+        F.concat_ws(",", _sinks.SPLIT_ERRORS).alias("rejected_columns"),
+    )
+
+
+@register
+def metrics_by_zone_order_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone mart of trips without declared scales: sums of doubles that do not depend on the order."""
+    return taxi.metrics_by_zone(taxi.valid_trips(views.mill_trips(spark, sf_dir, with_nan=False)))
+
+
+@register
+def distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users per event type, from sketches of two loads united, beside the exact count."""
+    events = views.table(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    loads = [_marts.distinct_state(events.filter(x), ["event_type"], ["user_id"], "users") for x in (early, ~early)]
+    united = _marts.merge_distinct(loads[0].unionByName(loads[1]), ["event_type"], "users")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users_exact"))
+    close = F.abs(F.col("users_estimate") - F.col("users_exact")) <= 0.02 * F.col("users_exact") + 1
+    return united.join(exact, "event_type").select("event_type", "users_exact", close.alias("within_2_percent"))

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from strata.functions.dates import date_label
 from strata.operators import quality
-from strata.operators.marts import Metric, metrics_by, top_k
+from strata.operators.marts import Metric, mart_of_state, mart_state, merge_states, metrics_by, top_k
 
 # --- fixed values: the trip contract (column names and types, in order) -----------------
 TRIP_CONTRACT = T.StructType(
@@ -192,6 +192,18 @@ def metrics_by_zone(valid: DataFrame, scales: dict[str, int] | None = None, exac
     return metrics_by(valid, [ZONE], _spec(ZONE_METRICS, scales), exact)
 
 
+def mart_state_of(valid: DataFrame, key: str, scales: dict[str, int] | None = None) -> DataFrame:
+    """The mergeable state of the daily (``dia``) or the zone mart over some of the valid trips."""
+    if key == DAY:
+        valid = valid.withColumn(DAY, date_label(F.col(PICKUP)))
+    return mart_state(valid, [key], _spec({DAY: DAILY_METRICS, ZONE: ZONE_METRICS}[key], scales))
+
+
+def mart_of_states(states: DataFrame, key: str, scales: dict[str, int] | None = None) -> DataFrame:
+    """The daily or the zone mart from the states of all loads."""
+    return mart_of_state(merge_states(states, [key]), [key], _spec({DAY: DAILY_METRICS, ZONE: ZONE_METRICS}[key], scales))
+
+
 def top_days_by_revenue(daily: DataFrame, k: int = TOP_K) -> DataFrame:
     return top_k(daily, [F.col("faturamento_total").desc_nulls_last()], k, [DAY])
 

@@ -268,6 +268,26 @@ def insert_new_table(
     return _merged(spark, table, base, write, attempts)
 
 
+def replace_slice(spark: SparkSession, rows: DataFrame, table: str, column: str, value: str, base_path: str, attempts: int = ATTEMPTS) -> str:
+    """Make ``rows`` the rows of a (small) table whose ``column`` is ``value``, whatever was there for it
+    before; other slices stay. A load that runs again thus replaces itself."""
+    base = base_path.rstrip("/")
+    rows = rows.withColumn(column, F.lit(value))
+    if not table_exists(spark, table):
+        location = _create(spark, rows, table, base, None, (), 0)
+        if location is not None:
+            return location
+    rows = stage(spark, _same_schema(spark, rows, table), base)
+
+    def write(state: Publication) -> Publication:
+        others = _rows(spark, table, base).filter(~F.col(column).eqNullSafe(value))
+        location = f"{base}/v-{uuid.uuid4().hex}"
+        _write_files(others.unionByName(rows), location, state)
+        return replace(state, location=location, added=None)
+
+    return _merged(spark, table, base, write, attempts)
+
+
 def read_location(spark: SparkSession, location: str, schema, fmt: str = "parquet") -> DataFrame:
     """A version's rows by its folder, appended ones included."""
     return spark.read.schema(schema).format(fmt).option("recursiveFileLookup", True).load(location)
@@ -335,8 +355,9 @@ def read_quality_class(
     return spark.read.parquet(path).filter(F.col(class_col) == cls).select(*columns)
 
 
-#: Whether a row of a typed split is good, the columns that did not cast, and their texts.
-SPLIT_OK, SPLIT_ERRORS, SPLIT_RAW = "cast_ok", "cast_errors", "cast_raw"
+#: Kind of a row of a typed split, the columns that did not cast, and their texts.
+SPLIT_KIND, SPLIT_ERRORS, SPLIT_RAW = "cast_kind", "cast_errors", "cast_raw"
+GOOD, REJECTED = "good", "rejected"
 
 
 def write_typed_split(df: DataFrame, schema: T.StructType, path: str) -> dict[str, int]:
@@ -350,23 +371,24 @@ def write_typed_split(df: DataFrame, schema: T.StructType, path: str) -> dict[st
     wide = T.StructType([*schema.fields, T.StructField("__strata_raw", carried.schema["__strata_raw"].dataType)])
     typed = cast_with_errors(carried, wide, SPLIT_ERRORS)
     ok = F.size(SPLIT_ERRORS) == 0
-    split = typed.withColumns({SPLIT_OK: ok, SPLIT_RAW: F.when(~ok, F.col("__strata_raw"))}).drop("__strata_raw")
+    kind = F.when(ok, GOOD).otherwise(REJECTED)
+    split = typed.withColumns({SPLIT_KIND: kind, SPLIT_RAW: F.when(~ok, F.col("__strata_raw"))}).drop("__strata_raw")
     obs = Observation("typed_split")
     counts = [F.count_if(F.array_contains(SPLIT_ERRORS, f.name)).alias(f"f{i}") for i, f in enumerate(schema.fields)]
-    observed = split.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(SPLIT_OK)).alias("rejected"), *counts)
-    observed.write.mode("errorifexists").partitionBy(SPLIT_OK).parquet(path)
+    observed = split.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(SPLIT_KIND) == REJECTED).alias("rejected"), *counts)
+    observed.write.mode("errorifexists").partitionBy(SPLIT_KIND).parquet(path)
     got = obs.get
     return {"rows": got["rows"], "rejected": got["rejected"]} | {f.name: got[f"f{i}"] for i, f in enumerate(schema.fields)}
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The good rows of a typed split (partition-pruned)."""
-    return spark.read.parquet(path).filter(F.col(SPLIT_OK)).select(*[F.col(f"`{n}`") for n in schema.names])
+    return spark.read.parquet(path).filter(F.col(SPLIT_KIND) == GOOD).select(*[F.col(f"`{n}`") for n in schema.names])
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """The rejected rows of a typed split: typed columns, failing names, and the texts as given."""
-    return spark.read.parquet(path).filter(~F.col(SPLIT_OK)).drop(SPLIT_OK)
+    return spark.read.parquet(path).filter(F.col(SPLIT_KIND) == REJECTED).drop(SPLIT_KIND)
 
 
 #: Types whose text in a partition folder and in the catalog gives back exactly the value.

@@ -99,6 +99,14 @@ def json_rejects(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
     return bad.select(F.col("value").alias("corrupt_line"))
 
 
+def scan_pages(spark: SparkSession, pages: Sequence[str], multiline: bool = False) -> DataFrame:
+    """The union by name of JSON pages whose columns are not declared: one job finds the columns of all
+    pages, one scan reads them, so the plan is the same for any number of pages."""
+    if not pages:
+        raise ValueError("no pages")
+    return spark.read.option("multiLine", multiline).option("mode", "FAILFAST").json(list(pages))
+
+
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:
     """Bag union by column name; columns missing from a page are filled with NULL."""
     if not pages:

@@ -42,3 +42,11 @@ def test_exact_sums_detect_what_they_cannot_hold(spark):
                     spark.createDataFrame(rows, "x double").agg(exact_sum("x", 2)).collect()
             finally:
                 spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_hash_key_tells_null_parts_apart(spark):
+    from strata.operators.keys import hash_key
+
+    rows = [(1, None, 2), (None, 1, 2), (1, 2, None), (None, None, None), (1, 2, 2), (0, None, 0)]
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    assert df.select(hash_key(["a", "b", "c"]).alias("k")).distinct().count() == len(rows)

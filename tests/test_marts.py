@@ -40,3 +40,70 @@ def test_top_k_full_tie_break(spark):
     out = top_k(df, [F.col("v").desc()], 3, ["k"])
     assert [r["k"] for r in out.collect()] == [2, 5, 8]
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_loads_add_up_to_one_full_load(spark):
+    from strata.operators.marts import mart_of_state, mart_state, merge_states
+
+    rows = [(i % 7 if i % 11 else None, i / 8, (-1) ** i * 10.0 ** (i % 25 - 12) if i % 5 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "z int, v double, w double")
+    spec = [Metric("n", "count", "v"), Metric("s", "sum", "v", 3), Metric("m", "avg", "v", 3), Metric("ws", "sum", "w", None, 6), Metric("wm", "avg", "w")]
+    loads = [mart_state(df.filter(F.pmod("z", F.lit(3)).eqNullSafe(k)), ["z"], spec) for k in (0, 1, 2, None)]
+    states = loads[0].unionByName(loads[1]).unionByName(loads[2]).unionByName(loads[3]).unionByName(loads[0].limit(0))
+    got = mart_of_state(merge_states(states, ["z"]), ["z"], spec)
+    key = lambda r: str(r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, metrics_by(df, ["z"], spec).collect()), key=key)
+
+
+def test_sums_without_a_scale_do_not_depend_on_the_order(spark):
+    import math
+    import random
+
+    r = random.Random(5)
+    vals = [r.uniform(-1, 1) * 10.0 ** r.randint(-25, 25) for _ in range(4000)]
+    vals += [-v for v in vals[:2000]] + [0.0, 2.0**90, -(2.0**90), 5e-324]
+    spec = [Metric("s", "sum", "x", None, 12), Metric("m", "avg", "x", None, 12)]
+    seen = set()
+    for parts in (1, 3, 16):
+        r.shuffle(vals)
+        df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(parts).withColumn("k", F.lit(1))
+        seen.add(tuple(metrics_by(df, ["k"], spec).first()))
+    ((_, s, _),) = seen
+    assert math.isclose(s, math.fsum(vals), rel_tol=1e-15)
+
+
+def test_sums_without_a_scale_of_odd_values(spark):
+    import pytest
+
+    def total(*xs):
+        df = spark.createDataFrame([(1, x) for x in xs], "k int, x double")
+        return metrics_by(df, ["k"], [Metric("s", "sum", "x")]).first()["s"]
+
+    assert total(0.1, 0.2) == 0.3 and total(None, None) is None and total(1.0, None) == 1.0
+    assert total(1.0, float("inf")) == float("inf") and str(total(float("inf"), float("-inf"))) == "nan" and str(total(float("nan"), 1.0)) == "nan"
+    with pytest.raises(Exception, match="no exact sum of x"):
+        total(1e300)
+    with pytest.raises(ValueError):
+        Metric("s", "median", "x")
+
+
+def test_distinct_sketches_of_two_loads(spark):
+    from strata.operators.marts import distinct_state, merge_distinct
+
+    df = spark.range(60_000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 9 > 0, F.col("id") % 20_000).alias("a"), (F.col("id") % 3).alias("b"))
+    loads = [distinct_state(df.filter(x), ["g"], ["a", "b"]) for x in ("id < 30000", "id >= 25000")]
+    got = {r.g: r.distinct_rows_estimate for r in merge_distinct(loads[0].unionByName(loads[1]), ["g"]).collect()}
+    want = {r.g: r.n for r in df.distinct().groupBy("g").agg(F.count("*").alias("n")).collect()}
+    assert all(abs(got[g] - want[g]) <= 0.03 * want[g] for g in want)
+
+
+def test_gold_loads_replace_themselves(spark, tmp_dir):
+    from strata.plans import jobs, taxi, views
+
+    lake = jobs.Lake(spark, tmp_dir)
+    valid = taxi.valid_trips(views.trips(spark, "/root/testdata/sf0.001"))
+    for rows, load in ((valid.filter("payment_type <= 3"), "a"), (valid.filter("payment_type > 3").limit(7), "b"), (valid.filter("payment_type > 3"), "b")):
+        jobs.taxi_gold_increment_job(lake, rows, load, "strata_inc_daily", "strata_inc_zones", views.TRIP_SCALES)
+    for name, want in (("strata_inc_daily", taxi.metrics_by_day(valid, views.TRIP_SCALES)), ("strata_inc_zones", taxi.metrics_by_zone(valid, views.TRIP_SCALES))):
+        assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(r.load for r in spark.table("strata_inc_daily_state").select("load").distinct().collect()) == ["a", "b"]

@@ -78,3 +78,38 @@ def test_whole_numbers_with_a_point(spark):
     assert [r.n for r in schema.apply_schema(df, kind).orderBy("i").collect()] == [1, -2, 3, None, None, None, None, None, 7]
     assert sorted(r.i for r in schema.schema_rejects(df, kind).collect()) == [3, 4, 5, 7]
     assert [r.n for r in schema.cast_columns(df, {"n": "bigint"}).orderBy("i").collect()][:4] == [1, -2, 3, None]
+
+
+def test_typed_split_casts_once_and_loses_nothing(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from strata.operators.schema import cast_with_errors
+    from strata.sinks import tables
+
+    rows = [("1", "2.5", "a"), (" 7.0 ", "x", "b"), ("9.5", None, None), (None, "1e3", "c"), ("99999999999999999999", "", "d"), ("+3.", "NaN", "e")]
+    df = spark.createDataFrame(rows, "K string, v string, s string")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.DoubleType()), T.StructField("s", T.StringType())])
+    got = [(r.k, str(r.v), r.s, r.cast_errors) for r in cast_with_errors(df, schema).collect()]
+    assert got == [
+        (1, "2.5", "a", []), (7, "None", "b", ["v"]), (None, "None", None, ["k"]), (None, "1000.0", "c", []), (None, "None", "d", ["k", "v"]), (3, "nan", "e", []),
+    ]
+    counts = tables.write_typed_split(df, schema, tmp_dir + "/split")
+    assert counts == {"rows": 6, "rejected": 3, "k": 2, "v": 2, "s": 0}
+    good = tables.read_typed(spark, tmp_dir + "/split", schema)
+    assert good.columns == ["k", "v", "s"] and sorted(r.s for r in good.collect()) == ["a", "c", "e"]
+    bad = tables.read_rejects(spark, tmp_dir + "/split")
+    assert {(r.s, r.cast_raw.k, r.cast_raw.v) for r in bad.collect()} == {("b", " 7.0 ", "x"), (None, "9.5", None), ("d", "99999999999999999999", "")}
+    assert len(df.sparkSession.read.parquet(tmp_dir + "/split").collect()) == 6
+
+
+def test_rejects_are_cast_once_and_rules_stay_pushed(spark):
+    from strata.plans import queries
+
+    sf = "/root/testdata/sf0.001"
+    plan = queries.schema_rejects(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    # the filter reads the reason and stays above the casts
+    assert plan.index("Filter") < plan.index("monotonically_increasing_id") and plan.count("Filter") == 1
+    scan = queries.valid_trips(spark, sf)._jdf.queryExecution().executedPlan().collectLeaves().head()
+    pushed = scan.metadata().get("PushedFilters").get()
+    for rule in ("IsNotNull(l_suppkey)", "IsNotNull(l_shipdate)", "GreaterThan(l_quantity,0.0)", "GreaterThanOrEqual(l_extendedprice,0.0)"):
+        assert rule in pushed
