@@ -14,8 +14,10 @@ queries; a task compares one query block with one candidate block, so its memory
 however many rows share a value, and keeps k rows per query. These are shuffled by query and
 the k best kept. Every row is a candidate of every query but itself; nothing is capped.
 
-Defined results: vectors that are NULL, empty, zero, of another length than the commonest, or hold
-NULL or non-finite components take no part; rows without an id neither; ties go to the smaller id;
+Vectors are scaled by a power of two first, which changes no cosine, so no square over- or underflows.
+
+Defined results: vectors that are NULL, empty, zero, or hold NULL or non-finite components take no
+part; rows without an id neither; a query's candidates are the vectors of its own length; ties go to the smaller id;
 repeated ids are separate candidates, a query id that repeats is asked once (its smallest vector),
 and no row with the query's id is its neighbour; with fewer than k candidates all are returned.
 """
@@ -23,6 +25,7 @@ and no row with the query's id is its neighbour; with fewer than k candidates al
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, use_package
+from strata.llm.spherical import scaled
 
 BLOCK = 4096
 SEED = 20240501
@@ -39,6 +43,7 @@ EPS = 3.0
 PLANES = 4
 
 
+@lru_cache(maxsize=8)
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
     """A random orthogonal matrix, the same for every task."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
@@ -114,24 +119,18 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
     flags = vectors.select(F.col(id_col).cast("long").alias("id"), double.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = flags.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & sound)
-    sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.count_if("is_query").alias("q"))
-    common = sizes.orderBy(F.desc("n"), "dim").limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not common:
-        return vectors.sparkSession.createDataFrame([], schema)
-    dim, n, q = common[0]
-    turn = vectors.sparkSession.sparkContext.broadcast(rotation(dim))
+    n, q = rows.agg(F.count("*"), F.count_if("is_query")).first()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-q // block))
-
-    rows = rows.filter(F.size("v") == dim)
     hashed = F.xxhash64("id", "v")
 
     def add_codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                v = np.stack(batch["v"].to_numpy())
-                codes, scalars = encode(v / np.sqrt((v * v).sum(axis=1, keepdims=True)), turn.value)
-                yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "c": batch["c"], "code": [x.tobytes() for x in codes], "scalar": scalars})
+            size = batch["v"].map(len)
+            for dim in sorted(set(size)):
+                some = batch[size == dim]
+                v = scaled(np.stack(some["v"].to_numpy()))
+                codes, scalars = encode(v / np.sqrt((v * v).sum(axis=1, keepdims=True)), rotation(dim))
+                yield pd.DataFrame({"id": some["id"], "v": some["v"], "c": some["c"], "code": [x.tobytes() for x in codes], "scalar": scalars})
 
     dealt = rows.select("id", "v", F.pmod(hashed, F.lit(blocks)).cast("int").alias("c"))
     coded = cut(dealt.mapInPandas(add_codes, "id long, v array<double>, c int, code binary, scalar double"), "ann-codes")
@@ -142,12 +141,14 @@ def search(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec
 
     def compare(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(candidates) and len(queries):
-            ids, v = candidates["id"].to_numpy(), np.stack(candidates["v"].to_numpy())
-            codes = np.frombuffer(b"".join(candidates["code"]), np.uint64).reshape(len(ids), -1)
-            scalars = candidates["scalar"].to_numpy()
-            for qid, query in zip(queries["id"], queries["v"]):
-                out += [(qid, i, s) for i, s in nearest(ids, v, codes, scalars, qid, np.asarray(query), k, turn.value)]
+        of, asked_of = candidates["v"].map(len), queries["v"].map(len)
+        for dim in sorted(set(of) & set(asked_of)):
+            some, wanted = candidates[of == dim], queries[asked_of == dim]
+            ids, v = some["id"].to_numpy(), scaled(np.stack(some["v"].to_numpy()))
+            codes = np.frombuffer(b"".join(some["code"]), np.uint64).reshape(len(ids), -1)
+            scalars = some["scalar"].to_numpy()
+            for qid, query in zip(wanted["id"], scaled(np.stack(wanted["v"].to_numpy()))):
+                out += [(qid, i, s) for i, s in nearest(ids, v, codes, scalars, qid, query, k, rotation(dim))]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     near = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInPandas(compare, "query_id long, vec_id long, score double")

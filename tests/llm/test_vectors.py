@@ -142,3 +142,25 @@ def test_certain_links_of_a_large_group_need_no_products(spark):
     book = spherical.spherical_kmeans(points[::4], 16, 0.93)
     at, _, kind = embed_dedup.cells_of(points, book, 0.93)
     assert (kind[at < 3000] == embed_dedup.CORE).sum() == 3000
+
+
+def test_nearest_of_extreme_vectors_and_two_lengths(spark):
+    from strata.llm import ann
+
+    r = np.random.default_rng(2)
+    base = r.standard_normal((60, 8))
+    rows = [(i, (v * [1.0, 1e-200, 1e200, 1e-310][i % 4]).tolist(), 0) for i, v in enumerate(base)]
+    rows += [(100, base[0].tolist(), 0), (101, (base[0] * 1e-200).tolist(), 0)]
+    rows += [(200 + i, v.tolist(), 0) for i, v in enumerate(r.standard_normal((9, 4)))]
+    got = {}
+    for x in ann.search(frame(spark, rows), F.col("vec_id") % 50 == 0, 5, block=16).collect():
+        got.setdefault(x.query_id, []).append((x["rank"], x.vec_id, x.score))
+    assert set(got) == {0, 50, 100, 200}
+    for q, found in got.items():
+        v = dict((i, np.array(w)) for i, w, _ in rows)
+        unit = {i: (w / np.abs(w).max()) / np.linalg.norm(w / np.abs(w).max()) for i, w in v.items() if len(w) == len(v[q])}
+        want = sorted(((-(unit[q] @ w), i) for i, w in unit.items() if i != q))[:5]
+        assert len(found) == 5 and max(s for _, _, s in found) <= 1 + 1e-12
+        assert [round(s, 9) for _, _, s in sorted(found)] == [round(-s, 9) for s, _ in want]
+        if q != 0 and q != 100:  # 0, 100 and 101 have one direction, and cosines that differ in rounding only
+            assert [i for _, i, _ in sorted(found)] == [i for _, i in want]
