@@ -460,3 +460,13 @@ FROM trips WHERE {_BAD_VENDOR} OR ({_BAD_DIST})"""
 ORACLE["metrics_by_zone_order_free"] = ORACLE["metrics_by_zone_plain"]
 ORACLE["distinct_estimates"] = """
 SELECT event_type, count(DISTINCT user_id) AS users_exact, true AS within_2_percent FROM events GROUP BY event_type"""
+ORACLE["dim_region_gold_job"] = ORACLE["dim_region_gold"]
+ORACLE["fact_jobs"] = ORACLE["fact_gold"]
+ORACLE["calendar_job"] = f"""
+WITH y AS (SELECT year(min(o_orderdate)) AS lo, year(max(o_orderdate)) AS hi FROM orders),
+d AS (SELECT unnest(range(make_date(lo, 1, 1)::TIMESTAMP, make_date(hi + 1, 1, 1)::TIMESTAMP, INTERVAL 1 DAY)) AS data, lo FROM y)
+SELECT data, CAST(strftime(data, '%Y%m%d') AS BIGINT) AS id_data, day(data) AS dia, month(data) AS mes, year(data) AS ano,
+       CAST(strftime(data, '%m%Y') AS BIGINT) AS mesano, CASE WHEN year(data) = lo THEN {RUN_TS} ELSE {GOLD_RUN_TS} END AS dt_data_update
+FROM d"""
+ORACLE["taxi_silver_job"] = ORACLE["apply_schema"]
+ORACLE["load_stamp"] = "SELECT count(*) AS rows, count(*) AS of_this_run, 1::BIGINT AS stamps FROM orders"

@@ -664,6 +664,63 @@ def dim_product_silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _taken(spark, got, name)
 
 
+@register
+def dim_region_gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold region job over the table of the silver job, run twice; the second run only stamps anew."""
+    lake, name = _lake(spark, "gold-region")
+    _region_bronze(spark, sf_dir).createOrReplaceTempView(f"{name}_bronze")
+    _jobs.dimension_silver_job(lake, f"{name}_bronze", f"{name}_silver", _sales.REGION_COLUMNS, _sales.REGION_KEY, RUN_TS)
+    for ts in (RUN_TS, GOLD_RUN_TS):
+        got = _jobs.dimension_gold_job(lake, f"{name}_silver", name, _sales.REGION_COLUMNS, _sales.REGION_KEY, ts)
+    spark.catalog.dropTempView(f"{name}_bronze")
+    spark.sql(f"DROP TABLE {name}_silver")
+    return _taken(spark, got, name)
+
+
+@register
+def fact_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver fact job (which replaces its table), then the gold job over that table, each run twice."""
+    lake, name = _lake(spark, "gold-fact")
+    rows = views.sales_bronze_rows(views.table(spark, sf_dir, "lineitem"))
+    sold = _csv_round_trip(spark, rows, "sales-csv")
+    for extract, ts in ((sold.filter("CODIGO_REGIAO % 2 = 0"), RUN_TS), (sold, GOLD_RUN_TS)):
+        extract.createOrReplaceTempView(f"{name}_bronze")
+        _jobs.fact_silver_job(lake, f"{name}_bronze", f"{name}_silver", ts)
+        got = _jobs.fact_gold_job(lake, f"{name}_silver", name, ts)
+    spark.catalog.dropTempView(f"{name}_bronze")
+    spark.sql(f"DROP TABLE {name}_silver")
+    return _taken(spark, got, name)
+
+
+@register
+def calendar_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar job for the years of the orders, run twice over ranges that overlap."""
+    lake, name = _lake(spark, "gold-calendar")
+    first, last = views.table(spark, sf_dir, "orders").agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    _jobs.calendar_job(lake, name, f"{first}-01-01", f"{last}-01-01", RUN_TS)
+    got = _jobs.calendar_job(lake, name, f"{first + 1}-01-01", f"{last + 1}-01-01", GOLD_RUN_TS)
+    return _taken(spark, got, name)
+
+
+@register
+def taxi_silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job over text trips, run twice: its table holds the typed contract."""
+    lake, name = _lake(spark, "silver-trips")
+    raw = views.raw_trips(spark, sf_dir)
+    for rows in (raw.limit(0), raw):
+        got = _jobs.taxi_silver_job(lake, rows, name, TRIP_CONTRACT_NTZ)
+    return _taken(spark, got, name)
+
+
+@register
+def load_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load stamp of a run without a given time: one for all rows, and that of the run."""
+    stamped = _schema.stamp(views.table(spark, sf_dir, "orders"), "loaded")
+    now = F.current_timestamp()
+    of_run = F.col("loaded").between(now - F.expr("INTERVAL 1 HOUR"), now)
+    return stamped.agg(F.count("*").alias("rows"), F.count_if(of_run).alias("of_this_run"), F.count_distinct("loaded").alias("stamps"))
+
+
 def _gold_loads(spark: SparkSession, sf_dir: str, role: str, key: str) -> DataFrame:
     """The marts kept by three loads (trips before 1995, later ones, and these once more)."""
     lake, name = _lake(spark, role)

@@ -45,22 +45,27 @@ def ingest_pages(
     fmt: str = "parquet",
     unique_on: Sequence[str] | None = None,
     date_of: str | None = None,
+    on_broken: str = "keep",
 ) -> DataFrame:
     """Land all new pages under ``landing`` in ``bronze_path``; return the rows landed so far.
 
     A line that is no object of the schema is kept as text beside the rows (``broken_lines``);
-    with ``multiline`` that is the whole file. ``unique_on`` names the columns by which a row that
+    with ``multiline`` that is the whole file. ``on_broken="fail"`` fails the run instead, and lands
+    nothing of its batch until the page is mended. ``unique_on`` names the columns by which a row that
     a later page (or run) repeats, as paging by offset does, is known again: each is landed once, its key
     being kept on disk in the stream's state for good; equal broken lines count as repeated too.
     ``date_of`` names a text or time column whose day partitions the rows (``rows_between``).
     ``unique_on`` and ``date_of`` stay what they were on the first run of a checkpoint.
     """
+    if on_broken not in ("keep", "fail"):
+        raise ValueError(f"on_broken is keep or fail, not {on_broken!r}")
     if bad := {CORRUPT, LANDED_AS, LANDED_DATE} & {n.lower() for n in schema.names}:
         raise ValueError(f"columns {sorted(bad)} are made by landing")
     ckpt = checkpoint or scratch_path(spark, "landing-checkpoint")
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.readStream.schema(marked).option("multiLine", multiline)
-    stream = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(landing)
+    mode = "PERMISSIVE" if on_broken == "keep" else "FAILFAST"
+    stream = reader.option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT).json(landing)
     broken = F.col(CORRUPT).isNotNull()
     if unique_on is not None:
         # a broken line holds NULL in every column, so it meets only its equals

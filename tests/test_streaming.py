@@ -139,3 +139,16 @@ def test_multiline_pages_and_a_broken_file(spark, tmp_dir):
     rows = ingest_pages(spark, land, SCHEMA, bronze, multiline=True)
     assert sorted(r.id for r in rows.collect()) == ["1", "2"]
     assert [r.corrupt_line.strip() for r in broken_lines(spark, bronze, SCHEMA).collect()] == ['[{"id": "3"']
+
+
+def test_broken_page_fails_the_run_if_asked(spark, tmp_dir):
+    import pytest
+
+    land, bronze, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "bronze", "ckpt"))
+    _page(land, "p0.json", ['{"id": "1"}', '{"id": "2", "v"'])
+    with pytest.raises(Exception, match="(?i)malformed|failfast"):
+        ingest_pages(spark, land, SCHEMA, bronze, ckpt, on_broken="fail")
+    _page(land, "p0.json", ['{"id": "1"}', '{"id": "2", "v": "b"}'])
+    assert ingest_pages(spark, land, SCHEMA, bronze, ckpt, on_broken="fail").count() == 2
+    with pytest.raises(ValueError):
+        ingest_pages(spark, land, SCHEMA, bronze, ckpt, on_broken="drop")
