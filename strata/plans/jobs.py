@@ -143,9 +143,9 @@ def taxi_bronze_job(
 ) -> DataFrame:
     """New landed pages -> bronze (text), exactly once; optional pickup-time range.
 
-    All landed rows stay in ``<table>_landed``, partitioned by pickup day, with the broken lines
+    All landed rows stay in ``<table>_landed``, partitioned by pickup month, with the broken lines
     beside them (``taxi_broken_lines``). ``table`` is a view of the rows, or of those of the range, which reads
-    only the range's days; another run may ask for another range, and nothing is copied.
+    only the range's months; another run may ask for another range, and nothing is copied.
     ``unique_on`` lands a row that pages repeat once (see ``ingest_pages``)."""
     if (lo is None) != (hi is None):
         raise ValueError("a range needs both ends")
@@ -156,8 +156,7 @@ def taxi_bronze_job(
     s.catalog.refreshTable(store)
     rule = f"{landed.LANDED_AS} = '{landed.ROW}'"
     if lo is not None:
-        first, last = landed.days_between(lo, hi)
-        rule += f" AND {landed.LANDED_DATE} BETWEEN DATE '{first}' AND DATE '{last}'"
+        rule += f" AND {landed.dates_between(lo, hi)}"
         rule += f" AND try_cast({taxi.PICKUP} AS timestamp_ntz) BETWEEN TIMESTAMP_NTZ '{lo}' AND TIMESTAMP_NTZ '{hi}'"
     columns = ", ".join(f"`{n}`" for n in TRIP_TEXT.names)
     s.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM {store} WHERE {rule}")

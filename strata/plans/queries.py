@@ -696,7 +696,7 @@ def fact_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calendar_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calendar job for the years of the orders, run twice over ranges that overlap."""
     lake, name = _lake(spark, "gold-calendar")
-    first, last = views.table(spark, sf_dir, "orders").agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate"))).first()
+    first, last = _series.year_bounds(views.table(spark, sf_dir, "orders"), "o_orderdate")
     _jobs.calendar_job(lake, name, f"{first}-01-01", f"{last}-01-01", RUN_TS)
     got = _jobs.calendar_job(lake, name, f"{first + 1}-01-01", f"{last + 1}-01-01", GOLD_RUN_TS)
     return _taken(spark, got, name)
@@ -759,12 +759,11 @@ def taxi_gold_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         df.select(F.lit(n).alias("report"), F.col(keys.get(n, taxi.ZONE)).cast("string").alias("of"), "total_corridas", "faturamento_total")
         for n, df in reports.items()
     ]
-    out = _files.union_pages(got)
-    out.cache().count()  # before the tables go: the reports read them
+    _files.union_pages(got).write.parquet(lake.path("reports"))  # before the tables go: the reports read them
     for t in ("daily", "zones"):
         spark.sql(f"DROP TABLE {name}_{t}")
     spark.catalog.dropTempView(f"{name}_valid")
-    return out
+    return spark.read.parquet(lake.path("reports"))
 
 
 def _written_split(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:

@@ -317,7 +317,7 @@ def expire_versions(spark: SparkSession, table: str, base_path: str, keep_hours:
     used = {table_location(spark, table)}
     if (now := versions.last(spark, base)) is not None:
         used.add(_qualified(spark, now.location))
-    if spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = '# Partition Information'").count():
+    if not spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = '# Partition Information'").isEmpty():
         for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
             spec = [part.split("=", 1) for part in row[0].split("/")]
             clause = ", ".join(f"{_quoted([k])} = {_sql_text(_unescaped(spark, v))}" for k, v in spec)

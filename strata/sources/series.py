@@ -81,3 +81,8 @@ def calendar_over(df: DataFrame, column: str, name: str = "day") -> DataFrame:
     if bounds is None or bounds["lo"] is None:
         return calendar_days(spark, dt.date(1970, 1, 1), dt.date(1970, 1, 1), name)
     return calendar_days(spark, bounds["lo"], bounds["hi"] + dt.timedelta(days=1), name)
+
+
+def year_bounds(df: DataFrame, column: str) -> tuple[int, int]:
+    """First and last year of a date or time column (two scalars, one aggregate)."""
+    return tuple(df.agg(F.year(F.min(column)), F.year(F.max(column))).first())

@@ -26,13 +26,14 @@ from strata.workspace import scratch_path
 #: Text of a broken line, kind of a landed line, and date of a row: the columns landing adds.
 CORRUPT, LANDED_AS, LANDED_DATE = "_corrupt_record", "landed_as", "landed_date"
 ROW, BROKEN = "row", "broken"
+#: Leading characters of an ISO date that a partition of each grain holds.
+GRAINS = {"year": 4, "month": 7, "day": 10}
 _DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def landed_schema(schema: T.StructType) -> T.StructType:
     """What the bronze folder holds: the declared columns and the three that landing adds."""
-    added = [(CORRUPT, T.StringType()), (LANDED_AS, T.StringType()), (LANDED_DATE, T.DateType())]
-    return T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in added]])
+    return T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in (CORRUPT, LANDED_AS, LANDED_DATE)]])
 
 
 def ingest_pages(
@@ -45,6 +46,7 @@ def ingest_pages(
     fmt: str = "parquet",
     unique_on: Sequence[str] | None = None,
     date_of: str | None = None,
+    grain: str = "month",
     on_broken: str = "keep",
 ) -> DataFrame:
     """Land all new pages under ``landing`` in ``bronze_path``; return the rows landed so far.
@@ -54,7 +56,8 @@ def ingest_pages(
     nothing of its batch until the page is mended. ``unique_on`` names the columns by which a row that
     a later page (or run) repeats, as paging by offset does, is known again: each is landed once, its key
     being kept on disk in the stream's state for good; equal broken lines count as repeated too.
-    ``date_of`` names a text or time column whose day partitions the rows (``rows_between``).
+    ``date_of`` names a text or time column whose year, month or day (``grain``) partitions the rows, so
+    that ``rows_between`` reads few; a grain should hold many megabytes, as every batch writes files for each.
     ``unique_on`` and ``date_of`` stay what they were on the first run of a checkpoint.
     """
     if on_broken not in ("keep", "fail"):
@@ -71,7 +74,9 @@ def ingest_pages(
         # a broken line holds NULL in every column, so it meets only its equals
         names = {n.lower(): n for n in schema.names}
         stream = stream.dropDuplicates([*[names[n.lower()] for n in unique_on], CORRUPT])
-    day = F.col(date_of).try_cast("timestamp_ntz").try_cast("date") if date_of else F.lit(None).cast("date")
+    day = F.lit(None).cast("string")
+    if date_of:
+        day = F.substring(F.col(date_of).try_cast("timestamp_ntz").try_cast("date").cast("string"), 1, GRAINS[grain])
     lines = stream.withColumns({LANDED_AS: F.when(broken, BROKEN).otherwise(ROW), LANDED_DATE: day})
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider, None)
@@ -106,20 +111,18 @@ def broken_lines(spark: SparkSession, bronze_path: str, schema: T.StructType, fm
     return _landed(spark, bronze_path, schema, BROKEN, fmt).select(F.col(CORRUPT).alias("corrupt_line"))
 
 
-def days_between(lo: str, hi: str) -> tuple[str, str]:
-    """First and last day of a time range, as the values of the date partition."""
-    day = lambda t: dt.datetime.fromisoformat(t).date().isoformat()
-    return day(lo), day(hi)
+def dates_between(lo: str, hi: str) -> str:
+    """SQL: whether a date partition, of whatever grain, can hold times from ``lo`` to ``hi``."""
+    day = lambda t: f"left('{dt.datetime.fromisoformat(t).date().isoformat()}', length({LANDED_DATE}))"
+    return f"{LANDED_DATE} BETWEEN {day(lo)} AND {day(hi)}"
 
 
 def rows_between(
     spark: SparkSession, bronze_path: str, schema: T.StructType, date_of: str, lo: str, hi: str, fmt: str = "parquet"
 ) -> DataFrame:
     """Landed rows with ``lo <= date_of <= hi`` (times, both ends inclusive); only the
-    partitions of these days are read."""
-    first, last = days_between(lo, hi)
-    rows = _landed(spark, bronze_path, schema, ROW, fmt)
-    rows = rows.filter(F.col(LANDED_DATE).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    partitions that can hold such times are read."""
+    rows = _landed(spark, bronze_path, schema, ROW, fmt).filter(dates_between(lo, hi))
     return filter_time_range(rows, date_of, lo, hi).select(*schema.names)
 
 
