@@ -87,34 +87,45 @@ def _checked(total: str, count: str) -> str:
 
 
 #: Exponents (in steps of 32 bits) of the bins of a sum without a declared scale: values are held to
-#: multiples of 2**-160 and below 2**95.
-BINS = range(-5, 3)
+#: multiples of 2**-96 (1e-29), and are below 2**63 (9e18).
+BINS = range(-3, 2)
 
 
-def bin_columns(name: str) -> dict[str, Column]:
+def finite_column(name: str) -> Column:
+    """The value if it is finite; one too large for the bins is an error."""
+    x = F.col(_q(name))
+    error = F.raise_error(F.concat(F.lit(f"no exact sum of {name}: "), x.cast("string")))
+    return F.when(F.abs(x) < 2.0**63, x).when(F.abs(x) < float("inf"), error)
+
+
+def not_finite_column(name: str) -> Column:
+    x = F.col(_q(name))
+    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), x)
+
+
+def bin_columns(name: str, finite: str) -> dict[str, Column]:
     """What an order-free sum of doubles of any scale adds up: per bin a whole number of
-    ``2**(32 k)``, and apart from them the sum of what is not finite.
+    ``2**(32 k)`` of the column ``finite`` (``finite_column``, projected before).
 
     ``rint(x / 2**(32 k)) - 2**32 rint(x / 2**(32 (k + 1)))`` is exact in doubles (powers of two scale
-    without rounding, and the difference is a whole number below ``2**32``), so the bins of a value
+    without rounding, and the difference is a whole number of at most 33 bits), so the bins of a value
     hold it whole, and long sums of them do not depend on any order."""
-    x = F.col(_q(name))
-    finite = ~F.isnan(x) & (F.abs(x) < float("inf"))
-    wide = F.abs(x) >= 2.0**95
+    x = F.col(_q(finite))
     at = lambda k: F.rint(x * 2.0 ** (-32 * k))
     out = {}
     for k in BINS:
         whole = at(k) - at(k + 1) * 2.0**32 if k + 1 in BINS else at(k)
-        out[f"b{k - BINS.start}_{name}"] = F.when(finite & wide, F.raise_error(F.concat(F.lit(f"no exact sum of {name}: "), x.cast("string")))).when(finite, whole.cast("long"))
-    out[f"w_{name}"] = F.when(~finite, x)
+        out[f"b{k - BINS.start}_{name}"] = whole.cast("long")
     return out
 
 
-def sum_of_bins(name: str) -> Column:
+def sum_of_bins(name: str, count: str) -> Column:
     """The sum from the added-up bin columns: from the highest bin down, always in the same order."""
     total = None
     for k in reversed(BINS):
-        part = F.col(_q(f"b{k - BINS.start}_{name}")).cast("double") * 2.0 ** (32 * k)
+        b, n = F.col(_q(f"b{k - BINS.start}_{name}")), F.col(_q(count))
+        whole = F.when(b.isNull() & F.col(_q(f"w_{name}")).isNull() & (n > 0), F.raise_error(F.lit(f"sum of {name} overflows"))).otherwise(b)
+        part = whole.cast("double") * 2.0 ** (32 * k)
         total = part if total is None else total + part
     return F.coalesce(F.col(_q(f"w_{name}")), total)
 

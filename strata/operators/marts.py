@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.exact import avg_of_units, bin_columns, float_avg, float_sum, sum_of_bins, sum_of_units, unit_column
+from strata.functions.exact import avg_of_units, bin_columns, finite_column, float_avg, float_sum, not_finite_column, sum_of_bins, sum_of_units, unit_column
 
 
 @dataclass(frozen=True)
@@ -39,13 +39,18 @@ def _plain(m: Metric) -> Column:
     return (float_sum if m.fn == "sum" else float_avg)(m.column, m.digits).alias(m.name)
 
 
-def _parts(spec: Sequence[Metric]) -> dict[str, Column]:
-    """What is added up for ``spec``, by name, in terms of the input columns."""
-    out = {f"n_{m.column}": F.col(m.column) for m in spec}
+def _parts(spec: Sequence[Metric]) -> tuple[dict[str, Column], dict[str, Column]]:
+    """What is added up for ``spec``, by name, and the columns to project before."""
+    out, first = {f"n_{m.column}": F.col(m.column) for m in spec}, {}
     for m in spec:
-        if m.fn != "count":
-            out |= bin_columns(m.column) if m.scale is None else {f"u{m.scale}_{m.column}": unit_column(m.column, m.scale)}
-    return out
+        if m.fn == "count":
+            continue
+        if m.scale is not None:
+            out[f"u{m.scale}_{m.column}"] = unit_column(m.column, m.scale)
+        else:
+            first[f"__x_{m.column}"] = finite_column(m.column)
+            out |= bin_columns(m.column, f"__x_{m.column}") | {f"w_{m.column}": not_finite_column(m.column)}
+    return out, first
 
 
 def mart_state(df: DataFrame, keys: Sequence[str | Column], spec: Sequence[Metric]) -> DataFrame:
@@ -53,8 +58,8 @@ def mart_state(df: DataFrame, keys: Sequence[str | Column], spec: Sequence[Metri
 
     The units are projected once, however many metrics read them, and summed as plain longs, so
     states of different loads can be added up (``merge_states``) to what one load of all rows gives."""
-    parts = _parts(spec)
-    named = df.select(*keys, *[c.alias(f"__{n}") for n, c in parts.items()])
+    parts, first = _parts(spec)
+    named = df.withColumns(first).select(*keys, *[c.alias(f"__{n}") for n, c in parts.items()])
     of = named.columns[: len(keys)]
     # try_sum: an overflow is NULL here and an error when the mart is made, with ANSI mode on or off
     kinds = {"n": F.count, "w": F.sum}
@@ -77,7 +82,7 @@ def mart_of_state(state: DataFrame, keys: Sequence[str], spec: Sequence[Metric])
         elif m.scale is not None:
             value = (sum_of_units if m.fn == "sum" else avg_of_units)(f"u{m.scale}_{m.column}", n, m.scale, m.digits)
         else:
-            total = sum_of_bins(m.column)
+            total = sum_of_bins(m.column, n)
             value = F.when(F.col(n) > 0, F.round(total if m.fn == "sum" else total / F.col(n), m.digits))
         out.append(value.alias(m.name))
     return state.select(*keys, *out)
