@@ -30,6 +30,7 @@ from __future__ import annotations
 import html as html_lib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,7 +86,7 @@ ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog for
 #: Inside an article these are parts of a list, table or section, and no template by themselves.
 PARTS = frozenset("h1 h2 h3 h4 h5 h6 hgroup li dt dd tr td th thead tbody tfoot caption figcaption summary legend".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^'\">])*>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*+(?>\"[^\"]*+\"|'[^']*+'|[^'\">])*+>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTR = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 #: Articles beside the article.
@@ -94,26 +95,54 @@ _PARTS = re.compile(r"[^\W_]+")
 _HIDDEN = re.compile(r"\shidden(?=[\s=/>])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
+_CONTROLS = frozenset("form input select textarea button".split())
+_SIGN = re.compile(r"\s(?:class|role)\s*=", re.I)
+
+
 class Node:
-    __slots__ = ("tag", "raw", "items", "hash", "holds_main")
+    """An element; ``letters`` are those of its text, ``linked`` those in links, ``control`` says whether it holds form controls."""
+
+    __slots__ = ("tag", "raw", "items", "hash", "holds_main", "letters", "linked", "control")
 
     def __init__(self, tag: str, raw: str = ""):
         self.tag, self.raw, self.items, self.hash, self.holds_main = tag, raw, [], 0, tag in ("article", "main")
+        self.letters = self.linked = 0
+        self.control = False
+
+    def finish(self) -> None:
+        """Hash and counts of the whole subtree, from those of the children."""
+        h = xxhash.xxh64(self.raw.encode("utf-8", "replace"))
+        for x in self.items:
+            if isinstance(x, str):
+                words = " ".join(x.split())
+                self.letters += len(words) - words.count(" ")
+                h.update(b"\0" + words.encode("utf-8", "replace"))
+            else:
+                self.letters += x.letters
+                self.linked += x.linked
+                self.control |= x.control or x.tag in _CONTROLS
+                h.update(x.hash.to_bytes(8, "little"))
+        if self.tag == "a":
+            self.linked = self.letters
+        self.hash = h.intdigest()
 
 
 def parse(html: str) -> Node:
     """The element tree; ``items`` are texts and nodes in page order. Every node carries the hash of its subtree."""
     root = Node("#page")
-    stack = [root]
+    stack, opened = [root], Counter()
 
     def close(depth: int) -> None:
         while len(stack) > depth:
             node = stack.pop()
-            node.hash = _hash(node)
+            opened[node.tag] -= 1
+            node.finish()
             stack[-1].items.append(node)
             stack[-1].holds_main |= node.holds_main
 
     def depth_of(tags, until=()) -> int:
+        if not any(opened[t] for t in tags):
+            return 0
         for d in range(len(stack) - 1, 0, -1):
             if stack[d].tag in tags:
                 return d
@@ -121,18 +150,22 @@ def parse(html: str) -> Node:
                 break
         return 0
 
-    at = 0
-    while (m := _TOKEN.search(html, at)) is not None:
+    # behind the last ">" there is no tag, so no "<" is tried there again and again
+    at, last = 0, html.rfind(">") + 1
+    while (m := _TOKEN.search(html, at, last)) is not None:
         if m.start() > at:
             stack[-1].items.append(html[at : m.start()])
         at, raw = m.end(), m.group()
         if raw[1] in "!?":
+            if raw.startswith("<!--") and not raw.endswith("-->"):
+                at = len(html)  # a comment that never ends
+                break
             continue
         name = _NAME.match(raw).group(1).lower()
         if raw[1] == "/":
             if name in INLINE:
                 # an inline end tag never closes a block
-                d = next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == name or stack[d].tag not in INLINE), 0)
+                d = opened[name] and next((d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == name or stack[d].tag not in INLINE), 0)
                 if d and stack[d].tag == name:
                     close(d)
             elif name not in ("body", "html") and (d := depth_of((name,), () if name in ("table", "article", "main") else ("table",))):
@@ -146,29 +179,26 @@ def parse(html: str) -> Node:
                 close(d)
         node = Node(name, raw)
         if name in VOID or raw.endswith("/>") and name not in RAW and name not in CLOSES_P:
-            node.hash = _hash(node)
+            node.finish()
             stack[-1].items.append(node)
         elif name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
             node.items.append(html[at : end.start()] if end else html[at:])
             at = end.end() if end else len(html)
-            node.hash = _hash(node)
+            node.finish()
             stack[-1].items.append(node)
         else:
             stack.append(node)
-    if at < len(html):
-        stack[-1].items.append(html[at:])
+            opened[name] += 1
+    rest = html[at:]
+    if (comment := rest.find("<!--")) >= 0:
+        rest = rest[:comment]
+    if rest:
+        stack[-1].items.append(rest)
     close(1)
     return root
 
 
-def _hash(node: Node) -> int:
-    h = xxhash.xxh64(node.raw.encode("utf-8", "replace"))
-    for x in node.items:
-        h.update(b"\0" + " ".join(x.split()).encode("utf-8", "replace") if isinstance(x, str) else x.hash.to_bytes(8, "little"))
-    return h.intdigest()
-
-
 def content_key(text: str) -> int:
     """Equal for equal texts, and mostly for near-equal ones: the least hash of the word pairs (of short texts the hash)."""
     words = text.split()
@@ -186,13 +216,25 @@ def page_hashes(html: str) -> tuple[int, set[int]]:
     return content_key(_text(root, frozenset())), subtree_hashes(root)
 
 
+def may_recur(node: Node, inside: bool) -> bool:
+    """Whether an element can be template: none that holds ``article`` or ``main``; inside these a box
+    with a sign of its own (class, role, links or form controls), never a bare block of text."""
+    if node.holds_main or node.tag in ("#page", "html", "body", "br", "hr", "wbr", "meta", "link"):
+        return False
+    if not inside:
+        return True
+    if node.tag in INLINE or node.tag in PARTS or node.tag in PLAIN:
+        return False
+    return node.control or node.linked > 0 or _SIGN.search(node.raw) is not None
+
+
 def subtree_hashes(root: Node) -> set[int]:
-    """Hashes of the subtrees that may be template: none that holds ``article`` or ``main``, inside these no inline elements and ``PARTS``."""
+    """Hashes of the subtrees that may be template."""
     out, todo = set(), [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside = inside or node.tag in ("article", "main")
-        if not node.holds_main and node.tag not in ("#page", "html", "body", "br", "hr", "wbr", "meta", "link") and not (inside and (node.tag in INLINE or node.tag in PARTS)):
+        if may_recur(node, inside):
             out.add(node.hash)
         todo += [(x, inside) for x in node.items if not isinstance(x, str)]
     return out
@@ -239,20 +281,7 @@ def _is_marked_holder(node: Node) -> bool:
 
 def _is_heavy(node: Node) -> bool:
     """Whether an element holds form controls, or at least half of its letters in links."""
-    linked = letters = 0
-    todo = [(node, node.tag == "a")]
-    while todo:
-        x, link = todo.pop()
-        for y in x.items:
-            if isinstance(y, str):
-                n = len("".join(y.split()))
-                letters += n
-                linked += n if link else 0
-            elif y.tag in ("form", "input", "select", "textarea", "button"):
-                return True
-            else:
-                todo.append((y, link or y.tag == "a"))
-    return letters > 0 and 2 * linked >= letters
+    return node.control or node.letters > 0 and 2 * node.linked >= node.letters
 
 
 def _scopes(root: Node, template, strict: bool = True) -> list[Node]:
@@ -310,7 +339,7 @@ def _blocks(scope: Node, inside: bool, template) -> tuple[list[str], int]:
             flush()
         elif isinstance(x, str):
             words.append(html_lib.unescape(x) if "&" in x else x)
-        elif x is not scope and ((marked := is_marked(x, inside)) or x.hash in template and not x.holds_main):
+        elif x is not scope and ((marked := is_marked(x, inside)) or x.hash in template and may_recur(x, inside)):
             if not marked and inside:
                 recurring += sum(map(len, _blocks(x, inside, frozenset())[0]))
             if x.tag not in INLINE:
