@@ -12,14 +12,20 @@ partially aggregated ``groupBy`` per document and unit.
 
 Runs find full licence texts, headers wrapped over lines (``TEXTS``) and notices inside a
 paragraph: all words of a text count on, across its lines. The bigrams a text shares with a
-template are collected with their positions; a run goes from one of them to another. The same
-size bounds say how many shared bigrams a run needs and how long it may be, which drops nearly
-all starts; from the others every end is tried. In a run a bigram that is not the template's
-counts each time it occurs.
+template are collected with their positions, and those that follow each other form a block. In a
+run a bigram that is not the template's counts each time it occurs, one that is counts once; so a
+run that begins or ends inside a block never gains by leaving the rest of the block out, and runs
+go from the first of one block to the last of another. A run that reaches the threshold shares
+at least ``b * t / (2 - t)`` bigrams and holds at most ``b * (2 - 2t) / t`` others, which drops
+nearly all starts at once; from each other start the blocks in reach are added one by one and the
+end with the highest Dice stays (ties: the first). A copy of a licence is a block or a few, so the
+work is linear in the number of copies.
 
 Defined results: per row the best template over its units (highest Dice, ties to the
 alphabetically first id), the number of units that reach the threshold, or NULL and 0; runs that
-overlap count as one unit, those that touch a counted line as none. NULL,
+overlap count as one unit, those that touch a counted line as none. Two whole copies side by side
+are two units; where words inside them were changed, a run from the second half of one to the
+first half of the next may join them. NULL,
 empty and one-word texts match nothing. Rows equal in id and text are counted together and
 all get the result. Columns of other names are ignored.
 """
@@ -176,34 +182,61 @@ def _runs(rows: DataFrame, templates: list[tuple[str, str]], threshold: float) -
         .join(F.broadcast(known), F.col("bigram") == F.col("t_bigram"))
         .select("id", "tid", "p", "l", F.xxhash64("bigram").alias("g"), F.explode("ts").alias("t"))
     )
-    need, most = F.ceil(F.col("t.b") * low - 1e-9).cast("int"), F.floor(F.col("t.b") * high + 1e-9).cast("int")
+    need, others = F.ceil(F.col("t.b") * low - 1e-9).cast("int"), F.floor(F.col("t.b") * (high - 1) + 1e-9).cast("int")
     # repeated rows give the same positions again, hence the set
     hits = (
         met.groupBy("id", "tid", "t")
         .agg(F.array_sort(F.collect_set(F.struct("p", "l", "g"))).alias("hits"))
-        .select("id", "tid", F.col("t.license").alias("license"), F.col("t.b").alias("b"), need.alias("need"), most.alias("most"), "hits")
+        .select("id", "tid", F.col("t.license").alias("license"), F.col("t.b").alias("b"), need.alias("need"), others.alias("others"), "hits")
         .filter(F.size("hits") >= F.col("need"))
     )
-    # starts with enough shared bigrams near enough, then with enough different ones
-    near = F.filter(F.sequence(F.lit(0), F.size("hits") - F.col("need")), lambda i: F.get("hits", i + F.col("need") - 1)["p"] - F.get("hits", i)["p"] < F.col("most"))
-    reach = F.transform("near", lambda i: F.filter(F.slice("hits", i + 1, F.col("most")), lambda h: h["p"] - F.get("hits", i)["p"] < F.col("most")))
-    starts = F.filter("reach", lambda w: F.size(F.array_distinct(w["g"])) >= F.col("need"))
-
-    def run(w: Column, m: Column) -> Column:
-        shared = F.size(F.array_distinct(F.slice(w["g"], 1, m)))
-        last = F.get(w, m - 1)
-        others = last["p"] - F.get(w, F.lit(0))["p"] + 1 - m
-        dice = 2 * shared.cast("double") / (shared + others + F.col("b"))
-        return F.struct(dice.alias("dice"), F.get(w, F.lit(0))["p"].alias("lo"), last["p"].alias("hi"), F.get(w, F.lit(0))["l"].alias("l1"), last["l"].alias("l2"))
-
-    best = F.transform("starts", lambda w: F.array_max(F.transform(F.sequence(F.col("need"), F.size(w)), lambda m: run(w, m))))
+    # first hits of blocks; a position less its index is the number of other bigrams before it
+    firsts = F.filter(F.sequence(F.lit(0), F.size("hits") - 1), lambda i: (i == 0) | (F.get("hits", i - 1)["p"] < F.get("hits", i)["p"] - 1))
+    before = lambda i: F.get("hits", i)["p"] - i
+    # blocks from which enough shared bigrams, equal or not, lie near enough
+    near = F.filter(F.sequence(F.lit(0), F.size("firsts") - 1), lambda k: before(F.get("firsts", k) + F.col("need") - 1) - before(F.get("firsts", k)) <= F.col("others"))
+
+    def block(first: Column, k: Column) -> Column:
+        part = F.slice("hits", first + 1, F.coalesce(F.get("firsts", k + 1), F.size("hits")) - first)
+        lo, hi = F.get(part, F.lit(0)), F.element_at(part, -1)
+        ends = [lo["p"].alias("lo"), hi["p"].alias("hi"), lo["l"].alias("l1"), hi["l"].alias("l2")]
+        return F.struct(*ends, (lo["p"] - first).alias("before"), F.array_distinct(part["g"]).alias("gs"))
+
+    def longer(x: Column, e: Column) -> Column:
+        """The run of ``x`` with block ``e`` added."""
+        gs = F.array_union(x["gs"], e["gs"])
+        return F.struct(gs.alias("gs"), F.size(gs).alias("shared"), (e["before"] - x["from"]).alias("other"), x["from"].alias("from"), e["hi"].alias("hi"), e["l2"].alias("l2"), x["best"].alias("best"))
+
+    def better(x: Column) -> Column:
+        dice = 2 * x["shared"].cast("double") / (x["shared"] + x["other"] + F.col("b"))
+        this = F.struct(dice.alias("dice"), x["hi"].alias("hi"), x["l2"].alias("l2"))
+        best = F.when(dice > x["best"]["dice"], this).otherwise(x["best"])
+        return F.struct(x["gs"].alias("gs"), x["from"].alias("from"), best.alias("best"))
+
+    none = F.struct(F.lit(0.0).alias("dice"), F.lit(-1).alias("hi"), F.lit(-1).alias("l2"))
+
+    def reach(k: Column) -> Column:
+        """Block ``k`` and those near enough; each further one follows at least one other bigram."""
+        return F.filter(F.slice("blocks", k + 1, F.col("others") + 1), lambda e: e["before"] - F.get("blocks", k)["before"] <= F.col("others"))
+
+    # blocks from which enough different shared bigrams lie near enough
+    starts = F.filter("near", lambda k: F.size(F.array_distinct(F.flatten(F.transform(reach(k), lambda e: e["gs"])))) >= F.col("need"))
+
+    def run(k: Column) -> Column:
+        start = F.get("blocks", k)
+        empty = F.struct(F.array().cast("array<bigint>").alias("gs"), start["before"].alias("from"), none.alias("best"))
+        # one-element arrays name a value that is used several times
+        step = lambda x, e: F.get(F.transform(F.array(longer(x, e)), better), F.lit(0))
+        best = F.aggregate(reach(k), empty, step)["best"]
+        return F.struct(best["dice"].alias("dice"), start["lo"].alias("lo"), best["hi"].alias("hi"), start["l1"].alias("l1"), best["l2"].alias("l2"))
+
+    # the condition is part of a column: as a filter it would be pushed below and computed again
+    blocks = F.when(F.size("near") > 0, F.transform("firsts", block))
     found = (
-        hits.select("*", near.alias("near"))
-        .filter(F.size("near") > 0)
-        .select("*", reach.alias("reach"))
-        .select("*", starts.alias("starts"))
-        .filter(F.size("starts") > 0)
-        .select("id", "tid", "license", F.explode(best).alias("r"))
+        hits.select("*", firsts.alias("firsts"))
+        .select("*", near.alias("near"))
+        .select("id", "tid", "license", "b", "need", "others", "near", blocks.alias("blocks"))
+        .select("id", "tid", "license", F.explode(F.transform(starts, run)).alias("r"))
         .filter(F.col("r.dice") >= threshold)
     )
     return found.select("id", "tid", "license", F.col("r.dice").alias("dice"), F.struct("r.lo", "r.hi", "r.l1", "r.l2").alias("run"))
