@@ -8,6 +8,10 @@ Only hashes and positions are shuffled for the search. Counting is a partially a
 ``groupBy``, so a window found in a third of all rows is one partial row per task; the windows
 then meet the repeated ones in an equi-join, which Spark can split on a hot window.
 
+Only texts that lose lines are shuffled to meet their positions: a bitmap of ``BITS`` bits, broadcast
+at a fixed size, tells for certain that a document loses none. The few that share a bit with
+another are shuffled for nothing, so the result is the same for any number of bits.
+
 Defined results: blank lines never form windows and go only where they lie inside a removed
 window; texts of fewer than three non-blank lines, empty and NULL texts stay as they are. A
 later occurrence that overlaps its own first occurrence removes only the lines behind it, so
@@ -20,9 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import text_id
+from strata.llm.common import cut, text_id
 
 WINDOW = 3
+#: Bits of the bitmap of touched documents, a multiple of the 32,768 of one of its parts: 16 MB at most.
+BITS = 1 << 27
 
 
 def _lines(text: Column) -> Column:
@@ -62,11 +68,26 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return later.groupBy("id", "tid").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence("lo", "hi"))))).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _bit(id_: Column, tid: Column, bits: int) -> Column:
+    """The bit of a document, from 1."""
+    return F.pmod(F.xxhash64(id_, tid), F.lit(bits)) + 1
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """``(doc, gone)``: every input row as the struct ``doc``, its text cleaned, and the removed positions."""
-    gone = repeated_lines(docs, id_col, text_col).withColumnsRenamed({"id": "g_id", "tid": "g_tid"})
+    gone = cut(repeated_lines(docs, id_col, text_col), "line-dedup-gone").withColumnsRenamed({"id": "g_id", "tid": "g_tid"})
+    at = gone.select(_bit(F.col("g_id"), F.col("g_tid"), bits).alias("at"))
+    parts = at.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
     rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), text_id(F.col(text_col)).alias("tid"), F.col(text_col).alias("txt"))
-    both = rows.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("tid") == F.col("g_tid")), "left")
+    told = rows.withColumn("at", _bit(F.col("id"), F.col("tid"), bits)).join(F.broadcast(parts), F.bitmap_bucket_number("at") == F.col("part"), "left")
+    here = F.bitmap_bit_position("at")
+    byte = F.conv(F.hex(F.substring("map", (here / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # a part is NULL where it holds no bit
+    is_set = F.coalesce(F.call_function("shiftright", byte, (here % 8).cast("int")).bitwiseAND(1) == 1, F.lit(False))
+    told = told.select("doc", "id", "tid", "txt", is_set.alias("touched"))
+    none = F.lit(None).cast("array<int>").alias("gone")
+    both = told.filter("touched").join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("tid") == F.col("g_tid")), "left").select("doc", "txt", "gone")
+    both = both.unionAll(told.filter("NOT touched").select("doc", "txt", none))
     # the lines between removed positions, as runs: linear in the number of lines
     split = both.select("doc", "gone", "txt", _lines(F.col("txt")).alias("lines"))
     n = F.size("gone")

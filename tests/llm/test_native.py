@@ -62,7 +62,8 @@ def dedup_by_hand(rows):
     return out
 
 
-def test_line_dedup_brute_force(spark, docs):
+@pytest.mark.parametrize("bits", [line_dedup.BITS, 1 << 15, 1])
+def test_line_dedup_brute_force(spark, docs, bits):
     r = random.Random(5)
     rows = [(i, "\n".join(r.choice(["a", "b", "c", "", " ", "d\r"]) for _ in range(r.randint(0, 14)))) for i in range(120)]
     rows += [(500, "p\nq\nr\np\nq\nr\np\nq\nr"), (501, None), (502, ""), (None, "z\ny\nx"), (503, "z\ny\nx\nw"), (504, "s\n" * 5000)]
@@ -70,7 +71,7 @@ def test_line_dedup_brute_force(spark, docs):
     df = docs(rows)
     tids = {(x.doc_id, x.text): x.h for x in df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
     want = dedup_by_hand({(i, t, tids[i, t]) for i, t in rows})
-    got = line_dedup.dedup_lines(df.withColumn("orig", F.col("text"))).select("doc.*", "gone").collect()
+    got = line_dedup.dedup_lines(df.withColumn("orig", F.col("text")), bits=bits).select("doc.*", "gone").collect()
     assert len(got) == len(rows) and got[0].tid == 1 and got[0].id == "x"
     for x in got:
         assert x.text == want[x.doc_id, x.orig], x
