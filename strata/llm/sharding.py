@@ -8,11 +8,13 @@ above the fair share of what is left gets a shard of its own first).
 At scale the packing has two levels. With ``unit`` = total / (shards * ``PARCELS``), groups of at
 least a unit number at most shards * PARCELS and are packed one by one. Smaller groups are dealt by
 hash into slices of about ``SLICE`` groups, and every slice packs them, also best-fit-decreasing, into
-parcels of one unit, in parallel. Parcels are at least half full but for one per slice, so the last
-packing sees a bounded number of items (about 3 * shards * PARCELS, plus one per slice) whatever the
-number of documents; sizes then differ by about a unit. Group sizes are partially aggregated; rows
+parcels of one unit, in parallel. Parcels are at least half full but for one per slice; while there
+are more than ``SLICE`` slices, these light parcels are dealt into slices and packed in the same way.
+So the last packing sees a bounded number of items (about 3 * shards * PARCELS, plus SLICE) whatever
+the number of documents; sizes then differ by about a unit. Group sizes are partially aggregated; rows
 get their shard by an equi-join on the group, which Spark can split on a hot group, and their slots
-by counts per slice of a shard, not by one window over a shard.
+by counts per piece of a written file, not by one window over a shard, so rows repeated any number
+of times spread as others do.
 
 Defined results: NULL and empty texts are one group; repeated rows are separate rows of one group;
 an empty table gives no rows; other columns are ignored; rows without an id are placed as others are.
@@ -32,8 +34,8 @@ from strata.llm.common import cut, use_package
 SHARDS = 40
 #: Units per shard that the last packing tells apart.
 PARCELS = 128
-#: Small groups per slice of the first packing, and rows per numbered part of a shard.
-SLICE, PART = 16_384, 50_000
+#: Small groups per slice of the first packing, and rows per numbered piece of a file.
+SLICE, PIECE = 16_384, 50_000
 
 
 class Tree:
@@ -119,15 +121,15 @@ def pack_into(sizes: list[int], bins: int) -> list[int]:
     return out
 
 
-def shard(docs: DataFrame, size: Column, group: Column, id_col: str, shards: int = SHARDS, parcels: int = PARCELS, extra: dict[str, Column] | None = None) -> DataFrame:
+def shard(docs: DataFrame, size: Column, group: Column, id_col: str, shards: int = SHARDS, parcels: int = PARCELS, extra: dict[str, Column] | None = None, slice_size: int = SLICE) -> DataFrame:
     """``(id, size, shard, slot, *extra)`` per row: ``size`` a positive long, rows of equal ``group`` in one shard."""
     use_package(docs.sparkSession)
     key = [F.xxhash64(group).alias("g1"), F.xxhash64(F.lit(1), group).alias("g2")]
     rows = docs.select(F.col(id_col).alias("id"), size.cast("long").alias("size"), *key, *[c.alias(n) for n, c in (extra or {}).items()])
     groups = cut(rows.groupBy("g1", "g2").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "shard-groups")
-    total, n_groups, n_rows = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    total, n_groups = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
     unit = max(1, total // (shards * parcels))
-    slices = -(-n_groups // SLICE) or 1
+    slices = -(-n_groups // slice_size) or 1
 
     def to_parcels(small: pd.DataFrame) -> pd.DataFrame:
         small = small.sort_values(["bytes", "g1", "g2"], ascending=[False, True, True])
@@ -135,13 +137,26 @@ def shard(docs: DataFrame, size: Column, group: Column, id_col: str, shards: int
         return pd.DataFrame({"g1": small["g1"], "g2": small["g2"], "bytes": small["bytes"], "slice": small["slice"], "parcel": at})
 
     sliced = groups.filter(F.col("bytes") < unit).select("g1", "g2", "bytes", F.pmod("g1", F.lit(slices)).alias("slice"))
-    small = sliced.groupBy("slice").applyInPandas(to_parcels, "g1 long, g2 long, bytes long, slice long, parcel long")
+    placed_as = "g1 long, g2 long, bytes long, slice long, parcel long"
+    small = sliced.groupBy("slice").applyInPandas(to_parcels, placed_as)
     large = groups.filter(F.col("bytes") >= unit).select("g1", "g2", "bytes", F.lit(-1).cast("long").alias("slice"), F.lit(0).cast("long").alias("parcel"))
     placed = cut(small.unionByName(large), "shard-parcels")
     # an item: a parcel, or a large group under its own key
     own = [F.when(F.col("slice") < 0, F.col(c)).otherwise(0).alias(f"i{j}") for j, c in enumerate(("g1", "g2"))]
     items = placed.select("slice", "parcel", *own, "bytes").groupBy("slice", "parcel", "i0", "i1").agg(F.sum("bytes").alias("bytes"))
 
+    # light parcels, at most one per slice, move into parcels of the slices of a further level
+    zeros = [F.lit(0).cast("long").alias(c) for c in ("i0", "i1")]
+    moves, first = [], 0
+    while slices > slice_size:
+        items = cut(items, "shard-level")
+        light = F.col("slice").between(first, first + slices - 1) & (2 * F.col("bytes") <= unit)
+        first, slices = first + slices, -(-slices // slice_size)
+        dealt = items.filter(light).select(F.col("slice").alias("g1"), F.col("parcel").alias("g2"), "bytes", (first + F.pmod("slice", F.lit(slices))).alias("slice"))
+        moved = cut(dealt.groupBy("slice").applyInPandas(to_parcels, placed_as), "shard-moves")
+        items = items.filter(~light).unionByName(moved.groupBy("slice", "parcel").agg(F.sum("bytes").alias("bytes")).select("*", *zeros))
+        moves.append(moved)
+
     def to_shards(all_items: pd.DataFrame) -> pd.DataFrame:
         all_items = all_items.sort_values(["bytes", "slice", "parcel", "i0", "i1"], ascending=[False, True, True, True, True])
         return all_items.drop(columns="bytes").assign(shard=pack_into([int(b) for b in all_items["bytes"]], shards))
@@ -149,14 +164,19 @@ def shard(docs: DataFrame, size: Column, group: Column, id_col: str, shards: int
     # bounded, see above: the only step in one task
     packed = items.groupBy().applyInPandas(to_shards, "slice long, parcel long, i0 long, i1 long, shard int")
     packed = cut(packed, "shard-items").withColumnsRenamed({"slice": "s", "parcel": "p"})
+    for moved in reversed(moves):
+        inner = moved.join(packed, (F.col("slice") == F.col("s")) & (F.col("parcel") == F.col("p"))).select(F.col("g1").alias("s"), F.col("g2").alias("p"), *zeros, "shard")
+        packed = packed.unionByName(inner)
     of_small = placed.filter("slice >= 0").join(packed, (F.col("slice") == F.col("s")) & (F.col("parcel") == F.col("p"))).select("g1", "g2", "shard")
     of_large = packed.filter("s < 0").select(F.col("i0").alias("g1"), F.col("i1").alias("g2"), "shard")
     where = of_small.unionByName(of_large)
 
-    parts = max(1, -(-n_rows // (shards * PART)) * 4)
-    named = rows.join(where, ["g1", "g2"]).withColumn("part", F.pmod(F.xxhash64("id", "g2"), F.lit(parts)))
-    named = cut(named, "shard-rows")
-    counts = named.groupBy("shard", "part").agg(F.count("*").alias("n"))
-    before = counts.select("shard", "part", (F.sum("n").over(W.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))
-    inside = F.row_number().over(W.partitionBy("shard", "part").orderBy("id", "g1", "g2")) - 1
-    return named.withColumn("inside", inside).join(before, ["shard", "part"]).select("id", "size", "shard", (F.col("before") + F.col("inside")).alias("slot"), *(extra or {}))
+    # slots follow the files just written: a piece is bounded whatever its rows hold
+    named = cut(rows.join(where, ["g1", "g2"]), "shard-rows")
+    at = F.col("_metadata.row_index")
+    named = named.select("*", F.col("_metadata.file_name").alias("file"), at.alias("row"), F.floor(at / PIECE).alias("piece"))
+    piece = ["shard", "file", "piece"]
+    counts = named.groupBy(*piece).agg(F.count("*").alias("n"))
+    before = counts.select(*piece, (F.sum("n").over(W.partitionBy("shard").orderBy("file", "piece")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(W.partitionBy(*piece).orderBy("row")) - 1
+    return named.withColumn("inside", inside).join(before, piece).select("id", "size", "shard", (F.col("before") + F.col("inside")).alias("slot"), *(extra or {}))

@@ -168,6 +168,14 @@ def test_shards(spark, sf, docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(load) - min(load) <= 0.02 * max(load), load
     assert sharding.shard(docs([]), F.lit(1), F.col("text"), "doc_id").count() == 0
+    # light parcels go through further levels of slices
+    deep = sharding.shard(df, F.octet_length(F.coalesce("text", F.lit(""))) + 16, F.coalesce("text", F.lit("")), "doc_id", shards=4, parcels=16, extra={"t": F.col("text")}, slice_size=8).collect()
+    assert len(deep) == len(rows) and len({(x.shard, x.slot) for x in deep}) == len(rows)
+    where, load = {}, [0] * 4
+    for x in deep:
+        assert where.setdefault(x.t or "", x.shard) == x.shard
+        load[x.shard] += x.size
+    assert sum(load) == sum(x.size for x in got) and max(load) - min(load) <= 0.05 * max(load), load
     # a group above the fair share has a shard of its own, the others stay near equal
     load = [0] * 5
     sizes = [900] + [r.randint(1, 9) for _ in range(200)]
@@ -176,6 +184,17 @@ def test_shards(spark, sf, docs):
     assert load[0] == 900 and max(load[1:]) - min(load[1:]) <= 9
 
 
+def test_slots_of_repeated_rows(spark, docs, monkeypatch):
+    """Equal rows spread over bounded pieces; slots stay gapless."""
+    monkeypatch.setattr(sharding, "PIECE", 100)
+    df = docs([(1, "same")] * 3000 + [(i, f"text {i}") for i in range(500)])
+    got = sharding.shard(df, F.octet_length("text"), F.col("text"), "doc_id", shards=3).collect()
+    slots = {}
+    for x in got:
+        slots.setdefault(x.shard, []).append(x.slot)
+    assert len(got) == 3500 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_toxicity(spark, docs):
     r = random.Random(8)
     noise = [f"{a}{b}" for a in "bcdfgklm" for b in ("ara", "ono", "iti", "ule", "enn")]
