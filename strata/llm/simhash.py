@@ -2,7 +2,8 @@
 
 A fingerprint takes, bit by bit, the majority over the XXH64 hashes of the text's word shingles.
 Fingerprints are linked at ``max_bits`` or fewer differing bits. The 64 bits are cut into three
-segments. With radii r such that ``sum(r + 1) > max_bits``, two linked fingerprints differ in at
+segments, or into two, with larger balls and fuller look-ups but 2,048 times as many buckets, where
+their number makes that the lesser work (with 4 bits above some 35 million). With radii r such that ``sum(r + 1) > max_bits``, two linked fingerprints differ in at
 most r bits in some segment, so enumerating the Hamming ball of radius r around each segment of
 one side and looking the values up in a table of the other side's segments finds every link;
 the complete distance is checked inside the join.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -34,7 +36,8 @@ from strata.llm.common import components, cut, text_id, use_package
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
-SEGMENTS = 3
+#: Numbers of segments to choose from.
+SEGMENTS = (2, 3)
 #: Shingles hashed at a time, which bounds the memory for very long texts.
 CHUNK = 1 << 16
 #: Buckets of up to so many fingerprints are compared member by member; in larger ones the
@@ -90,7 +93,17 @@ def _radii(max_bits: int, segments: int) -> list[int]:
     return [each - 1 + (i < more) for i in range(segments)]
 
 
-def _looked_up(max_bits: int, balls: bool, segments: int = SEGMENTS) -> Column:
+def best_segments(n: int, max_bits: int) -> int:
+    """The number of segments with the fewest look-ups and expected checks for ``n`` fingerprints."""
+
+    def work(segments: int) -> float:
+        balls = [(len(bits), sum(comb(len(bits), i) for i in range(r + 1))) for bits, r in zip(_segments(segments), _radii(max_bits, segments))]
+        return sum(n * ball * (1 + n / 2**width) for width, ball in balls)
+
+    return min(SEGMENTS, key=work)
+
+
+def _looked_up(max_bits: int, balls: bool, segments: int) -> Column:
     """Array of (seg, mask, flip): one entry per segment, or one per member of its ball."""
     out = []
     for s, (bits, r) in enumerate(zip(_segments(segments), _radii(max_bits, segments))):
@@ -140,10 +153,11 @@ def _merged(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
     return cut(nodes.join(found, nodes.label == found.node, "left").select("fp", "n", "least", F.coalesce(found.label, nodes.label).alias("label")), name)
 
 
-def link(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``(fp, label, component_id)`` of the distinct fingerprints in ``fps`` (id, fp)."""
+def link(fps: DataFrame, max_bits: int = MAX_BITS, segments: int | None = None) -> DataFrame:
+    """``(fp, label, component_id)`` of the distinct fingerprints in ``fps`` (id, fp); without ``segments`` their number decides."""
     nodes = cut(fps.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("least")).withColumn("label", F.col("fp")), "simhash-nodes")
-    entries, balls = _looked_up(max_bits, balls=False), _looked_up(max_bits, balls=True)
+    segments = segments or best_segments(nodes.count(), max_bits)
+    entries, balls = _looked_up(max_bits, False, segments), _looked_up(max_bits, True, segments)
 
     # stars around the pivots of each bucket
     members = _keyed(nodes, entries)

@@ -73,8 +73,12 @@ def test_simhash_brute_force(spark, sf, docs):
     assert simhash.near_duplicates(docs([])).count() == 0 and simhash.near_duplicate_docs(docs([])).count() == 0
 
 
-@pytest.mark.parametrize("bits, small", [(0, 64), (1, 0), (3, 64), (4, 64), (4, 0), (7, 2)])
-def test_hamming_links_are_complete(spark, monkeypatch, bits, small):
+def test_segments_by_number_of_fingerprints():
+    assert [simhash.best_segments(n, 4) for n in (1, 10**6, 10**9, 10**11)] == [3, 3, 2, 2]
+
+
+@pytest.mark.parametrize("bits, small, segments", [(0, 64, 3), (1, 0, None), (3, 64, 2), (4, 64, None), (4, 0, 3), (4, 2, 2), (7, 2, 3)])
+def test_hamming_links_are_complete(spark, monkeypatch, bits, small, segments):
     monkeypatch.setattr(simhash, "SMALL_BUCKET", small)
     r = random.Random(bits)
     fps = [0, -1] + [r.getrandbits(63) for _ in range(30)]
@@ -85,7 +89,7 @@ def test_hamming_links_are_complete(spark, monkeypatch, bits, small):
                 g ^= 1 << b
             g %= 2**64
             fps.append(g - 2**64 if g >> 63 else g)
-    got = {x.fp: x.component_id for x in simhash.link(spark.createDataFrame(list(enumerate(fps)), "id long, fp long"), bits).collect()}
+    got = {x.fp: x.component_id for x in simhash.link(spark.createDataFrame(list(enumerate(fps)), "id long, fp long"), bits, segments).collect()}
     keys = sorted(set(fps))
     label = union_find(keys, [(a, b) for j, a in enumerate(keys) for b in keys[:j] if ((a ^ b) % 2**64).bit_count() <= bits])
     least = {}
