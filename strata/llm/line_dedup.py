@@ -10,7 +10,8 @@ then meet the repeated ones in an equi-join, which Spark can split on a hot wind
 
 Only texts that lose lines are shuffled to meet their positions: a bitmap of ``BITS`` bits, broadcast
 at a fixed size, tells for certain that a document loses none. The few that share a bit with
-another are shuffled for nothing, so the result is the same for any number of bits.
+another are shuffled for nothing, so the result is the same for any number of bits. Beyond some
+``BITS`` touched documents nearly all texts are shuffled.
 
 Defined results: blank lines never form windows and go only where they lie inside a removed
 window; texts of fewer than three non-blank lines, empty and NULL texts stay as they are. A
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import cut, text_id
 
 WINDOW = 3
-#: Bits of the bitmap of touched documents, a multiple of the 32,768 of one of its parts: 16 MB at most.
-BITS = 1 << 27
+#: Bits of the bitmap of touched documents, a multiple of the 32,768 of one of its parts: 4 MB at most.
+BITS = 1 << 25
 
 
 def _lines(text: Column) -> Column:
@@ -77,7 +78,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``(doc, gone)``: every input row as the struct ``doc``, its text cleaned, and the removed positions."""
     gone = cut(repeated_lines(docs, id_col, text_col), "line-dedup-gone").withColumnsRenamed({"id": "g_id", "tid": "g_tid"})
     at = gone.select(_bit(F.col("g_id"), F.col("g_tid"), bits).alias("at"))
-    parts = at.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
+    # numbers are shuffled, not partial bitmaps of 4 kB each
+    at = at.select("at", F.bitmap_bucket_number("at").alias("part")).repartition("part")
+    parts = at.groupBy("part").agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map"))
     rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), text_id(F.col(text_col)).alias("tid"), F.col(text_col).alias("txt"))
     told = rows.withColumn("at", _bit(F.col("id"), F.col("tid"), bits)).join(F.broadcast(parts), F.bitmap_bucket_number("at") == F.col("part"), "left")
     here = F.bitmap_bit_position("at")
