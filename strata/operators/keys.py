@@ -8,17 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def concat_key(cols: Sequence[str | Column], kind: str = "bigint") -> Column:
+def concat_key(cols: Sequence[str | Column], kind: str = "bigint", too_long: str = "error") -> Column:
     """Digits of each part run together, read as ``kind`` (NULL if any part is NULL or no number).
 
     ``bigint`` holds up to 18 digits; a longer key fails with an error that names the wider
-    kinds (``decimal(38,0)`` or ``string``) and is never NULL. Unpadded parts can collide:
+    kinds (``decimal(38,0)`` or ``string``) and is never NULL, unless ``too_long="null"`` asks for what a
+    plain cast gave (for rows that another key tells apart). Unpadded parts can collide:
     (1, 12) and (11, 2) both give 112."""
+    if too_long not in ("error", "null"):
+        raise ValueError(f"too_long is error or null, not {too_long!r}")
     parts = [F.col(c) if isinstance(c, str) else c for c in cols]
     text = F.concat(*[p.cast("string") for p in parts])
     number = text.try_cast(kind)
-    too_long = number.isNull() & text.rlike("^[0-9]+$")
-    return F.when(too_long, F.raise_error(F.concat(F.lit(f"key does not fit {kind}, use decimal(38,0) or string: "), text))).otherwise(number)
+    if too_long == "null":
+        return number
+    cut = number.isNull() & text.rlike("^[0-9]+$")
+    return F.when(cut, F.raise_error(F.concat(F.lit(f"key does not fit {kind}, use decimal(38,0) or string: "), text))).otherwise(number)
 
 
 def padded_key(cols: Sequence[str | Column], widths: Sequence[int]) -> Column:

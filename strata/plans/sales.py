@@ -64,13 +64,14 @@ def silver_fact(
 
 
 def gold_fact(silver: DataFrame, run_ts: RunTs = None, ntz: bool = False) -> DataFrame:
-    """Roll up to (product, region, date), add the date key and the concatenated fact key."""
+    """Roll up to (product, region, date), add the date key and the concatenated fact key, which is
+    NULL where its digits do not fit a bigint; the product, region and date key stay the fact's key."""
     g = silver.groupBy(*FACT_GRAIN).agg(
         F.sum("qtde_venda").alias("qtde_venda"), F.sum("valor_venda").alias("valor_venda")
     )
     g = stamp(g, STAMP, run_ts, ntz)
     g = g.withColumn(FACT_DATE_KEY, date_key(F.col("data_venda")))
-    g = g.withColumn(FACT_KEY, concat_key(["codigo_produto", "codigo_regiao", FACT_DATE_KEY]))
+    g = g.withColumn(FACT_KEY, concat_key(["codigo_produto", "codigo_regiao", FACT_DATE_KEY], too_long="null"))
     return g.drop("data_venda")
 
 
