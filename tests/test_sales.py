@@ -113,3 +113,7 @@ def test_gold_fact_keeps_facts_whose_key_is_too_long(spark, tmp_dir):
     wide = spark.createDataFrame([(1199999, 59999, dt.date(2021, 1, 1), 2, 3.0)], "codigo_produto long, codigo_regiao long, data_venda date, qtde_venda long, valor_venda float")
     row = sales.gold_fact(wide).first()
     assert (row["codigo_produto"], row["qtde_venda"], row["id_data_venda"], row["id_fa_venda"]) == (1199999, 2, 20210101, None)
+
+
+def test_partitioned_gold_fact_keeps_facts_whose_key_is_too_long(spark, tmp_dir):
+    assert _equals_sql(spark, tmp_dir, "fact_gold_partitioned_upsert") == (True, "5 rows")
