@@ -117,3 +117,7 @@ def test_gold_fact_keeps_facts_whose_key_is_too_long(spark, tmp_dir):
 
 def test_partitioned_gold_fact_keeps_facts_whose_key_is_too_long(spark, tmp_dir):
     assert _equals_sql(spark, tmp_dir, "fact_gold_partitioned_upsert") == (True, "5 rows")
+
+
+def test_fact_jobs_keep_facts_whose_key_is_too_long(spark, tmp_dir):
+    assert _equals_sql(spark, tmp_dir, "fact_jobs") == (True, "5 rows")
