@@ -121,3 +121,7 @@ def test_partitioned_gold_fact_keeps_facts_whose_key_is_too_long(spark, tmp_dir)
 
 def test_fact_jobs_keep_facts_whose_key_is_too_long(spark, tmp_dir):
     assert _equals_sql(spark, tmp_dir, "fact_jobs") == (True, "5 rows")
+
+
+def test_key_collisions_of_facts_whose_key_is_too_long(spark, tmp_dir):
+    assert _equals_sql(spark, tmp_dir, "fact_key_collisions") == (True, "2 rows")
