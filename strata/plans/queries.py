@@ -559,10 +559,10 @@ def _lake(spark: SparkSession, role: str) -> tuple[_jobs.Lake, str]:
 def _taxi_bronze(spark: SparkSession, sf_dir: str) -> tuple[_jobs.Lake, str]:
     landed = scratch_path(spark, "trip-pages")
     raw = views.raw_trips(spark, sf_dir)
-    raw.write.json(landed)
-    # a page of lines cut in the middle: trips of the seventh line
-    cut = raw.filter("payment_type = '7'").select(F.concat(F.lit('{"DOLocationID":"'), F.col("DOLocationID"), F.lit('","Ven')))
-    cut.write.mode("append").text(landed)
+    views.land_pages(raw, landed)
+    # pages of lines cut in the middle: trips of the seventh line
+    cut = F.concat(F.lit('{"DOLocationID":"'), F.col("DOLocationID"), F.lit('","Ven')).alias("value")
+    views.land_pages(raw.filter("payment_type = '7'").select(cut), landed)
     lake, name = _lake(spark, "bronze-trips")
     _jobs.taxi_bronze_job(lake, landed, name, "1995-01-01T00:00:00", "1996-12-31T23:59:59")
     return lake, name

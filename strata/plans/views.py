@@ -180,6 +180,20 @@ def event_pages_rows(events: DataFrame) -> DataFrame:
     return events.select(*[F.col(c).cast("string").alias(c) for c in events.columns])
 
 
+#: Records of a page, the most that the trips' API gives in one request.
+PAGE_RECORDS = 50_000
+
+
+def land_pages(rows: DataFrame, folder: str) -> None:
+    """Add rows to a landing folder as pages of JSON lines (a DataFrame of one text column: the lines as they
+    are), compressed, which takes a tenth of the text; pages are small, because one task reads a compressed one whole."""
+    writer = rows.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", PAGE_RECORDS)
+    if rows.columns == ["value"]:
+        writer.text(folder)
+    else:
+        writer.json(folder)
+
+
 # Contract of the events role (zone-free times, as stored in the test table).
 EVENT_CONTRACT = T.StructType(
     [
