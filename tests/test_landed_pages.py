@@ -47,3 +47,8 @@ def test_bronze_range_lands_small_pages(spark, items, monkeypatch):
     assert sum(os.path.getsize(p) for p in pages) < 100 * ROWS  # as plain text 458 bytes a row
     lines = [sum(1 for _ in gzip.open(p)) for p in pages]
     assert max(lines) <= 500 and sum(lines) == ROWS + ROWS // 7
+
+
+def test_broken_lines_land_small_pages(spark, items):
+    pages = _pages_of(spark, items, "taxi_broken_lines")
+    assert sum(os.path.getsize(p) for p in pages) < 100 * ROWS
