@@ -116,7 +116,11 @@ def _looked_up(max_bits: int, balls: bool, segments: int) -> Column:
 
 
 def _keyed(nodes: DataFrame, entries: Column) -> DataFrame:
-    """``nodes`` once per entry, with the segment number and value."""
+    """``nodes`` once per entry, with the segment number and value.
+
+    Its joins are by merge: Spark sizes exploded rows as if there were one per node, and would
+    broadcast through the driver hundreds of rows for each node of a small file.
+    """
     spread = nodes.select("*", F.explode(entries).alias("e"))
     return spread.select(*nodes.columns, F.col("e.seg").alias("seg"), F.col("fp").bitwiseAND(F.col("e.mask")).bitwiseXOR(F.col("e.flip")).alias("key"))
 
@@ -161,27 +165,27 @@ def link(fps: DataFrame, max_bits: int = MAX_BITS, segments: int | None = None)
 
     # stars around the pivots of each bucket
     members = _keyed(nodes, entries)
-    stars = members.join(_pivots(members), ["seg", "key"]).filter((F.col("fp") != F.col("p_fp")) & _near("fp", "p_fp", max_bits))
+    stars = members.hint("merge").join(_pivots(members), ["seg", "key"]).filter((F.col("fp") != F.col("p_fp")) & _near("fp", "p_fp", max_bits))
     nodes = _merged(nodes, stars.select(F.col("label").alias("a"), F.col("p_label").alias("b")), "simhash-stars")
 
     # the pivots of neighbouring buckets
     pivots = _pivots(_keyed(nodes, entries))
-    near = _keyed(nodes.select("fp", "label"), balls).join(pivots, ["seg", "key"])
+    near = _keyed(nodes.select("fp", "label"), balls).hint("merge").join(pivots, ["seg", "key"])
     near = near.filter((F.col("label") != F.col("p_label")) & _near("fp", "p_fp", max_bits))
     nodes = _merged(nodes, near.select(F.col("label").alias("a"), F.col("p_label").alias("b")), "simhash-pivots")
 
     # what is left: links between different components, checked inside the join
     members = _keyed(nodes, entries)
     table = _buckets(members).select("seg", "key", "major", "mixed", "fps")
-    sides = members.join(table, ["seg", "key"]).select("seg", "key", "fp", "label", "fps", (F.col("label") == F.col("major")).alias("is_major"))
-    asked = _keyed(nodes.select("fp", "label"), balls).withColumnsRenamed({"fp": "q", "label": "q_label"})
+    sides = members.hint("merge").join(table, ["seg", "key"]).select("seg", "key", "fp", "label", "fps", (F.col("label") == F.col("major")).alias("is_major"))
+    asked = _keyed(nodes.select("fp", "label"), balls).withColumnsRenamed({"fp": "q", "label": "q_label"}).hint("merge")
     linked = (F.col("q_label") != F.col("label")) & _near("q", "fp", max_bits)
     small = asked.join(sides.filter(F.col("fps") <= SMALL_BUCKET), ["seg", "key"]).filter(linked)
     # in large buckets the largest component is not compared with itself
     kinds = F.filter(F.array(F.when(F.col("q_label") != F.col("major"), F.lit(True)), F.when(F.col("mixed"), F.lit(False))), lambda x: x.isNotNull())
     reached = asked.join(table.filter(F.col("fps") > SMALL_BUCKET), ["seg", "key"]).filter((F.col("q_label") != F.col("major")) | F.col("mixed"))
     reached = reached.select("q", "q_label", "seg", "key", F.explode(kinds).alias("is_major"))
-    large = reached.join(sides.filter(F.col("fps") > SMALL_BUCKET), ["seg", "key", "is_major"]).filter(linked)
+    large = reached.hint("merge").join(sides.filter(F.col("fps") > SMALL_BUCKET), ["seg", "key", "is_major"]).filter(linked)
     others = small.select("q_label", "label").unionByName(large.select("q_label", "label"))
     nodes = _merged(nodes, others.select(F.col("q_label").alias("a"), F.col("label").alias("b")), "simhash-rest")
 
