@@ -2,6 +2,7 @@
 
 import pytest
 
+import corpus_pipeline
 from strata.llm import simhash
 
 
@@ -21,3 +22,20 @@ def test_simhash_exploded_sides_are_not_broadcast(spark, monkeypatch, segments):
     for plan in plans:
         final = plan.split("Initial Plan")[0]
         assert "isFinalPlan=true" in plan and "Broadcast" not in final, final
+
+
+def test_pipeline_drops_near_duplicates_without_exploded_broadcasts(spark, monkeypatch):
+    plans, found = [], simhash.components
+
+    def seen(edges, name):
+        edges.collect()
+        plans.append(edges._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return found(edges, name)
+
+    monkeypatch.setattr(simhash, "components", seen)
+    words = "one two three four five six seven eight".split()
+    texts = [" ".join(words[(i * j) % 8] + str(i % 40) for j in range(20)) for i in range(80)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert len(plans) == 3 and not any("Broadcast" in p for p in plans), plans
+    assert kept.columns == docs.columns and 0 < kept.count() <= 40
