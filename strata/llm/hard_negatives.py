@@ -37,7 +37,7 @@ from strata.llm.common import cut, use_package
 from strata.llm.spherical import is_sound, sample, spherical_kmeans, unit
 
 #: Rows of a block while there are at most ``BLOCKS`` blocks; then as many as ``WIDE`` such blocks. Anchors of a task, in blocks.
-BLOCK, BLOCKS, WIDE, ASKED = 8192, 64, 32, 16
+BLOCK, BLOCKS, WIDE, ASKED = 8192, 64, 32, 8
 #: Neighbouring rows that share one score interval, and the anchors that are compared with them at a time.
 RUN, TILE = 512, 2048
 #: Candidates after which floors are raised, and the share of the blocks whose best are the floors of the others.
